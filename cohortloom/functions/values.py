@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 def number(value: Column) -> Column:
     """Double, or NULL for text that is not a number and for NaN."""
-    parsed = value.try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+
+
+def number_sql(column: str) -> str:
+    """`number` of a named column as SQL text, for generated lists of many columns."""
+    return f"nanvl(try_cast(`{column}` AS double), CAST(NULL AS double))"
 
 
 def event_time(value: Column) -> Column:
@@ -59,7 +63,7 @@ def log_bucket(value: Column, steps: int = 4096) -> Column:
     no sampling pass is needed to cut a column into ordered ranges.
     """
     magnitude = F.least(F.abs(value), F.lit(1.7976931348623157e308))
-    exponent = F.floor(F.log2(magnitude))
+    exponent = F.least(F.floor(F.log2(magnitude)), F.lit(1023))
     within = F.floor((magnitude / F.pow(F.lit(2.0), exponent) - 1) * steps)
     # exponents of doubles lie above -1075, so the offset keeps buckets positive
     bucket = (exponent + 1080) * steps + within

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
-from cohortloom.functions.values import number
+from cohortloom.functions.values import number_sql
 from cohortloom.operators.features import KEY, PLAN, Feature
 
 
@@ -38,6 +38,21 @@ def outer_chain(
     return reduce(lambda left, right: outer_join(left, right, key, null_key), frames)
 
 
+def merge_features(parts: Sequence[DataFrame], key: str = KEY) -> DataFrame:
+    """Same rows as `outer_chain`, by one grouped aggregate over the union of the parts.
+
+    Each part has one row per key and columns of its own, so the only non-null value of
+    a column is its maximum. The parts arrive hash-partitioned by the key from their own
+    grouping and the union keeps that, so nothing is shuffled a second time, whereas the
+    output of a full outer join has to be re-partitioned before the next one.
+    """
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [part.where(F.col(key).isNotNull()) for part in parts],
+    )
+    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
+
+
 def _slot(modality: str, source: str) -> str:
     return f"{modality}__{source}"
 
@@ -46,32 +61,35 @@ def _sources(modality: str) -> list[str]:
     return list(dict.fromkeys(f.source for f in PLAN[modality] if f.source))
 
 
-def _tagged(modality: str, feature: Feature) -> Column:
+def _tagged(modality: str, feature: Feature) -> str:
     if feature.kind == "rows":
         # no rows of a modality is NULL, as after an outer join, not zero
-        return F.sum(F.when(F.col("__tag") == modality, F.lit(1).cast("bigint")))
-    slot = F.col(_slot(modality, feature.source))
-    return F.avg(slot) if feature.kind == "mean" else F.sum(slot)
+        return f"sum(CASE WHEN __tag = '{modality}' THEN 1L END) AS {feature.name}"
+    function = "avg" if feature.kind == "mean" else "sum"
+    return f"{function}({_slot(modality, feature.source)}) AS {feature.name}"
 
 
 def single_shuffle(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All given modalities in one grouped aggregate over a tagged union.
 
-    Same rows as aggregating each modality and chaining full outer joins, with one
-    exchange instead of one per modality and no join at all. Each branch of the union
-    is reduced map-side before that exchange.
+    Same rows as aggregating each modality and merging, with one exchange for all of
+    them. Each branch of the union is reduced map-side before that exchange, at the price
+    of wider buffers, so this suits many small modalities.
     """
     modalities = [m for m in PLAN if m in tables]
-    parts = []
-    for modality in modalities:
-        columns = [F.col(KEY), F.lit(modality).alias("__tag")]
-        for other in modalities:
-            for source in _sources(other):
-                value = number(F.col(source)) if other == modality else F.lit(None).cast("double")
-                columns.append(value.alias(_slot(other, source)))
-        parts.append(tables[modality].where(F.col(KEY).isNotNull()).select(*columns))
-    rows = reduce(DataFrame.unionAll, parts)
-    return rows.groupBy(KEY).agg(*[_tagged(m, f).alias(f.name) for m in modalities for f in PLAN[m]])
+    parts = [
+        tables[m]
+        .where(f"{KEY} IS NOT NULL")
+        .selectExpr(
+            KEY,
+            f"'{m}' AS __tag",
+            *[f"{number_sql(source)} AS {_slot(m, source)}" for source in _sources(m)],
+        )
+        for m in modalities
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    aggregates = [F.expr(_tagged(m, f)) for m in modalities for f in PLAN[m]]
+    return rows.groupBy(KEY).agg(*aggregates)
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str = KEY) -> DataFrame:

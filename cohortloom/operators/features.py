@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
-from cohortloom.functions.values import number
+from cohortloom.functions.values import number_sql
 
 KEY = "participant"
 
@@ -50,11 +50,11 @@ MODALITIES = tuple(PLAN)
 PHONE_MODALITIES = MODALITIES[:-1]
 
 
-def _aggregate(feature: Feature) -> Column:
+def _aggregate(feature: Feature) -> str:
     if feature.kind == "rows":
-        return F.count(F.lit(1))
-    value = number(F.col(feature.source))
-    return F.avg(value) if feature.kind == "mean" else F.sum(value)
+        return f"count(*) AS {feature.name}"
+    function = "avg" if feature.kind == "mean" else "sum"
+    return f"{function}({number_sql(feature.source)}) AS {feature.name}"
 
 
 def modality_features(df: DataFrame, modality: str, keep_null_key: bool = False) -> DataFrame:
@@ -64,4 +64,4 @@ def modality_features(df: DataFrame, modality: str, keep_null_key: bool = False)
     partial row per task. A NULL participant forms a group only with `keep_null_key`.
     """
     rows = df if keep_null_key else df.where(F.col(KEY).isNotNull())
-    return rows.groupBy(KEY).agg(*[_aggregate(f).alias(f.name) for f in PLAN[modality]])
+    return rows.groupBy(KEY).agg(*[F.expr(_aggregate(f)) for f in PLAN[modality]])

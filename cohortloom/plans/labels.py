@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom import schemas
 from cohortloom.functions import values
 from cohortloom.operators import latest, reshape, scoring
+from cohortloom.sources.storage import materialize
 
 SUBMISSION = ("participant", "date", "timestamp", "file_name", "file_stem")
 TIME_ORDER = ["__time", "__text"]
@@ -41,6 +42,7 @@ def participant_labels(
     scores: Mapping[str, int] = schemas.RESPONSE_SCORES,
     reversed_items: Sequence[str] = schemas.REVERSED_ITEMS,
     normalize: bool = False,
+    write_once: bool = True,
 ) -> DataFrame:
     """Score each participant's latest submission and split at the exact median.
 
@@ -48,14 +50,18 @@ def participant_labels(
     one row per submission; of repeated answers to a question the lowest score counts.
     Only submissions, not answers, then compete for being the latest. keep="ties" keeps
     every submission at the latest time. Incomplete submissions are not labelled.
+
+    Both the median and the labels need the scores. `write_once` puts them, one row per
+    participant, in the shared folder first, so that the answers are read only once.
     """
     questions = reshape.question_order(questions)
     code = values.response_score(F.col("response_raw"), scores, normalize)
     submissions = (
         survey_rows(surveys, pattern)
         .where(F.col("participant").isNotNull())
+        .select(*SUBMISSION, "question_id", code.alias("__code"))
         .groupBy(*SUBMISSION)
-        .agg(*[F.min(F.when(F.col("question_id") == q, code)).alias(q) for q in questions])
+        .agg(*[F.min(F.when(F.col("question_id") == q, F.col("__code"))).alias(q) for q in questions])
         .withColumns(time_order(F.col("timestamp")))
     )
     if keep == "one":
@@ -69,6 +75,8 @@ def participant_labels(
     known = newest.dropna(how="any", subset=list(SUBMISSION))
     lowest, highest = min(scores.values()), max(scores.values())
     coded = scoring.reverse_code(known, reversed_items, lowest, highest)
-    totals = scoring.total_score(coded, questions)
+    totals = scoring.total_score(coded, questions).select(*SUBMISSION, schemas.SCORE)
+    if write_once:
+        totals = materialize(totals, "scores")
     # a sum of bounded integers has few distinct values, so the median stays in the plan
     return scoring.median_split(totals, small_domain=True).select(*LABEL_COLUMNS)

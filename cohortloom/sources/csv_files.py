@@ -93,6 +93,9 @@ def _scan(
         .option("encoding", "UTF-8")
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # whole records are tokenized, so what counts as malformed never depends on the
+        # columns a query happens to use
+        .option("columnPruning", False)
         .csv([escape_glob(path) for path in files])
         .select(
             *[F.col(f"`{name}`") for name in columns],

@@ -98,7 +98,7 @@ def participant_labels_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _modality(modality: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return features.modality_features(cohort.logs(spark, sf_dir)[modality], modality)
+        return features.modality_features(cohort.log(spark, sf_dir, modality), modality)
 
     return run
 
@@ -119,13 +119,17 @@ def phone_ring_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def features_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.merge_features(list(_modalities(spark, sf_dir).values()))
+
+
 def features_single_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.single_shuffle(cohort.logs(spark, sf_dir))
 
 
 def features_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.attach_labels(
-        features_single_shuffle(spark, sf_dir), participant_labels(spark, sf_dir)
+        features_merged(spark, sf_dir), participant_labels(spark, sf_dir)
     )
 
 
@@ -294,7 +298,7 @@ def rename_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return storage.materialize(features_single_shuffle(spark, sf_dir), "features")
+    return storage.materialize(features_merged(spark, sf_dir), "features")
 
 
 def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,6 +406,7 @@ QUERIES = {
     "ring_features": _modality("ring"),
     "phone_outer_chain": phone_outer_chain,
     "phone_ring_outer": phone_ring_outer,
+    "features_merged": features_merged,
     "features_single_shuffle": features_single_shuffle,
     "features_labelled": features_labelled,
     "model_table_raw": model_table_raw,

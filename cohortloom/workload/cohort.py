@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortloom import schemas
 from cohortloom.operators import reshape
@@ -11,8 +12,15 @@ from cohortloom.operators import reshape
 QUESTIONS = ["q1", "q2", "q3", "q4"]
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its footer is looked up once, not by every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def text(column: Column | str) -> Column:
@@ -110,14 +118,14 @@ def ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ring record per line item; each measure is missing on a seventh of the lines."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    values = [
-        F.when(F.col("l_linenumber") % 7 != i % 7, F.col("l_quantity") + i).alias(measure)
+    measures = [
+        f"CASE WHEN l_linenumber % 7 <> {i % 7} THEN l_quantity + {i} END AS {measure}"
         for i, measure in enumerate(schemas.RING_AVERAGES, start=1)
     ]
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        text("o_custkey").alias("participant"),
-        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
-        *values,
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "CAST(o_custkey AS string) AS participant",
+        "unix_seconds(CAST(l_shipdate AS timestamp)) AS timestamp",
+        *measures,
     )
 
 
@@ -134,9 +142,12 @@ def watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log(spark: SparkSession, sf_dir: str, modality: str) -> DataFrame:
+    return ring(spark, sf_dir) if modality == "ring" else phone_log(spark, sf_dir, modality)
+
+
 def logs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    found = {log: phone_log(spark, sf_dir, log) for log in PHONE_SOURCES}
-    return {**found, "ring": ring(spark, sf_dir)}
+    return {modality: log(spark, sf_dir, modality) for modality in (*PHONE_SOURCES, "ring")}
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

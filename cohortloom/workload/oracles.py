@@ -367,6 +367,7 @@ ORACLES = {
     "ring_features": _select(RING, "SELECT * FROM f_ring"),
     "phone_outer_chain": _select(PHONE, "SELECT * FROM f_phone"),
     "phone_ring_outer": _select(FEATURES, "SELECT * FROM f_all"),
+    "features_merged": _select(FEATURES, "SELECT * FROM f_all"),
     "features_single_shuffle": _select(FEATURES, "SELECT * FROM f_all"),
     "features_labelled": _select(
         FEATURES + "," + _labels("one"),
