@@ -47,7 +47,7 @@ def folder_globs(
 def list_files(
     spark: SparkSession, globs: Iterable[str], name_pattern: str = r"(?i)\.csv$"
 ) -> DataFrame:
-    """One row `(path, length)` per file below the globs whose path fits the pattern.
+    """One row `(path, length)` per non-empty file below the globs that fits the pattern.
 
     The file reader is asked for path and length only, so no content is read.
     A glob that matches nothing contributes no rows.

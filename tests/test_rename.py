@@ -1,0 +1,73 @@
+from pyspark.sql import functions as F
+
+from cohortloom.functions import paths
+from cohortloom.operators import rename
+
+
+def _plan(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "key string")
+    return {r.old_key: r.new_key for r in rename.rename_plan(df).collect()}
+
+
+def test_sanitized_names(spark):
+    names = ["a b.csv", "é.csv", "_x__y_.CSV", "plain.csv", "a (1).v2.csv", ".csv"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = dict(df.select("n", paths.sanitize_file_name(F.col("n"))).collect())
+    assert got == {
+        "a b.csv": "a_b.csv",
+        "é.csv": "unnamed.csv",
+        "_x__y_.CSV": "x_y.CSV",
+        "plain.csv": "plain.csv",
+        "a (1).v2.csv": "a_1_.v2.csv",
+        ".csv": "unnamed.csv",
+    }
+
+
+def test_clashes_get_the_lowest_free_numbers(spark):
+    plan = _plan(spark, ["d/a b.csv", "d/a_b.csv", "d/a__b.csv", "d/a_b_2.csv", "e/a b.csv", "d/a b.txt", "top é.csv"])
+    assert plan == {
+        "d/a_b.csv": "d/a_b.csv",
+        "d/a_b_2.csv": "d/a_b_2.csv",
+        "d/a b.csv": "d/a_b_1.csv",
+        "d/a__b.csv": "d/a_b_3.csv",
+        "e/a b.csv": "e/a_b.csv",
+        "d/a b.txt": "d/a b.txt",
+        "top é.csv": "top.csv",
+    }
+
+
+def _by_hand(keys):
+    """Sequential version of the rule for one directory of .csv names."""
+    import re
+
+    def clean(key):
+        stem = re.sub("_+", "_", re.sub(r"[^A-Za-z0-9._-]", "_", key[:-4])).strip("._ ")
+        return f"{stem or 'unnamed'}.csv"
+
+    plan, used, waiting = {}, set(), []
+    for key in keys:
+        if clean(key) == key:
+            plan[key] = key
+            used.add(key)
+    for key in sorted(k for k in keys if k not in plan):
+        if clean(key) in used:
+            waiting.append(key)
+        else:
+            plan[key] = clean(key)
+            used.add(clean(key))
+    for key in waiting:
+        n = 1
+        while f"{clean(key)[:-4]}_{n}.csv" in used:
+            n += 1
+        plan[key] = f"{clean(key)[:-4]}_{n}.csv"
+        used.add(plan[key])
+    return plan
+
+
+def test_large_clash_matches_the_sequential_rule(spark):
+    symbols = " :?#=&+,;!"
+    keys = ["".join(["log ", *(symbols[int(c)] for c in str(i))]) + ".csv" for i in range(400)]
+    keys += [f"log_{i}.csv" for i in (1, 2, 5, 9, 10, 11, 300)] + ["log 4.csv", "log.csv", "log (7).csv"]
+    plan = _plan(spark, keys)
+    assert plan == _by_hand(keys)
+    assert len(set(plan.values())) == len(keys)
