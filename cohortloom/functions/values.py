@@ -54,19 +54,3 @@ def reversed_score(score: Column, lowest: int, highest: int) -> Column:
 def strict_sum(columns: Iterable[Column]) -> Column:
     """Row-wise sum that is NULL when any part is NULL."""
     return reduce(lambda left, right: left + right, columns)
-
-
-def log_bucket(value: Column, steps: int = 4096) -> Column:
-    """Non-decreasing integer bucket of a double, `steps` buckets per power of two.
-
-    A pure function of the value: two scans of the same data always agree, and
-    no sampling pass is needed to cut a column into ordered ranges.
-    """
-    magnitude = F.least(F.abs(value), F.lit(1.7976931348623157e308))
-    exponent = F.least(F.floor(F.log2(magnitude)), F.lit(1023))
-    within = F.floor((magnitude / F.pow(F.lit(2.0), exponent) - 1) * steps)
-    # exponents of doubles lie above -1075, so the offset keeps buckets positive
-    bucket = (exponent + 1080) * steps + within
-    return (
-        F.when(value > 0, bucket).when(value < 0, -bucket).when(value == 0, F.lit(0)).cast("bigint")
-    )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Hashable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SMALL = 1_000_000
+# Values that one aggregate over all expressions may hold in a task.
+VALUES_IN_A_TASK = 4_000_000
 
 
 def small_domain_median(df: DataFrame, column: str) -> DataFrame:
@@ -22,60 +24,112 @@ def small_domain_median(df: DataFrame, column: str) -> DataFrame:
     return counted.agg(F.percentile(column, F.lit(0.5), F.col("__n")).alias("median"))
 
 
+@dataclass
+class _Search:
+    """Where the two middle ranks of one column are known to lie."""
+
+    total: int
+    low: float = float("-inf")
+    high: float = float("inf")
+    below: int = 0  # values under `low`
+    held: int = 0  # values in [low, high]
+    error: float = 1e-3  # rank error asked of the next sketch
+    settled: bool = False
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        return (self.total - 1) // 2, self.total // 2
+
+    def inside(self, column: str) -> Column:
+        return F.when(F.col(column).between(self.low, self.high), F.col(column))
+
+    def quantiles(self) -> list[float]:
+        first, last = ((rank - self.below) / self.held for rank in self.ranks)
+        return [max(0.0, first - 2 * self.error), min(1.0, last + 2 * self.error)]
+
+    def narrow(self, low: float, high: float, under: int, held: int) -> None:
+        """Take the new bounds when they provably hold both ranks and shrink the range."""
+        if under <= self.ranks[0] and self.ranks[1] < under + held:
+            if held < self.held:
+                self.low, self.high, self.below, self.held = low, high, under, held
+                self.settled = low == high
+                return
+            self.error /= 8
+        else:
+            self.error *= 3
+        self.settled = not 1e-6 < self.error < 0.1
+
+
 def exact_medians(
-    df: DataFrame, columns: Mapping[str, Column], small: int = SMALL
-) -> dict[str, float | None]:
+    df: DataFrame, columns: Mapping[Hashable, Column], small: int | None = None
+) -> dict[Hashable, float | None]:
     """Exact median of each named expression; None where every value is NULL.
 
-    Up to `small` values per expression, one aggregate answers all of them. Beyond
-    that the range that must hold the median is narrowed with approximate quantiles
-    (rank error guaranteed) until at most `small` values remain inside, and the exact
-    order statistics are taken from those. `df` is scanned several times: pass a
-    written table, not a long plan.
+    Up to `small` values per expression, one aggregate answers all of them. Beyond that,
+    quantile sketches narrow the range that must hold the median, a count proves each
+    narrower range, and the exact order statistics are taken from the few values left
+    inside. All expressions advance together, so the number of passes does not grow with
+    their number. `df` is scanned several times: pass a written table, not a long plan.
     """
-    names = list(columns)
-    labels = {name: f"m{i}" for i, name in enumerate(names)}
-    frame = df.select(*[columns[name].cast("double").alias(labels[name]) for name in names])
-    counts = frame.agg(*[F.count(F.col(labels[name])).alias(labels[name]) for name in names]).first()
-    few = [name for name in names if counts[labels[name]] <= small]
-    result: dict[str, float | None] = dict.fromkeys(names)
+    if not columns:
+        return {}
+    if small is None:
+        small = max(1_000, VALUES_IN_A_TASK // len(columns))
+    labels = {f"m{i}": name for i, name in enumerate(columns)}
+    frame = df.select(
+        *[columns[name].cast("double").alias(label) for label, name in labels.items()]
+    )
+    counts = frame.agg(*[F.count(label).alias(label) for label in labels]).first()
+    few = [label for label in labels if counts[label] <= small]
+    result: dict[Hashable, float | None] = {}
     if few:
-        row = frame.agg(*[F.median(labels[name]).alias(labels[name]) for name in few]).first()
-        result.update({name: row[labels[name]] for name in few})
-    for name in names:
-        if name not in few:
-            values = frame.select(F.col(labels[name]).alias("v")).where("v is not null")
-            result[name] = _narrowed_median(values, counts[labels[name]], small)
-    return result
-
-
-def _narrowed_median(values: DataFrame, total: int, small: int) -> float:
-    ranks = ((total - 1) // 2, total // 2)
-    inside, below, held = values, 0, total
-    error = 1e-3
-    while held > small and error > 1e-7:
-        low_p = max(0.0, (ranks[0] - below) / held - 2 * error)
-        high_p = min(1.0, (ranks[1] - below) / held + 2 * error)
-        low, high = inside.approxQuantile("v", [low_p, high_p], error)
-        split = inside.agg(
-            F.count_if(F.col("v") < low).alias("under"),
-            F.count_if(F.col("v").between(low, high)).alias("held"),
+        row = frame.agg(*[F.median(label).alias(label) for label in few]).first()
+        result.update({labels[label]: row[label] for label in few})
+    many = {
+        label: _Search(counts[label], held=counts[label]) for label in labels if label not in few
+    }
+    if many:
+        _narrow(frame, many, small)
+        found = _middle_values(frame, many)
+        result.update({labels[label]: found[label] for label in many})
+    return {name: result[name] for name in columns}
+
+
+def _narrow(frame: DataFrame, searches: Mapping[str, _Search], small: int) -> None:
+    """Shrink the ranges until each holds at most `small` values or cannot shrink."""
+    while True:
+        active = {c: s for c, s in searches.items() if s.held > small and not s.settled}
+        if not active:
+            return
+        bounds = frame.agg(
+            *[
+                F.percentile_approx(s.inside(c), s.quantiles(), int(1 / s.error)).alias(c)
+                for c, s in active.items()
+            ]
+        ).first()
+        counted = frame.agg(
+            *[F.count_if(F.col(c) < bounds[c][0]).alias(f"{c}_under") for c in active],
+            *[F.count_if(F.col(c).between(*bounds[c])).alias(f"{c}_held") for c in active],
         ).first()
-        under, kept = below + split["under"], split["held"]
-        error /= 4
-        if under <= ranks[0] and ranks[1] < under + kept:
-            stuck = kept == held
-            inside, below, held = inside.where(F.col("v").between(low, high)), under, kept
-            if low == high:
-                return float(low)
-            if stuck:
-                continue
-    # equal values collapse, then the two middle ranks are read off the running count
-    counted = inside.groupBy("v").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    first, second = (
-        counted.withColumn("upto", upto + F.lit(below))
-        .agg(*[F.min(F.when(F.col("upto") > rank, F.col("v"))) for rank in ranks])
-        .first()
+        for c, search in active.items():
+            search.narrow(*bounds[c], counted[f"{c}_under"], counted[f"{c}_held"])
+
+
+def _middle_values(frame: DataFrame, searches: Mapping[str, _Search]) -> dict[str, float]:
+    """Mean of the two middle order statistics of each column, from its range alone."""
+    spark = frame.sparkSession
+    state = spark.createDataFrame(
+        [(c, s.below, *s.ranks) for c, s in searches.items()],
+        "name string, below bigint, first bigint, last bigint",
+    )
+    ranged = frame.select(*[s.inside(c).alias(c) for c, s in searches.items()])
+    values = ranged.unpivot([], list(searches), "name", "v").where("v is not null")
+    # equal values collapse before the running count, which runs per column
+    counted = values.groupBy("name", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.partitionBy("name").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = counted.withColumn("upto", upto).join(state, "name")
+    reached = F.col("upto") + F.col("below")
+    middles = ranked.groupBy("name").agg(
+        *[F.min(F.when(reached > F.col(r), F.col("v"))).alias(r) for r in ("first", "last")]
     )
-    return (first + second) / 2
+    return {row["name"]: (row["first"] + row["last"]) / 2 for row in middles.collect()}

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions import paths
-from cohortloom.operators.running import running_total
-from cohortloom.sources.storage import materialize
+from cohortloom.operators.running import ordered_ranges, running_total
 
 FAMILY = ["dir", "stem", "ext"]
 NUMBERS_PER_RANGE = 4096
@@ -37,10 +36,7 @@ def rename_plan(keys: DataFrame, key: str = "key") -> DataFrame:
     named = sanitized_keys(keys, key).withColumns(
         {"stem": paths.stem_of(F.col("new_name")), "ext": paths.extension_of(F.col("new_name"))}
     )
-    # the ranges come from sampled bounds, so they are fixed by writing them down once
-    slots = keys.sparkSession.sparkContext.defaultParallelism
-    ranged = named.repartitionByRange(slots, *FAMILY, "old_name")
-    named = materialize(ranged.withColumn("range", F.spark_partition_id()), "rename")
+    named = ordered_ranges(named, [*FAMILY, "old_name"], "range")
 
     kept = named.where("not changed").select(*FAMILY, F.lit(1).alias("in_use")).distinct()
     moving = named.where("changed").withColumn("one", F.lit(1).cast("bigint"))

@@ -8,6 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortloom.sources.storage import materialize
+
+
+def ordered_ranges(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Add `out`: number of the range, in ascending `order`, that a row falls into.
+
+    The bounds are sampled, so ranges are even for any distribution of the values. The
+    rows are written once with their range, which fixes it for every later scan.
+    """
+    ranged = df.repartitionByRange(*order)
+    return materialize(ranged.withColumn(out, F.spark_partition_id()), "ranges")
+
 
 def running_total(
     df: DataFrame,
@@ -19,9 +31,9 @@ def running_total(
 ) -> DataFrame:
     """Add `out`: the sum of `value` over the rows before this one in its group.
 
-    Rows are ordered by (`bucket`, *`order`). `bucket` cuts a group into ordered
-    ranges and must be a pure function of the order columns, so that the two scans
-    below agree. Each task sorts one (group, bucket); the totals of whole buckets
+    Rows are ordered by (`bucket`, *`order`). `bucket` cuts a group into ordered ranges;
+    it is a pure function of the order columns or comes from `ordered_ranges`, so that
+    the two scans below agree. Each task sorts one (group, bucket); the totals of whole buckets
     are aggregated map-side and only they are summed along the group.
     """
     group = list(group)

@@ -139,12 +139,11 @@ def unreadable(files: DataFrame) -> DataFrame:
 
 
 def bad_files(groups: Iterable[HeaderGroup]) -> DataFrame | None:
-    """Quarantine report: per file its rows, malformed rows and one malformed sample."""
+    """Quarantine report: rows and malformed rows of each file that has any malformed."""
     reports = [
         group.scan.groupBy(SOURCE_FILE).agg(
             F.count(F.lit(1)).alias("total_rows"),
             F.count_if(MALFORMED).alias("bad_rows"),
-            F.min(CORRUPT).alias("bad_sample"),
         )
         for group in groups
     ]
@@ -153,11 +152,20 @@ def bad_files(groups: Iterable[HeaderGroup]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, reports).where("bad_rows > 0")
 
 
+def quarantined_rows(groups: Iterable[HeaderGroup]) -> DataFrame | None:
+    """`(source_file, record)`: every malformed record as it stands in its file."""
+    parts = [
+        group.scan.where(MALFORMED).select(SOURCE_FILE, F.col(CORRUPT).alias("record"))
+        for group in groups
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def good_rows(group: HeaderGroup, on_bad: str = "rows") -> DataFrame:
     """Rows of a group under a policy for malformed records.
 
-    rows   drop the malformed rows only (they are in `bad_files`)
-    files  drop every row of a file that holds a malformed row
+    rows   leave out the malformed rows only (`quarantined_rows` holds them)
+    files  leave out every file that holds a malformed row
     fail   the scan itself raises
     """
     rows = group.scan

@@ -254,20 +254,28 @@ def table_sql_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bad_file_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bad_watch(spark: SparkSession, sf_dir: str) -> list[csv_files.HeaderGroup]:
     root = exports.fresh_root(spark, "bad")
     exports.export_watch(spark, sf_dir, root, with_bad=True)
-    files = listing.list_files(spark, listing.folder_globs(root, None, "Watch"))
-    report = csv_files.bad_files(csv_files.header_groups(files))
-    path = F.col(csv_files.SOURCE_FILE)
-    return report.select(
-        F.regexp_extract(path, r"/(Participant_[^/]+/Watch/[^/]+)$", 1).alias("file"),
-        "total_rows",
-        "bad_rows",
-        "bad_sample",
+    return csv_files.header_groups(
+        listing.list_files(spark, listing.folder_globs(root, None, "Watch"))
     )
 
 
+def _below_root(path: str):
+    return F.regexp_extract(path, r"/(Participant_[^/]+/Watch/[^/]+)$", 1).alias("file")
+
+
+def bad_file_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = csv_files.bad_files(_bad_watch(spark, sf_dir))
+    return report.select(_below_root(csv_files.SOURCE_FILE), "total_rows", "bad_rows")
+
+
+def bad_row_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = csv_files.quarantined_rows(_bad_watch(spark, sf_dir))
+    return rows.select(_below_root(csv_files.SOURCE_FILE), "record")
+
+
 def dataset_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the curated tables after loading a chosen few datasets."""
     root, target = exports.fresh_root(spark, "some"), storage.scratch_path(spark, "target")
@@ -420,6 +428,7 @@ QUERIES = {
     "parquet_roundtrip": parquet_roundtrip,
     "table_sql_read": table_sql_read,
     "bad_file_quarantine": bad_file_quarantine,
+    "bad_row_quarantine": bad_row_quarantine,
     "dataset_selection": dataset_selection,
     "rename_sanitize": rename_sanitize,
     "rename_plan": rename_plan,

@@ -427,13 +427,17 @@ ORACLES = {
     "bad_file_quarantine": _select(
         WATCH_EXPORT,
         """SELECT participant_id || '/Watch/' || file_name AS file, count(*) AS total_rows,
-          count(*) FILTER (event_id % 50 = 0) AS bad_rows,
-          min(line) FILTER (event_id % 50 = 0) AS bad_sample
-        FROM (SELECT *, "timestamp" || ',' || participant || ',' || v || ',' || (v * (event_id % 7))
-            || ',' || (v * (event_id % 11)) || ',' || (v * (event_id % 13)) || ',surplus' AS line
-          FROM watch_export)
+          count(*) FILTER (event_id % 50 = 0) AS bad_rows
+        FROM watch_export
         GROUP BY participant_id, file_name HAVING count(*) FILTER (event_id % 50 = 0) > 0""",
     ),
+    "bad_row_quarantine": _select(
+        WATCH_EXPORT,
+        """SELECT participant_id || '/Watch/' || file_name AS file,
+          "timestamp" || ',' || participant || ',' || v || ',' || (v * (event_id % 7))
+            || ',' || (v * (event_id % 11)) || ',' || (v * (event_id % 13)) || ',surplus' AS record
+        FROM watch_export WHERE event_id % 50 = 0""",
+    ),
     "dataset_selection": """
       SELECT 'aware_battery' AS table_name, count(*) AS "rows" FROM events
         WHERE event_type = 'view' AND user_id % 3 <> 0

@@ -71,7 +71,8 @@ def test_bad_rows_policies(spark, tree):
     found = _files(spark, tree, "Watch")
     groups = csv_files.header_groups(found)
     report = csv_files.bad_files(groups).collect()
-    assert [(os.path.basename(r.source_file), r.total_rows, r.bad_rows, r.bad_sample) for r in report] == [("w.csv", 3, 1, "2,61,oops")]
+    assert [(os.path.basename(r.source_file), r.total_rows, r.bad_rows) for r in report] == [("w.csv", 3, 1)]
+    assert [r.record for r in csv_files.quarantined_rows(groups).collect()] == ["2,61,oops"]
     whole = csv_files.read_csv(found, "files")
     assert [r.timestamp for r in whole.collect()] == ["4"]
     with pytest.raises(Exception, match="(?i)malformed"):
