@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions import paths
+from cohortloom.session import ship_package
 from cohortloom.sources.files import resolve
 from cohortloom.sources.listing import escape_glob
 
@@ -60,6 +61,7 @@ def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def headers_of(files: DataFrame) -> DataFrame:
     """`(path, header, error)` per file, reading only the first line of each, on executors."""
+    ship_package(files.sparkSession)
     slots = files.sparkSession.sparkContext.defaultParallelism
     return (
         files.select("path")

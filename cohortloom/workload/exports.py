@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import ship_package
 from cohortloom.sources.files import resolve
 from cohortloom.sources.storage import scratch_path
 from cohortloom.workload import cohort
@@ -24,6 +25,7 @@ def write_exports(rows: DataFrame, root: str) -> None:
     most ROWS_PER_FILE source rows, so a task holds one small file at a time; a retried
     task rewrites the same file.
     """
+    ship_package(rows.sparkSession)
     data = [c for c in rows.columns if c not in ("path", "header")]
     rows = rows.select("path", "header", *[F.col(c).cast("string").alias(c) for c in data])
 
