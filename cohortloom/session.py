@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +22,7 @@ SETTINGS = {
 }
 
 _shipped: set[str] = set()
+_lock = threading.Lock()
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -36,12 +39,15 @@ def ship_package(spark: SparkSession) -> None:
     installed on the executors.
     """
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="cohortloom-package-"), "cohortloom")
-    archive = shutil.make_archive(
-        target, "zip", os.path.dirname(package), os.path.basename(package)
-    )
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
+    with _lock:  # fits are submitted from several threads
+        if context.applicationId in _shipped:
+            return
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(
+            tempfile.mkdtemp(prefix="cohortloom-package-"), f"cohortloom-{uuid.uuid4().hex}"
+        )
+        archive = shutil.make_archive(
+            target, "zip", os.path.dirname(package), os.path.basename(package)
+        )
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
