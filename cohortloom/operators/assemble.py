@@ -50,7 +50,7 @@ def merge_features(parts: Sequence[DataFrame], key: str = KEY) -> DataFrame:
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [part.where(F.col(key).isNotNull()) for part in parts],
     )
-    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
+    return rows.groupBy(key).agg(*[F.expr(f"max(`{c}`) AS `{c}`") for c in rows.columns if c != key])
 
 
 def _slot(modality: str, source: str) -> str:

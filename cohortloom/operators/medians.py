@@ -61,9 +61,9 @@ class _Search:
 
 
 def exact_medians(
-    df: DataFrame, columns: Mapping[Hashable, Column], small: int | None = None
+    df: DataFrame, columns: Mapping[Hashable, Column | str], small: int | None = None
 ) -> dict[Hashable, float | None]:
-    """Exact median of each named expression; None where every value is NULL.
+    """Exact median of each named expression (a column or SQL text); None if all NULL.
 
     Up to `small` values per expression, one aggregate answers all of them. Beyond that,
     quantile sketches narrow the range that must hold the median, a count proves each
@@ -76,14 +76,12 @@ def exact_medians(
     if small is None:
         small = max(1_000, VALUES_IN_A_TASK // len(columns))
     labels = {f"m{i}": name for i, name in enumerate(columns)}
-    frame = df.select(
-        *[columns[name].cast("double").alias(label) for label, name in labels.items()]
-    )
-    counts = frame.agg(*[F.count(label).alias(label) for label in labels]).first()
+    frame = df.select(*[_labelled(columns[name], label) for label, name in labels.items()])
+    counts = frame.agg(*[F.expr(f"count({label}) AS {label}") for label in labels]).first()
     few = [label for label in labels if counts[label] <= small]
     result: dict[Hashable, float | None] = {}
     if few:
-        row = frame.agg(*[F.median(label).alias(label) for label in few]).first()
+        row = frame.agg(*[F.expr(f"median({label}) AS {label}") for label in few]).first()
         result.update({labels[label]: row[label] for label in few})
     many = {
         label: _Search(counts[label], held=counts[label]) for label in labels if label not in few
@@ -95,6 +93,12 @@ def exact_medians(
     return {name: result[name] for name in columns}
 
 
+def _labelled(value: Column | str, label: str) -> Column:
+    if isinstance(value, str):
+        return F.expr(f"CAST({value} AS double) AS {label}")
+    return value.cast("double").alias(label)
+
+
 def _narrow(frame: DataFrame, searches: Mapping[str, _Search], small: int) -> None:
     """Shrink the ranges until each holds at most `small` values or cannot shrink."""
     while True:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,6 +12,18 @@ from pyspark.sql import functions as F
 from cohortloom.operators.medians import exact_medians
 
 
+def _literal(number: float) -> str:
+    """SQL text of a double; the shortest text that reads back as the same value."""
+    return f"{number!r}D" if math.isfinite(number) else f"double('{number!r}')"
+
+
+def _replace(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame:
+    """One projection that replaces the named columns and keeps the others."""
+    return df.selectExpr(
+        *[f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in df.columns]
+    )
+
+
 @dataclass(frozen=True)
 class MedianFill:
     """Exact medians of a fitted frame; a column without any value has none."""
@@ -19,7 +32,7 @@ class MedianFill:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> MedianFill:
-        return cls(exact_medians(df, {c: F.col(c) for c in columns}))
+        return cls(exact_medians(df, {c: f"`{c}`" for c in columns}))
 
     @property
     def empty(self) -> list[str]:
@@ -28,14 +41,11 @@ class MedianFill:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Cast to double and fill NULLs; a column without a median stays NULL."""
-        return df.withColumns(
-            {
-                c: F.col(c).cast("double")
-                if median is None
-                else F.coalesce(F.col(c).cast("double"), F.lit(median))
-                for c, median in self.medians.items()
-            }
-        )
+        filled = {}
+        for c, median in self.medians.items():
+            value = f"CAST(`{c}` AS double)"
+            filled[c] = value if median is None else f"coalesce({value}, {_literal(median)})"
+        return _replace(df, filled)
 
 
 @dataclass(frozen=True)
@@ -47,16 +57,17 @@ class Standardize:
     @classmethod
     def fit(cls, df: DataFrame, columns: Sequence[str]) -> Standardize:
         row = df.agg(
-            *[F.avg(c).alias(f"a{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+            *[F.expr(f"avg(`{c}`) AS a{i}") for i, c in enumerate(columns)],
+            *[F.expr(f"stddev_pop(`{c}`) AS s{i}") for i, c in enumerate(columns)],
         ).first()
         return cls({c: (row[f"a{i}"], row[f"s{i}"]) for i, c in enumerate(columns)})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(
+        return _replace(
+            df,
             {
-                c: (F.col(c) - F.lit(mean)) / F.lit(deviation or 1.0)
+                c: f"(`{c}` - {_literal(mean)}) / {_literal(deviation or 1.0)}"
                 for c, (mean, deviation) in self.moments.items()
                 if mean is not None
-            }
+            },
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,15 +59,19 @@ def with_participant(df: DataFrame) -> DataFrame:
     return df.withColumn("participant", suffix)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the declared columns, in order; missing ones as typed NULLs."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
+    """The declared columns, in order, missing ones as typed NULLs.
+
+    `keep_extra` appends the columns an export carries beyond the declared ones.
+    """
+    have = {c.lower() for c in df.columns}
+    declared = [
+        F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema
+    ]
+    known = {f.name.lower() for f in schema}
+    extra = [F.col(f"`{c}`") for c in df.columns if keep_extra and c.lower() not in known]
+    return df.select(*declared, *extra)
 
 
 def phone_log(
@@ -75,10 +80,11 @@ def phone_log(
     log: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
+    count: csv_files.MalformedCount | None = None,
 ) -> DataFrame | None:
     """All exports of one phone log, typed, with provenance and `aware_type`."""
     files = listing.list_files(spark, listing.phone_globs(root, participants, log), r"\.csv$")
-    rows = csv_files.read_csv(files, on_bad)
+    rows = csv_files.read_csv(files, on_bad, count)
     if rows is None:
         return None
     typed = cast_declared(rows, schemas.measures(f"aware_{log}"))
@@ -94,10 +100,11 @@ def device_table(
     folder: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
+    count: csv_files.MalformedCount | None = None,
 ) -> DataFrame | None:
     """Ring or watch exports below `folder`, typed, with provenance."""
     files = listing.list_files(spark, listing.folder_globs(root, participants, folder))
-    rows = csv_files.read_csv(files, on_bad)
+    rows = csv_files.read_csv(files, on_bad, count)
     if rows is None:
         return None
     return with_participant(with_provenance(cast_declared(rows, schemas.measures(table))))
@@ -113,6 +120,7 @@ def surveys_long(
     root: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
+    count: csv_files.MalformedCount | None = None,
     any_q: bool = False,
 ) -> DataFrame | None:
     """Questionnaires to one row per answered question.
@@ -123,11 +131,10 @@ def surveys_long(
     files = listing.list_files(spark, listing.folder_globs(root, participants, "Surveys"))
     parts = []
     for group in csv_files.header_groups(files, on_bad):
-        rows = with_provenance(csv_files.good_rows(group, on_bad))
-        rows = with_participant(rows)
         questions = reshape.question_columns(group.columns, any_q)
         if not questions:
             continue
+        rows = with_participant(with_provenance(csv_files.good_rows(group, on_bad, count)))
         ids = reshape.metadata_columns(rows.columns)
         long = reshape.unpivot_answers(rows, [*ids, "ingest_ts"], questions)
         parts.append(
@@ -161,32 +168,13 @@ def selected(requested: set[str], dataset: str) -> bool:
 
 
 def builders() -> dict[str, tuple[str, Callable[..., DataFrame | None]]]:
-    """Dataset name -> (curated table, function that builds its rows), in run order."""
-    phone = {
-        f"aware:{log}": (
-            f"aware_{log}",
-            lambda spark, root, people, on_bad, log=log: phone_log(spark, root, log, people, on_bad),
-        )
-        for log in schemas.PHONE_LOGS
-    }
+    """Dataset name -> (curated table, function of (spark, root, …)), in run order."""
+    phone = {f"aware:{log}": (f"aware_{log}", partial(phone_log, log=log)) for log in schemas.PHONE_LOGS}
     return {
         **phone,
-        "oura": (
-            "oura",
-            lambda spark, root, people, on_bad: device_table(
-                spark, root, "oura", "Oura", people, on_bad
-            ),
-        ),
-        "watch": (
-            "watch",
-            lambda spark, root, people, on_bad: device_table(
-                spark, root, "watch", "Watch", people, on_bad
-            ),
-        ),
-        "surveys": (
-            "surveys_long",
-            lambda spark, root, people, on_bad: surveys_long(spark, root, people, on_bad),
-        ),
+        "oura": ("oura", partial(device_table, table="oura", folder="Oura")),
+        "watch": ("watch", partial(device_table, table="watch", folder="Watch")),
+        "surveys": ("surveys_long", surveys_long),
     }
 
 
@@ -204,17 +192,25 @@ def ingest(
 
     A dataset without files is skipped. A dataset whose files hold no rows writes an
     empty table with the declared schema, so there is no probing job before the write.
+    Malformed records are counted while the table is written; only if there are any,
+    they are read again and kept, as they stand, under `quarantine/<table>`.
     """
     requested = parse_datasets(datasets)
+    target_root = target_root.rstrip("/")
     written = []
     for dataset, (table, build) in builders().items():
         if not selected(requested, dataset):
             continue
-        rows = build(spark, source_root, participants, on_bad)
+        count = csv_files.MalformedCount()
+        rows = build(spark, source_root, participants=participants, on_bad=on_bad, count=count)
         if rows is None:
             continue
-        if not dry_run:
-            target = f"{target_root.rstrip('/')}/{tables.location(table)}"
-            tables.write_parquet(conform(rows, schemas.curated(table)), target, write_mode)
         written.append(table)
+        if dry_run:
+            continue
+        curated = conform(rows, schemas.curated(table), keep_extra=True)
+        tables.write_parquet(curated, f"{target_root}/{tables.location(table)}", write_mode)
+        quarantined = csv_files.quarantined_rows(count.groups())
+        if quarantined is not None:
+            tables.write_parquet(quarantined, f"{target_root}/quarantine/{table}", write_mode)
     return written

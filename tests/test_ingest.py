@@ -158,6 +158,11 @@ def test_whole_job_and_tables(spark, tree, tmp_path):
     for name in written:
         table = tables.read_table(spark, target, name)
         assert table.schema == schemas.curated(name)
+    # undeclared columns are kept, malformed records are set aside
+    assert "extra" in spark.read.parquet(f"{target}/aware/battery").columns
+    kept = spark.read.parquet(f"{target}/quarantine/watch").collect()
+    assert [r.record for r in kept] == ["2,61,oops"]
+    assert os.listdir(f"{target}/quarantine") == ["watch"]
     assert tables.read_table(spark, target, "aware_battery").count() == 3
     ingest.ingest(spark, tree, target, "aware:battery", write_mode="append")
     assert tables.read_table(spark, target, "aware_battery").count() == 6
