@@ -80,11 +80,11 @@ def phone_log(
     log: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
-    count: csv_files.MalformedCount | None = None,
+    seen: list[csv_files.HeaderGroup] | None = None,
 ) -> DataFrame | None:
     """All exports of one phone log, typed, with provenance and `aware_type`."""
     files = listing.list_files(spark, listing.phone_globs(root, participants, log), r"\.csv$")
-    rows = csv_files.read_csv(files, on_bad, count)
+    rows = csv_files.read_csv(files, on_bad, seen)
     if rows is None:
         return None
     typed = cast_declared(rows, schemas.measures(f"aware_{log}"))
@@ -100,11 +100,11 @@ def device_table(
     folder: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
-    count: csv_files.MalformedCount | None = None,
+    seen: list[csv_files.HeaderGroup] | None = None,
 ) -> DataFrame | None:
     """Ring or watch exports below `folder`, typed, with provenance."""
     files = listing.list_files(spark, listing.folder_globs(root, participants, folder))
-    rows = csv_files.read_csv(files, on_bad, count)
+    rows = csv_files.read_csv(files, on_bad, seen)
     if rows is None:
         return None
     return with_participant(with_provenance(cast_declared(rows, schemas.measures(table))))
@@ -120,7 +120,7 @@ def surveys_long(
     root: str,
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
-    count: csv_files.MalformedCount | None = None,
+    seen: list[csv_files.HeaderGroup] | None = None,
     any_q: bool = False,
 ) -> DataFrame | None:
     """Questionnaires to one row per answered question.
@@ -129,12 +129,15 @@ def surveys_long(
     widened to the questions of other questionnaires.
     """
     files = listing.list_files(spark, listing.folder_globs(root, participants, "Surveys"))
+    groups = csv_files.header_groups(files, on_bad)
+    if seen is not None:
+        seen.extend(groups)
     parts = []
-    for group in csv_files.header_groups(files, on_bad):
+    for group in groups:
         questions = reshape.question_columns(group.columns, any_q)
         if not questions:
             continue
-        rows = with_participant(with_provenance(csv_files.good_rows(group, on_bad, count)))
+        rows = with_participant(with_provenance(csv_files.good_rows(group, on_bad)))
         ids = reshape.metadata_columns(rows.columns)
         long = reshape.unpivot_answers(rows, [*ids, "ingest_ts"], questions)
         parts.append(
@@ -187,13 +190,15 @@ def ingest(
     write_mode: str = "overwrite",
     on_bad: str = "rows",
     dry_run: bool = False,
+    quarantine: bool = True,
 ) -> list[str]:
     """Load the selected datasets; the names of the curated tables that were written.
 
     A dataset without files is skipped. A dataset whose files hold no rows writes an
     empty table with the declared schema, so there is no probing job before the write.
-    Malformed records are counted while the table is written; only if there are any,
-    they are read again and kept, as they stand, under `quarantine/<table>`.
+    Malformed records that the policy leaves out are kept, as they stand, under
+    `quarantine/<table>`; finding them parses the exports a second time, and
+    `quarantine=False` saves that.
     """
     requested = parse_datasets(datasets)
     target_root = target_root.rstrip("/")
@@ -201,8 +206,8 @@ def ingest(
     for dataset, (table, build) in builders().items():
         if not selected(requested, dataset):
             continue
-        count = csv_files.MalformedCount()
-        rows = build(spark, source_root, participants=participants, on_bad=on_bad, count=count)
+        seen: list[csv_files.HeaderGroup] = []
+        rows = build(spark, source_root, participants=participants, on_bad=on_bad, seen=seen)
         if rows is None:
             continue
         written.append(table)
@@ -210,7 +215,7 @@ def ingest(
             continue
         curated = conform(rows, schemas.curated(table), keep_extra=True)
         tables.write_parquet(curated, f"{target_root}/{tables.location(table)}", write_mode)
-        quarantined = csv_files.quarantined_rows(count.groups())
-        if quarantined is not None:
-            tables.write_parquet(quarantined, f"{target_root}/quarantine/{table}", write_mode)
+        if quarantine and on_bad != "fail":
+            malformed = csv_files.quarantined_rows(seen)
+            tables.write_parquet(malformed, f"{target_root}/quarantine/{table}", write_mode)
     return written

@@ -6,10 +6,9 @@ import csv
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from threading import Thread
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -164,40 +163,14 @@ def quarantined_rows(groups: Iterable[HeaderGroup]) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-class MalformedCount:
-    """Counts malformed records while the scans it watches are written for other reasons."""
-
-    def __init__(self) -> None:
-        self._watched: list[tuple[HeaderGroup, Observation]] = []
-
-    def watch(self, group: HeaderGroup) -> DataFrame:
-        seen = Observation()
-        self._watched.append((group, seen))
-        return group.scan.observe(seen, F.count_if(MALFORMED).alias("bad"))
-
-    def groups(self) -> list[HeaderGroup]:
-        """Watched groups whose scans met malformed records, or gave no count in time."""
-        return [group for group, seen in self._watched if self._bad(seen) != 0]
-
-    @staticmethod
-    def _bad(seen: Observation, seconds: float = 10) -> int | None:
-        found: list[int] = []
-        waiting = Thread(target=lambda: found.append(seen.get["bad"]), daemon=True)
-        waiting.start()
-        waiting.join(seconds)
-        return found[0] if found else None
-
-
-def good_rows(
-    group: HeaderGroup, on_bad: str = "rows", count: MalformedCount | None = None
-) -> DataFrame:
+def good_rows(group: HeaderGroup, on_bad: str = "rows") -> DataFrame:
     """Rows of a group under a policy for malformed records.
 
     rows   leave out the malformed rows only (`quarantined_rows` holds them)
     files  leave out every file that holds a malformed row
     fail   the scan itself raises
     """
-    rows = group.scan if count is None else count.watch(group)
+    rows = group.scan
     if on_bad == "files":
         bad = bad_files([group]).select(SOURCE_FILE)
         rows = rows.join(bad, SOURCE_FILE, "left_anti")
@@ -215,8 +188,13 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame | None:
 
 
 def read_csv(
-    files: DataFrame, on_bad: str = "rows", count: MalformedCount | None = None
+    files: DataFrame, on_bad: str = "rows", seen: list[HeaderGroup] | None = None
 ) -> DataFrame | None:
-    """All listed CSV files as text columns plus `source_file`, or None without files."""
+    """All listed CSV files as text columns plus `source_file`, or None without files.
+
+    The header groups that were read are appended to `seen`.
+    """
     groups = header_groups(files, on_bad)
-    return union_by_name(good_rows(group, on_bad, count) for group in groups)
+    if seen is not None:
+        seen.extend(groups)
+    return union_by_name(good_rows(group, on_bad) for group in groups)

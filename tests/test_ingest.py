@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.plans import ingest
@@ -162,7 +161,8 @@ def test_whole_job_and_tables(spark, tree, tmp_path):
     assert "extra" in spark.read.parquet(f"{target}/aware/battery").columns
     kept = spark.read.parquet(f"{target}/quarantine/watch").collect()
     assert [r.record for r in kept] == ["2,61,oops"]
-    assert os.listdir(f"{target}/quarantine") == ["watch"]
+    assert sorted(os.listdir(f"{target}/quarantine")) == sorted(written)
+    assert spark.read.parquet(f"{target}/quarantine/oura").isEmpty()
     assert tables.read_table(spark, target, "aware_battery").count() == 3
     ingest.ingest(spark, tree, target, "aware:battery", write_mode="append")
     assert tables.read_table(spark, target, "aware_battery").count() == 6
