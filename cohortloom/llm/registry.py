@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import exact_dedup, secrets, token_counts, token_files
+from cohortloom.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    secrets,
+    simhash_dedup,
+    token_counts,
+    token_files,
+)
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_secret_scan": secrets.op4_secret_scan,
+    "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_token_files": token_files.op6_token_files,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op10_language_id": language_id.op10_language_id,
 }
 ORACLES = {"op2_exact_dedup": exact_dedup.SQL}
