@@ -42,16 +42,22 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     position = np.arange(n, dtype=np.int64)
     left = np.minimum(block - position % block, n - position)  # ids up to the block's end
     selector = np.zeros(n, np.uint8)
-    for s in range(15, 0, -1):  # from one id in a word to many: what fits more also fits fewer
+    open_ = position  # where the selector before fits; what more ids fit, fewer do
+    for s in range(15, 0, -1):
         count, bits = SELECTORS[s]
-        wide = np.zeros(n + 1, np.int64)
-        np.cumsum(ids >> np.uint64(bits) != 0, out=wide[1:])
-        fits = left >= count
-        ends = np.minimum(position + count, n)
-        fits &= wide[ends] == wide[:-1]
-        if not fits.any():
+        open_ = open_[left[open_] >= count]
+        if len(open_) * 4 > n:
+            wide = np.zeros(n + 1, np.int32)
+            np.cumsum(ids >> np.uint64(bits) != 0, out=wide[1:])
+            fits = wide[open_ + count] == wide[open_]
+        else:
+            fits = np.ones(len(open_), bool)
+            for k in range(count):
+                fits &= ids[open_ + k] >> np.uint64(bits) == 0
+        open_ = open_[fits]
+        if not len(open_):
             break
-        selector[fits] = s
+        selector[open_] = s
     step = _COUNTS[selector].tolist()
     starts, at = [], 0
     while at < n:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,32 +33,40 @@ HEADER = 6
 MARK = "\n=seg8b\n"  # eight bytes, so words stay aligned in a file
 SEGMENT = 1 << 20  # ids after which a segment is closed; a document is never cut
 NO_ID = np.iinfo(np.int64).min  # stands for a null identifier
-REMEMBERED = 250_000  # pieces of text whose ids a worker keeps; it starts anew beyond
+REMEMBERED = 200_000  # parts of texts in each half of what a worker remembers
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 
 
-class _Words(dict):
-    """Text between spaces -> its ids as bytes, filled as they are met."""
+class _Recent(dict):
+    """Part of a text -> its ids as bytes, filled as parts are met.
+
+    When it is full, it becomes the older half of what is remembered, and parts that are met
+    again come back from there.
+    """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        self[word] = ids = self.encode(word)
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.encode(part)
+        self[part] = ids
         return ids
 
 
 class Encoder:
-    """The ids of the tokenizers library, words met before taken from memory.
+    """The ids of the tokenizers library, parts met before taken from memory.
 
-    Byte-level BPE splits a text by a pattern and encodes the parts one by one, and a space
-    between two other characters always begins a part. So a text is cut at such spaces and
-    the ids of its words are put together. Words of Latin letters, digits and ASCII signs
-    are split here and go to the library's model; any other word goes to the library whole,
-    as does a text that holds one of its added tokens.
+    Byte-level BPE splits a text by a pattern and encodes the parts one by one. Texts of
+    Latin letters, digits and ASCII signs are split here and their parts go to the library's
+    model. Other texts are cut at spaces between two other characters, where a part always
+    begins; the pieces that have other characters go to the library whole, as does a text
+    that holds one of its added tokens.
     """
 
     plain = re.compile(rf"[!-~\n {LETTERS}]*\Z")
@@ -65,8 +74,7 @@ class Encoder:
     parts = re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
     )
-    beside_space = re.compile(r" \s|\s ")
-    single_space = re.compile(r"(?<=\S) (?=\S)")
+    single_space = re.compile(r"(?<=\S)(?= \S)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -75,32 +83,30 @@ class Encoder:
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.stand_in = {b: c for c, b in byte_alphabet().items()}
-        self.part_ids = _Words(self._part)
-        self.after_space = _Words(lambda word: self._word(" " + word))
+        self.part_ids = _Recent(self._part)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        shown = part.encode().decode("latin-1").translate(self.stand_in)
-        return np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        if part.isascii():  # of these, the stand-ins of space and line feed differ
+            shown = part.replace(" ", "Ġ").replace("\n", "Ċ")
+        else:
+            shown = part.encode().decode("latin-1").translate(self.stand_in)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if self.plain.match(word):
-            return b"".join(map(self.part_ids.__getitem__, self.parts.findall(word)))
-        return self.whole(word)
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.part_ids.__getitem__, self.parts.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if any(token in text for token in self.added):
             return self.whole(text)
-        if self.beside_space.search(text):
-            words = self.single_space.split(text)
-        else:
-            words = text.split(" ")
-        known = self.after_space
-        return self._word(words[0]) + b"".join(map(known.__getitem__, words[1:]))
+        if self.plain.match(text):
+            return self._plain(text)
+        pieces = self.single_space.split(text)
+        return b"".join([self._plain(x) if self.plain.match(x) else self.whole(x) for x in pieces])
 
 
 _encoders: dict[str, Encoder] = {}
