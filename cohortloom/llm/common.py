@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortloom.session import ship_package
 
@@ -23,7 +24,9 @@ def whole_text(column: str | Column) -> Column:
 
 
 def map_arrow(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
+    schema: str | StructType,
 ) -> DataFrame:
     """mapInArrow with this package importable on the executors."""
     ship_package(df.sparkSession)

@@ -250,5 +250,27 @@ def benchmark_matches(
     return reduce(DataFrame.unionByName, found)
 
 
+def without_matches(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` that hold no benchmark item, with all their columns; no shuffle."""
+
+    def look(items: Items):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, text_col, 4 << 20):
+                clean = [not items.matches(t) for t in texts(batch.column(text_col))]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return run
+
+    for block in _passes(benchmark, item_col, item_text_col):
+        docs = map_arrow(docs, look(Items(block)), docs.schema)
+    return docs
+
+
 def op1_decontamination(spark, sf_dir):
     return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

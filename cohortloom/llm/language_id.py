@@ -314,6 +314,20 @@ def fit(
     return calibrate(models, entropy, measured["lang"].map(number).to_numpy())
 
 
+def judge(models: Models, entropy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language (-1 without words), score and acceptance of each text."""
+    best = np.full(len(entropy), -1)
+    score, accepted = np.zeros(len(entropy)), np.zeros(len(entropy), bool)
+    known = np.flatnonzero(~np.isnan(entropy[:, 0]))
+    if len(known):
+        own = entropy[known]
+        at, each = own.argmin(axis=1), np.arange(len(known))
+        p = probabilities(own, models.temperature)[each, at]
+        best[known], score[known] = at, p
+        accepted[known] = (own[each, at] <= models.bound[at]) & (p >= LOW_SCORE)
+    return best, score, accepted
+
+
 def identify(
     docs: DataFrame, models: Models | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -329,21 +343,13 @@ def identify(
         scorer = Scorer(models) if models else None
         for batch in slices(batches, "text", 4 << 20):
             found = [words_of(t) for t in texts(batch.column("text"))]
-            n = len(found)
-            lang, score = [UNDETERMINED] * n, np.zeros(n)
-            accepted = np.zeros(n, bool)
-            known = np.array([bool(words) for words in found])
-            if scorer and known.any():
-                entropy = scorer.cross_entropy(found)[known]
-                p = probabilities(entropy, models.temperature)
-                best = entropy.argmin(axis=1)
-                each = np.arange(len(best))
-                score[known] = p[each, best]
-                accepted[known] = (entropy[each, best] <= models.bound[best]) & (
-                    p[each, best] >= LOW_SCORE
-                )
-                for i, k in zip(np.flatnonzero(known).tolist(), best.tolist(), strict=True):
-                    lang[i] = models.languages[k]
+            lang = [UNDETERMINED] * len(found)
+            score, accepted = np.zeros(len(found)), np.zeros(len(found), bool)
+            if scorer:
+                best, score, accepted = judge(models, scorer.cross_entropy(found))
+                for i, k in enumerate(best.tolist()):
+                    if k >= 0:
+                        lang[i] = models.languages[k]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(lang), pa.array(score), pa.array(accepted)],
                 names=["doc_id", "lang_pred", "score", "accepted"],
@@ -355,6 +361,22 @@ def identify(
     return map_arrow(rows, run, "doc_id long, lang_pred string, score double, accepted boolean")
 
 
+def accepted_rows(docs: DataFrame, models: Models | None, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text is accepted, with all their columns, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(models) if models else None
+        for batch in slices(batches, text_col, 4 << 20):
+            found = [words_of(t) for t in texts(batch.column(text_col))]
+            accepted = np.zeros(len(found), bool)
+            if scorer:
+                entropy = scorer.cross_entropy(found)
+                accepted = judge(models, entropy)[2]
+            yield batch.filter(pa.array(accepted))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows to test on: the CRC-32 of the identifier as text leaves 2 modulo 4."""
     remainder = F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
