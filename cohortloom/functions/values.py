@@ -20,13 +20,26 @@ def number_sql(column: str) -> str:
 
 
 def event_time(value: Column) -> Column:
-    """Timestamp from ISO text or from epoch seconds / milliseconds held as text."""
+    """Timestamp of a text in one of the declared shapes, else NULL.
+
+    A date with or without a time of day (ISO), eight digits as yyyyMMdd, or an epoch in
+    seconds, milliseconds, microseconds or nanoseconds, told apart by magnitude (seconds
+    below 1e11, and a thousandfold for each further unit). A time of day alone is no instant.
+    """
     text = F.trim(value.cast("string"))
-    epoch = F.when(text.rlike(r"^-?\d+(\.\d+)?$"), text.try_cast("double"))
-    seconds = F.when(F.abs(epoch) >= 1e11, epoch / 1000).otherwise(epoch)
-    return F.when(epoch.isNotNull(), F.timestamp_micros((seconds * 1e6).cast("bigint"))).otherwise(
-        text.try_cast("timestamp")
+    day = F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
+    epoch = F.when(
+        text.rlike(r"^-?\d+(\.\d+)?$") & ~text.rlike(r"^\d{8}$"), text.try_cast("double")
+    )
+    size = F.abs(epoch)
+    micros = (
+        F.when(size < 1e11, epoch * 1e6)
+        .when(size < 1e14, epoch * 1e3)
+        .when(size < 1e17, epoch)
+        .when(size < 1e20, epoch / 1e3)
     )
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"), text.try_cast("timestamp"))
+    return F.coalesce(day, F.timestamp_micros(micros.cast("bigint")), iso)
 
 
 def answered(value: Column) -> Column:

@@ -6,11 +6,12 @@ from collections.abc import Hashable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Values that one aggregate over all expressions may hold in a task.
-VALUES_IN_A_TASK = 4_000_000
+from cohortloom.operators.running import ordered_ranges, running_total
+
+# Ranges that hold no more values than this need no further narrowing.
+NARROW_ENOUGH = 100_000
 
 
 def small_domain_median(df: DataFrame, column: str) -> DataFrame:
@@ -61,42 +62,36 @@ class _Search:
 
 
 def exact_medians(
-    df: DataFrame, columns: Mapping[Hashable, Column | str], small: int | None = None
+    df: DataFrame, columns: Mapping[Hashable, Column | str], small: int = NARROW_ENOUGH
 ) -> dict[Hashable, float | None]:
-    """Exact median of each named expression (a column or SQL text); None if all NULL.
-
-    Up to `small` values per expression, one aggregate answers all of them. Beyond that,
-    quantile sketches narrow the range that must hold the median, a count proves each
-    narrower range, and the exact order statistics are taken from the few values left
-    inside. All expressions advance together, so the number of passes does not grow with
-    their number. `df` is scanned several times: pass a written table, not a long plan.
+    """Exact median of each named expression (a column or SQL text); None without values.
+
+    NaN counts as NULL. While the range that must hold a median has more than `small`
+    values, quantile sketches narrow it and a count proves each narrower range. The middle
+    order statistics are then found by running counts over ordered ranges of the distinct
+    values left, so no task holds all of them however many they are. All expressions advance
+    together, so the number of passes does not grow with their number. `df` is scanned
+    several times: pass a written table, not a long plan.
     """
     if not columns:
         return {}
-    if small is None:
-        small = max(1_000, VALUES_IN_A_TASK // len(columns))
     labels = {f"m{i}": name for i, name in enumerate(columns)}
     frame = df.select(*[_labelled(columns[name], label) for label, name in labels.items()])
     counts = frame.agg(*[F.expr(f"count({label}) AS {label}") for label in labels]).first()
-    few = [label for label in labels if counts[label] <= small]
-    result: dict[Hashable, float | None] = {}
-    if few:
-        row = frame.agg(*[F.expr(f"median({label}) AS {label}") for label in few]).first()
-        result.update({labels[label]: row[label] for label in few})
-    many = {
-        label: _Search(counts[label], held=counts[label]) for label in labels if label not in few
+    searches = {
+        label: _Search(counts[label], held=counts[label]) for label in labels if counts[label]
     }
-    if many:
-        _narrow(frame, many, small)
-        found = _middle_values(frame, many)
-        result.update({labels[label]: found[label] for label in many})
-    return {name: result[name] for name in columns}
+    found: dict[str, float] = {}
+    if searches:
+        _narrow(frame, searches, small)
+        found = _middle_values(frame, searches)
+    return {name: found.get(label) for label, name in labels.items()}
 
 
 def _labelled(value: Column | str, label: str) -> Column:
     if isinstance(value, str):
-        return F.expr(f"CAST({value} AS double) AS {label}")
-    return value.cast("double").alias(label)
+        return F.expr(f"nanvl(CAST({value} AS double), CAST(NULL AS double)) AS {label}")
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double")).alias(label)
 
 
 def _narrow(frame: DataFrame, searches: Mapping[str, _Search], small: int) -> None:
@@ -128,11 +123,11 @@ def _middle_values(frame: DataFrame, searches: Mapping[str, _Search]) -> dict[st
     )
     ranged = frame.select(*[s.inside(c).alias(c) for c, s in searches.items()])
     values = ranged.unpivot([], list(searches), "name", "v").where("v is not null")
-    # equal values collapse before the running count, which runs per column
+    # equal values collapse before the running count
     counted = values.groupBy("name", "v").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(W.partitionBy("name").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    ranked = counted.withColumn("upto", upto).join(state, "name")
-    reached = F.col("upto") + F.col("below")
+    ranged = ordered_ranges(counted, ["name", "v"], "range")
+    ranked = running_total(ranged, ["name"], "range", ["v"], "n", "before").join(state, "name")
+    reached = F.col("before") + F.col("n") + F.col("below")
     middles = ranked.groupBy("name").agg(
         *[F.min(F.when(reached > F.col(r), F.col("v"))).alias(r) for r in ("first", "last")]
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import paths
 from cohortloom.operators.running import ordered_ranges, running_total
+from cohortloom.sources.storage import materialize
 
 FAMILY = ["dir", "stem", "ext"]
 NUMBERS_PER_RANGE = 4096
@@ -44,6 +45,7 @@ def rename_plan(keys: DataFrame, key: str = "key") -> DataFrame:
     claims = claims.join(kept, FAMILY, "left").withColumn(
         "nth", F.col("before") + F.coalesce("in_use", F.lit(0))
     )
+    claims = materialize(claims, "claims")  # four consumers follow
     first = claims.where("nth = 0").withColumn("suffix", F.lit(""))
     extra = claims.where("nth > 0")
     numbered = extra.join(_suffix_numbers(extra, named), [*FAMILY, "nth"]).withColumn(

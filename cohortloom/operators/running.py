@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,8 +46,11 @@ def running_total(
     )
     inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     within = df.withColumn("__within", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    named = offsets.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], "__offset")
+    # a NULL in a group column makes a group like any other value
+    same = [F.col(k).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(keys)]
     return (
-        within.join(offsets, keys)
+        within.join(named, reduce(Column.__and__, same))
         .withColumn(out, F.col("__offset") + F.col("__within"))
-        .drop("__offset", "__within")
+        .drop("__offset", "__within", *[f"__key{i}" for i in range(len(keys))])
     )

@@ -8,12 +8,14 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from cohortloom import schemas
 from cohortloom.functions import paths
 from cohortloom.functions.values import number
 from cohortloom.operators import reshape
 from cohortloom.sources import csv_files, listing, tables
+from cohortloom.sources.storage import materialize
 
 CASTS: dict[type, Callable[[Column], Column]] = {
     T.DoubleType: number,
@@ -74,6 +76,11 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> Da
     return df.select(*declared, *extra)
 
 
+def spellings(table: str) -> list[str]:
+    """Column names that headers are brought to, whatever their letter case."""
+    return [*reshape.METADATA, *[field.name for field in schemas.curated(table)]]
+
+
 def phone_log(
     spark: SparkSession,
     root: str,
@@ -81,10 +88,11 @@ def phone_log(
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
     seen: list[csv_files.HeaderGroup] | None = None,
+    failed: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
     """All exports of one phone log, typed, with provenance and `aware_type`."""
-    files = listing.list_files(spark, listing.phone_globs(root, participants, log), r"\.csv$")
-    rows = csv_files.read_csv(files, on_bad, seen)
+    files = listing.list_files(spark, listing.phone_globs(root, participants, log))
+    rows = csv_files.read_csv(files, on_bad, seen, spellings(f"aware_{log}"), failed)
     if rows is None:
         return None
     typed = cast_declared(rows, schemas.measures(f"aware_{log}"))
@@ -101,10 +109,11 @@ def device_table(
     participants: Sequence[str] | None = None,
     on_bad: str = "rows",
     seen: list[csv_files.HeaderGroup] | None = None,
+    failed: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
     """Ring or watch exports below `folder`, typed, with provenance."""
     files = listing.list_files(spark, listing.folder_globs(root, participants, folder))
-    rows = csv_files.read_csv(files, on_bad, seen)
+    rows = csv_files.read_csv(files, on_bad, seen, spellings(table), failed)
     if rows is None:
         return None
     return with_participant(with_provenance(cast_declared(rows, schemas.measures(table))))
@@ -122,6 +131,7 @@ def surveys_long(
     on_bad: str = "rows",
     seen: list[csv_files.HeaderGroup] | None = None,
     any_q: bool = False,
+    failed: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
     """Questionnaires to one row per answered question.
 
@@ -129,7 +139,7 @@ def surveys_long(
     widened to the questions of other questionnaires.
     """
     files = listing.list_files(spark, listing.folder_globs(root, participants, "Surveys"))
-    groups = csv_files.header_groups(files, on_bad)
+    groups = csv_files.header_groups(files, on_bad, reshape.METADATA, failed)
     if seen is not None:
         seen.extend(groups)
     parts = []
@@ -170,17 +180,35 @@ def selected(requested: set[str], dataset: str) -> bool:
     return "all" in requested or dataset.lower() in requested
 
 
-def builders() -> dict[str, tuple[str, Callable[..., DataFrame | None]]]:
+def builders(any_q: bool = False) -> dict[str, tuple[str, Callable[..., DataFrame | None]]]:
     """Dataset name -> (curated table, function of (spark, root, …)), in run order."""
     phone = {f"aware:{log}": (f"aware_{log}", partial(phone_log, log=log)) for log in schemas.PHONE_LOGS}
     return {
         **phone,
         "oura": ("oura", partial(device_table, table="oura", folder="Oura")),
         "watch": ("watch", partial(device_table, table="watch", folder="Watch")),
-        "surveys": ("surveys_long", surveys_long),
+        "surveys": ("surveys_long", partial(surveys_long, any_q=any_q)),
     }
 
 
+def with_others(rows: DataFrame, path: str, participants: Sequence[str]) -> DataFrame:
+    """`rows` and what the table at `path` holds of other participants, written aside first.
+
+    A table can't be read while it is overwritten, so the new content goes to the shared
+    folder before it takes the table's place.
+    """
+    try:
+        held = rows.sparkSession.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    others = held.where(
+        F.col("participant_id").isNull() | ~F.col("participant_id").isin(*participants)
+    )
+    return materialize(rows.unionByName(others, allowMissingColumns=True), "subset-load")
+
+
 def ingest(
     spark: SparkSession,
     source_root: str,
@@ -191,30 +219,45 @@ def ingest(
     on_bad: str = "rows",
     dry_run: bool = False,
     quarantine: bool = True,
+    any_q: bool = False,
 ) -> list[str]:
     """Load the selected datasets; the names of the curated tables that were written.
 
+    With `participants` an overwrite replaces the rows of these participant folders and
+    keeps all others; the table is then written anew from both. `any_q` takes every survey
+    column that starts with q as a question, not only q with a number.
+
     A dataset without files is skipped. A dataset whose files hold no rows writes an
     empty table with the declared schema, so there is no probing job before the write.
     Malformed records that the policy leaves out are kept, as they stand, under
     `quarantine/<table>`; finding them parses the exports a second time, and
-    `quarantine=False` saves that.
+    `quarantine=False` saves that. Files that cannot be read are listed with the reason
+    under `quarantine/files/<table>`, or raise under `on_bad="fail"`.
     """
     requested = parse_datasets(datasets)
     target_root = target_root.rstrip("/")
     written = []
-    for dataset, (table, build) in builders().items():
+    for dataset, (table, build) in builders(any_q).items():
         if not selected(requested, dataset):
             continue
         seen: list[csv_files.HeaderGroup] = []
-        rows = build(spark, source_root, participants=participants, on_bad=on_bad, seen=seen)
+        failed: list[tuple[str, str]] = []
+        rows = build(
+            spark, source_root, participants=participants, on_bad=on_bad, seen=seen, failed=failed
+        )
+        if failed and not dry_run:
+            report = spark.createDataFrame(failed, "path string, error string")
+            tables.write_parquet(report, f"{target_root}/quarantine/files/{table}", write_mode)
         if rows is None:
             continue
         written.append(table)
         if dry_run:
             continue
         curated = conform(rows, schemas.curated(table), keep_extra=True)
-        tables.write_parquet(curated, f"{target_root}/{tables.location(table)}", write_mode)
+        path = f"{target_root}/{tables.location(table)}"
+        if participants is not None and write_mode == "overwrite":
+            curated = with_others(curated, path, participants)
+        tables.write_parquet(curated, path, write_mode)
         if quarantine and on_bad != "fail":
             malformed = csv_files.quarantined_rows(seen)
             tables.write_parquet(malformed, f"{target_root}/quarantine/{table}", write_mode)

@@ -36,7 +36,7 @@ def time_order(raw: Column) -> dict[str, Column]:
 
 def participant_labels(
     surveys: DataFrame,
-    questions: Sequence[str],
+    questions: Sequence[str] | None = None,
     pattern: str = schemas.SURVEY_PATTERN,
     keep: str = "one",
     scores: Mapping[str, int] = schemas.RESPONSE_SCORES,
@@ -46,22 +46,30 @@ def participant_labels(
 ) -> DataFrame:
     """Score each participant's latest submission and split at the exact median.
 
-    Answers become small integers before the first shuffle and are folded map-side to
-    one row per submission; of repeated answers to a question the lowest score counts.
-    Only submissions, not answers, then compete for being the latest. keep="ties" keeps
+    Without `questions` those that the questionnaire's answers name are used, found by one
+    distinct of few values. Answers are folded map-side to one row per submission; of
+    repeated answers to a question the first by text counts, whatever its score, and is then
+    scored: an unknown text leaves the submission incomplete. Only submissions, not answers, then compete for being the latest. keep="ties" keeps
     every submission at the latest time. Incomplete submissions are not labelled.
 
     Both the median and the labels need the scores. `write_once` puts them, one row per
     participant, in the shared folder first, so that the answers are read only once.
     """
+    rows = survey_rows(surveys, pattern).where(F.col("participant").isNotNull())
+    if questions is None:
+        found = rows.select("question_id").where("question_id IS NOT NULL").distinct().collect()
+        questions = [row["question_id"] for row in found]
+        if not questions:
+            raise ValueError(f"no questions in questionnaires like {pattern}")
     questions = reshape.question_order(questions)
-    code = values.response_score(F.col("response_raw"), scores, normalize)
+    first = {
+        q: F.min(F.when(F.col("question_id") == q, F.col("response_raw"))).alias(q)
+        for q in questions
+    }
     submissions = (
-        survey_rows(surveys, pattern)
-        .where(F.col("participant").isNotNull())
-        .select(*SUBMISSION, "question_id", code.alias("__code"))
-        .groupBy(*SUBMISSION)
-        .agg(*[F.min(F.when(F.col("question_id") == q, F.col("__code"))).alias(q) for q in questions])
+        rows.groupBy(*SUBMISSION)
+        .agg(*first.values())
+        .withColumns({q: values.response_score(F.col(q), scores, normalize) for q in questions})
         .withColumns(time_order(F.col("timestamp")))
     )
     if keep == "one":

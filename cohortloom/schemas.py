@@ -238,3 +238,27 @@ def curated(table: str) -> T.StructType:
 
 
 CURATED_TABLES = ("surveys_long", *MEASURE_DDL)
+
+RESULT_DDL = {
+    "labels": (
+        "participant string, date string, timestamp string, file_name string, file_stem string, "
+        f"{SCORE} int, {LABEL} string, {LABEL_BINARY} int"
+    ),
+    "cv_results": ", ".join(
+        ["model string", *[f"{m}_{part} double" for m in METRICS for part in ("mean", "std")]]
+    ),
+}
+RESULT_DDL["cv_results_rounded"] = RESULT_DDL["cv_results"]
+RESULT_DDL["model_table"] = ", ".join(
+    [
+        "participant string",
+        *[f"{c} double" for c in FEATURES],
+        f"{SCORE} double, {LABEL} string, {LABEL_BINARY} int",
+    ]
+)
+RESULT_DDL["model_table_filled"] = RESULT_DDL["model_table"]
+
+
+def result(table: str) -> T.StructType:
+    """Schema of a table that the evaluation writes."""
+    return _from_ddl(RESULT_DDL[table])

@@ -21,6 +21,7 @@ CORRUPT = "_corrupt_record"
 MALFORMED = "_malformed"
 SOURCE_FILE = "source_file"
 ON_BAD = ("rows", "files", "fail")
+HEADER_BYTES = 1 << 20  # a longer first line is no header
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,9 @@ class HeaderGroup:
 
 
 def _first_line(path: str, cache: dict) -> str | None:
-    """First line of a file, reading no further than its end; None when it is empty."""
+    """First line of a file, reading no further than its end; None when it is empty.
+
+    A file whose first line does not end within HEADER_BYTES is reported as unreadable."""
     system, location = resolve(path, cache)
     line = b""
     with system.open_input_file(location) as stream:
@@ -42,6 +45,8 @@ def _first_line(path: str, cache: dict) -> str | None:
             if not chunk:
                 break
             line += chunk
+            if len(line) > HEADER_BYTES and b"\n" not in line:
+                raise ValueError(f"no header within {HEADER_BYTES} bytes")
     return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r") or None
 
 
@@ -70,9 +75,19 @@ def headers_of(files: DataFrame) -> DataFrame:
     )
 
 
-def column_names(header: str) -> tuple[str, ...]:
-    """Column names of a header line; unnamed and repeated ones get their position."""
-    names = next(csv.reader([header]))
+def column_names(header: str, spellings: Iterable[str] = ()) -> tuple[str, ...]:
+    """Column names of a header line; unnamed and repeated ones get their position.
+
+    A name that differs from one of the `spellings` in letter case only takes the spelling.
+    """
+    exact = set(spellings)
+    known: dict[str, str] = {}
+    for name in spellings:
+        known.setdefault(name.lower(), name)
+    names = [
+        name if name in exact else known.get(name.strip().lower(), name)
+        for name in next(csv.reader([header]))
+    ]
     folded = [name.lower() for name in names]
     return tuple(
         f"_c{i}" if not name else f"{name}{i}" if folded.count(name.lower()) > 1 else name
@@ -108,31 +123,46 @@ def _scan(
     )
 
 
-def header_groups(files: DataFrame, on_bad: str = "rows") -> list[HeaderGroup]:
-    """Group the listed files by identical header: one scan per distinct header.
+def header_groups(
+    files: DataFrame,
+    on_bad: str = "rows",
+    spellings: Iterable[str] = (),
+    failed: list[tuple[str, str]] | None = None,
+) -> list[HeaderGroup]:
+    """Group the listed files by identical columns: one scan per distinct header.
 
-    The driver receives file names and header lines, which it needs for the scan's
-    file index anyway, and no data. Files that cannot be opened are left out unless
-    `on_bad="fail"`; `unreadable` reports them.
+    The driver receives file names and header lines, partition by partition, which it needs
+    for the scan's file index anyway, and no data. Names are brought to the declared
+    `spellings` first, so headers that differ in letter case share a scan. Files that cannot
+    be opened, or whose header is no text, raise under `on_bad="fail"`, or when no file can
+    be; otherwise they are appended to `failed` as (path, error), for the quarantine.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}")
-    found = headers_of(files)
-    rows = (
-        found.groupBy("header", F.col("error").isNotNull().alias("failed"))
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"), F.min("error").alias("error"))
-        .collect()
-    )
-    failed = [row for row in rows if row["failed"]]
-    if failed and (on_bad == "fail" or len(failed) == len(rows)):
-        raise OSError(f"cannot open {failed[0]['paths'][0]}: {failed[0]['error']}")
+    spellings = tuple(spellings)
+    by_columns: dict[tuple[str, ...], list[str]] = {}
+    names: dict[str, tuple[str, ...]] = {}
+    failed, readable = [] if failed is None else failed, False
+    for path, header, error in headers_of(files).toLocalIterator():
+        if error is not None:
+            failed.append((path, error))
+            if on_bad == "fail":
+                break
+            continue
+        readable = True
+        if header is not None:
+            if header not in names:
+                names[header] = column_names(header, spellings)
+            by_columns.setdefault(names[header], []).append(path)
+    if failed and (on_bad == "fail" or not readable):
+        raise OSError(f"cannot open {failed[0][0]}: {failed[0][1]}")
     mode = "FAILFAST" if on_bad == "fail" else "PERMISSIVE"
-    groups = []
-    for row in sorted((r for r in rows if r["header"] is not None), key=lambda r: r["header"]):
-        columns = column_names(row["header"])
-        scan = _scan(files.sparkSession, columns, row["paths"], mode)
-        groups.append(HeaderGroup(columns, tuple(row["paths"]), scan))
-    return groups
+    return [
+        HeaderGroup(
+            columns, tuple(sorted(found)), _scan(files.sparkSession, columns, sorted(found), mode)
+        )
+        for columns, found in sorted(by_columns.items())
+    ]
 
 
 def unreadable(files: DataFrame) -> DataFrame:
@@ -188,13 +218,17 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame | None:
 
 
 def read_csv(
-    files: DataFrame, on_bad: str = "rows", seen: list[HeaderGroup] | None = None
+    files: DataFrame,
+    on_bad: str = "rows",
+    seen: list[HeaderGroup] | None = None,
+    spellings: Iterable[str] = (),
+    failed: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
     """All listed CSV files as text columns plus `source_file`, or None without files.
 
-    The header groups that were read are appended to `seen`.
+    The header groups that were read are appended to `seen`, unreadable files to `failed`.
     """
-    groups = header_groups(files, on_bad)
+    groups = header_groups(files, on_bad, spellings, failed)
     if seen is not None:
         seen.extend(groups)
     return union_by_name(good_rows(group, on_bad) for group in groups)

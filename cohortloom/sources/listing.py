@@ -35,7 +35,7 @@ def participant_globs(
 
 
 def phone_globs(root: str, participants: Sequence[str] | None, log: str) -> list[str]:
-    return participant_globs(root, participants, f"Aware/{log}*.csv")
+    return participant_globs(root, participants, f"Aware/{log}*.[cC][sS][vV]")
 
 
 def folder_globs(

@@ -12,6 +12,7 @@ from cohortloom.operators import (
     folds,
     importance,
     latest,
+    medians,
     metrics,
     models,
     prepare,
@@ -19,7 +20,7 @@ from cohortloom.operators import (
     reshape,
     scoring,
 )
-from cohortloom.plans import evaluate, ingest, labels, model_table
+from cohortloom.plans import evaluate, ingest, labels, model_table, results
 from cohortloom.sources import csv_files, listing, storage, tables
 from cohortloom.workload import cohort, exports
 
@@ -371,31 +372,124 @@ def importance_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.compare_importance(left, right, 10)
 
 
-# the registered fits are shortened; the published settings are the defaults of the specs
-SHORT_FOREST = models.FOREST.with_settings(numTrees=20, maxDepth=8)
-SHORT_BOOSTED = models.BOOSTED.with_settings(maxIter=8)
-SHORT_KERNEL = models.KERNEL_MACHINE.with_settings(components=64, maxIter=20)
-SHORT_NETWORK = models.NETWORK.with_settings(maxIter=40)
-
-
 def _written_model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.materialize(model_table_raw(spark, sf_dir), "model-table")
 
 
 def _cross_validation(spec: models.ModelSpec):
+    """A fit at the published settings in every fold; what SQL can check of its predictions."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return evaluate.cross_validate(_written_model_table(spark, sf_dir), [spec])
+        table = _written_model_table(spark, sf_dir)
+        predictions = evaluate.held_out_predictions(table, [spec], schemas.FEATURES)
+        return evaluate.prediction_audit(storage.materialize(predictions, "predictions"))
 
     return run
 
 
 def _importance(spec: models.ModelSpec):
+    """A fit at the published settings on all rows; what SQL can check of its importances."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return evaluate.fitted_importance(_written_model_table(spark, sf_dir), spec)
+        found = evaluate.fitted_importance(_written_model_table(spark, sf_dir), spec)
+        found = storage.materialize(found, "importance")
+        whole = found.agg(F.sum("importance")).first()[0]
+        return found.select(
+            "feature",
+            F.col("importance").between(0, 1).alias("in_range"),
+            F.lit(abs((whole or 0) - 1) < 1e-6).alias("sums_to_one"),
+        )
 
     return run
 
 
+def planted_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label made of two ring averages, learned from the features: is it found again?"""
+    table = _written_model_table(spark, sf_dir)
+    steps, sleep = list(schemas.RING_AVERAGES.values())[:2]
+    whole = table.where(f"{steps} IS NOT NULL AND {sleep} IS NOT NULL")
+    middle = whole.agg(F.median(F.col(steps) + F.col(sleep))).first()[0]
+    planted = whole.withColumn(
+        schemas.LABEL_BINARY, (F.col(steps) + F.col(sleep) > middle).cast("int")
+    )
+    predictions = evaluate.held_out_predictions(planted, [models.KERNEL_MACHINE], schemas.FEATURES)
+    area = metrics.fold_auc(storage.materialize(predictions, "predictions"))
+    return area.select("model", "fold", (F.col("roc_auc") > 0.9).alias("found"))
+
+
+def median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of columns far larger than what is taken for narrow."""
+    columns = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
+    lines = cohort.table(spark, sf_dir, "lineitem")
+    found = medians.exact_medians(lines, {c: c for c in columns}, small=1000)
+    return spark.createDataFrame(list(found.items()), "column string, median double")
+
+
+def fold_metrics_undefined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of predictions some of which have no score, one fold none at all."""
+    rows = cohort.predictions(spark, sf_dir)
+    nothing = (F.col("fold") == 3) | (F.round(F.col("score") * 50) % 7 == 0)
+    value = F.when(F.col("fold") == 3, F.lit(float("nan"))).when(~nothing, F.col("score"))
+    return metrics.all_metrics(rows.withColumn("score", value))
+
+
+def labels_repeated_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every answer twice, once with another text, some of which have no score."""
+    long = cohort.surveys_long(spark, sf_dir)
+    other = F.when(F.length("file_stem") % 3 == 0, F.lit("maybe")).when(
+        F.length("participant") % 2 == 0, F.lit("Rarely")
+    )
+    again = long.withColumn("response_raw", F.coalesce(other, F.col("response_raw")))
+    return labels.participant_labels(long.unionByName(again))
+
+
+def model_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filled model table, written under its declared schema and read back."""
+    root = storage.scratch_path(spark, "results")
+    return results.write_result(model_table_filled(spark, sf_dir), root, "model_table_filled")
+
+
+def results_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that the evaluation writes."""
+    root = storage.scratch_path(spark, "results")
+    written = results.write_results(
+        cohort.logs(spark, sf_dir),
+        participant_labels(spark, sf_dir),
+        root,
+        specs=[models.KERNEL_MACHINE],
+        trees=[models.FOREST],
+    )
+    counts = []
+    for name in written:
+        if name in schemas.RESULT_DDL:
+            table = results.read_result(spark, root, name)
+        else:
+            table = spark.read.option("header", True).csv(f"{root}/{name}")
+        counts.append(table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")))
+    return csv_files.union_by_name(counts)
+
+
+def csv_mixed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports with headers in other letter case, `.CSV` suffixes and a header that is no text,
+
+    loaded whole and then again for two participant folders only."""
+    root, target = exports.fresh_root(spark, "mixed"), storage.scratch_path(spark, "target")
+    exports.export_watch(spark, sf_dir, root, odd=True)
+    ingest.ingest(spark, root, target, "watch")
+    ingest.ingest(
+        spark, root, target, "watch", participants=["Participant_3", "Participant_4"]
+    )
+    rows = spark.read.parquet(f"{target}/watch").select("participant_id", "participant", "hrm")
+    listed = spark.read.parquet(f"{target}/quarantine/files/watch")
+    folder = F.regexp_extract("path", "/(Participant_[^/]+)/Watch/", 1)
+    failed = listed.select(
+        folder.alias("participant_id"),
+        F.lit("unreadable").alias("participant"),
+        F.lit(None).cast("double").alias("hrm"),
+    )
+    return rows.unionByName(failed)
+
+
 QUERIES = {
     "survey_unpivot": survey_unpivot,
     "survey_latest_ties": survey_latest_ties,
@@ -442,10 +536,17 @@ QUERIES = {
     "leaderboard": leaderboard,
     "importance_topk": importance_topk,
     "importance_compare": importance_compare,
-    "cv_random_forest": _cross_validation(SHORT_FOREST),
-    "cv_gbt": _cross_validation(SHORT_BOOSTED),
-    "cv_rbf_svm": _cross_validation(SHORT_KERNEL),
-    "cv_mlp": _cross_validation(SHORT_NETWORK),
-    "rf_importance": _importance(SHORT_FOREST),
-    "gbt_importance": _importance(SHORT_BOOSTED),
+    "median_large": median_large,
+    "fold_metrics_undefined": fold_metrics_undefined,
+    "labels_repeated_answers": labels_repeated_answers,
+    "model_table_roundtrip": model_table_roundtrip,
+    "csv_mixed_ingest": csv_mixed_ingest,
+    "results_written": results_written,
+    "planted_auc": planted_auc,
+    "cv_random_forest": _cross_validation(models.FOREST),
+    "cv_gbt": _cross_validation(models.BOOSTED),
+    "cv_rbf_svm": _cross_validation(models.KERNEL_MACHINE),
+    "cv_mlp": _cross_validation(models.NETWORK),
+    "rf_importance": _importance(models.FOREST),
+    "gbt_importance": _importance(models.BOOSTED),
 }

@@ -75,10 +75,10 @@ def surveys_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.unpivot_answers(wide, ids, reshape.question_columns(wide.columns))
 
 
-def _events(spark: SparkSession, sf_dir: str, kind: str, modulus: int) -> DataFrame:
-    return table(spark, sf_dir, "events").where(
-        (F.col("event_type") == kind) & (F.col("user_id") % modulus != 0)
-    )
+def _events(spark: SparkSession, sf_dir: str, kind: str, shift: int) -> DataFrame:
+    """All events of a kind; shifted ids give each log participants that others lack."""
+    events = table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+    return events.withColumn("user_id", F.col("user_id") + shift)
 
 
 def _code(modulus: int, shift: int = 0) -> Column:
@@ -86,16 +86,16 @@ def _code(modulus: int, shift: int = 0) -> Column:
 
 
 PHONE_SOURCES = {
-    "battery": ("view", 3),
-    "calls": ("click", 5),
-    "messages": ("signup", 7),
-    "notifications": ("purchase", 2),
-    "screen": ("error", 11),
+    "battery": ("view", 0),
+    "calls": ("click", 10),
+    "messages": ("signup", 20),
+    "notifications": ("purchase", 30),
+    "screen": ("error", 40),
 }
 
 
 def phone_log(spark: SparkSession, sf_dir: str, log: str) -> DataFrame:
-    kind, modulus = PHONE_SOURCES[log]
+    kind, shift = PHONE_SOURCES[log]
     measures = {
         "battery": {
             "battery_charge_start": quarters("value"),
@@ -106,7 +106,7 @@ def phone_log(spark: SparkSession, sf_dir: str, log: str) -> DataFrame:
         "notifications": {"package_category": _code(6)},
         "screen": {"screen_status": _code(4)},
     }[log]
-    return _events(spark, sf_dir, kind, modulus).select(
+    return _events(spark, sf_dir, kind, shift).select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         text("user_id").alias("participant"),

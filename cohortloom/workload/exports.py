@@ -87,10 +87,13 @@ def export_phone(spark: SparkSession, sf_dir: str, root: str, log: str) -> None:
     )
 
 
-def export_watch(spark: SparkSession, sf_dir: str, root: str, with_bad: bool = False) -> None:
+def export_watch(
+    spark: SparkSession, sf_dir: str, root: str, with_bad: bool = False, odd: bool = False
+) -> None:
     """`Participant_n/Watch/<name>` with spaces, plus signs and upper-case suffixes.
 
-    With `with_bad`, every fiftieth event carries a cell too many.
+    With `with_bad`, every fiftieth event carries a cell too many. With `odd`, headers of
+    some folders are in other letter case, and folder 3 has a file whose header is no text.
     """
     rows = cohort.watch(spark, sf_dir)
     user = F.col("participant").cast("bigint")
@@ -101,10 +104,20 @@ def export_watch(spark: SparkSession, sf_dir: str, root: str, with_bad: bool = F
     )
     suffix = F.when(user % 3 == 2, F.lit(".CSV")).otherwise(F.lit(".csv"))
     bad = F.when(F.col("event_id") % 50 == 0, F.lit("surplus"))
+    plain = F.lit("timestamp,participant,hrm,accx,accy,accz")
+    header = plain
+    if odd:
+        case = user % FOLDERS % 3
+        header = F.when(case == 1, F.lit("Timestamp,Participant,HRM,accx,accy,accz"))
+        header = F.coalesce(header.when(case == 2, F.upper(plain)), plain)
+        system, location = resolve(f"{root}/Participant_3/Watch/broken.csv", {})
+        system.create_dir(location.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(location) as stream:
+            stream.write(b"timestamp,\xff\xfe,hrm\n1,2,3\n")
     write_exports(
         rows.select(
             F.concat(_folder(user, "Watch"), name, _slice(F.col("event_id")), suffix).alias("path"),
-            F.lit("timestamp,participant,hrm,accx,accy,accz").alias("header"),
+            header.alias("header"),
             "timestamp",
             "participant",
             "hrm",
@@ -128,7 +141,7 @@ def export_surveys(spark: SparkSession, sf_dir: str, root: str) -> None:
         rows.select(
             F.concat(_folder(person, "Surveys"), kind, _slice(order), F.lit(".csv")).alias("path"),
             F.when(is_ucla, F.lit("participant,date,timestamp,q1,q2,q3,q4"))
-            .otherwise(F.lit("participant,Date,Timestamp,Q1,Q2,comment"))
+            .otherwise(F.lit("participant,Date,Timestamp,Q1,Q2,Q3,Q4,comment"))
             .alias("header"),
             "participant",
             "date",

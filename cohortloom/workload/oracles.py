@@ -72,8 +72,12 @@ def _labels(keep: str) -> str:
     """CTEs ending in `labels`, from the latest submissions of the long table."""
     rank = "row_number" if keep == "one" else "rank"
     order = '"timestamp" DESC' + (", file_name DESC" if keep == "one" else "")
+
+    def pick(q: str) -> str:
+        return f"min(CASE WHEN question_id = '{q}' THEN response_raw END)"
+
     items = ", ".join(
-        f"min(CASE WHEN question_id = '{q}' THEN {_score('response_raw')} END) AS {q}"
+        f"{_score(pick(q))} AS {q}"
         for q in ("q1", "q2", "q3", "q4")
     )
     return (
@@ -96,15 +100,15 @@ labels_ AS (SELECT {IDS}, ucla_total_score, {SPLIT.format(t='newest')} FROM newe
 PHONE = """
 aware_battery AS (SELECT CAST(user_id AS VARCHAR) AS participant, floor(value * 4) / 4 AS charge_start,
     floor(value * 4) / 4 * 0.5 AS charge_end
-  FROM events WHERE event_type = 'view' AND user_id % 3 <> 0),
-aware_calls AS (SELECT CAST(user_id AS VARCHAR) AS participant, floor(value * 4) / 4 AS dur,
-    event_id % 3 + 1 AS type FROM events WHERE event_type = 'click' AND user_id % 5 <> 0),
-aware_messages AS (SELECT CAST(user_id AS VARCHAR) AS participant, event_id % 2 + 1 AS message_type
-  FROM events WHERE event_type = 'signup' AND user_id % 7 <> 0),
-aware_notifications AS (SELECT CAST(user_id AS VARCHAR) AS participant
-  FROM events WHERE event_type = 'purchase' AND user_id % 2 <> 0),
-aware_screen AS (SELECT CAST(user_id AS VARCHAR) AS participant, event_id % 4 AS screen_status
-  FROM events WHERE event_type = 'error' AND user_id % 11 <> 0),
+  FROM events WHERE event_type = 'view'),
+aware_calls AS (SELECT CAST(user_id + 10 AS VARCHAR) AS participant, floor(value * 4) / 4 AS dur,
+    event_id % 3 + 1 AS type FROM events WHERE event_type = 'click'),
+aware_messages AS (SELECT CAST(user_id + 20 AS VARCHAR) AS participant, event_id % 2 + 1 AS message_type
+  FROM events WHERE event_type = 'signup'),
+aware_notifications AS (SELECT CAST(user_id + 30 AS VARCHAR) AS participant
+  FROM events WHERE event_type = 'purchase'),
+aware_screen AS (SELECT CAST(user_id + 40 AS VARCHAR) AS participant, event_id % 4 AS screen_status
+  FROM events WHERE event_type = 'error'),
 f_battery AS (SELECT participant, avg(charge_start) AS avg_battery_charge_start,
     avg(charge_end) AS avg_battery_charge_end, count(*) AS battery_event_count
   FROM aware_battery GROUP BY participant),
@@ -219,7 +223,7 @@ def _brands(name: str, measure: str) -> str:
 FOLDER = "'Participant_' || (user_id % 40)"
 
 
-def _phone_export(log: str, kind: str, modulus: int, measures: dict[str, str]) -> str:
+def _phone_export(log: str, kind: str, shift: int, measures: dict[str, str]) -> str:
     names = (
         "battery_charge_start",
         "battery_charge_end",
@@ -234,20 +238,22 @@ def _phone_export(log: str, kind: str, modulus: int, measures: dict[str, str]) -
         f"{measures.get(n, 'CAST(NULL AS ' + types.get(n, 'VARCHAR') + ')')} AS {n}" for n in names
     )
     stem = f"'{log}_' || (event_id // 20000)"
-    person = "user_id % 40" if log == "calls" else "user_id"
+    user = f"(user_id + {shift})"
+    person = f"{user} % 40" if log == "calls" else user
+    folder = f"'Participant_' || ({user} % 40)"
     return f"""
-    SELECT '{log}' AS aware_type, {FOLDER} AS participant_id, 'Aware' AS source_type_raw,
+    SELECT '{log}' AS aware_type, {folder} AS participant_id, 'Aware' AS source_type_raw,
       'aware' AS source_type, {stem} || '.csv' AS file_name, {stem} AS file_stem,
       strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp", CAST({person} AS VARCHAR) AS participant,
-      CASE WHEN user_id % 40 % 4 = 0 THEN 'n, ' || (event_id % 3) END AS note, {values}
-    FROM events WHERE event_type = '{kind}' AND user_id % {modulus} <> 0"""
+      CASE WHEN {user} % 40 % 4 = 0 THEN 'n, ' || (event_id % 3) END AS note, {values}
+    FROM events WHERE event_type = '{kind}'"""
 
 
 PHONE_EXPORTS = {
     "battery": _phone_export(
         "battery",
         "view",
-        3,
+        0,
         {
             "battery_charge_start": "floor(value * 4) / 4",
             "battery_charge_end": "floor(value * 4) / 4 * 0.5",
@@ -256,17 +262,17 @@ PHONE_EXPORTS = {
     "calls": _phone_export(
         "calls",
         "click",
-        5,
+        10,
         {"dur": "floor(value * 4) / 4", "type": "CAST(event_id % 3 + 1 AS VARCHAR)"},
     ),
     "screen": _phone_export(
-        "screen", "error", 11, {"screen_status": "CAST(event_id % 4 AS VARCHAR)"}
+        "screen", "error", 40, {"screen_status": "CAST(event_id % 4 AS VARCHAR)"}
     ),
     "messages": _phone_export(
-        "messages", "signup", 7, {"message_type": "CAST(event_id % 2 + 1 AS VARCHAR)"}
+        "messages", "signup", 20, {"message_type": "CAST(event_id % 2 + 1 AS VARCHAR)"}
     ),
     "notifications": _phone_export(
-        "notifications", "purchase", 2, {"package_category": "CAST(event_id % 6 AS VARCHAR)"}
+        "notifications", "purchase", 30, {"package_category": "CAST(event_id % 6 AS VARCHAR)"}
     ),
 }
 
@@ -292,7 +298,6 @@ filed AS (
 answers AS ("""
     + " UNION ALL ".join(
         f"SELECT *, '{q}' AS question_id, {q} AS response_raw FROM filed"
-        + ("" if q in ("q1", "q2") else " WHERE is_ucla")
         for q in ("q1", "q2", "q3", "q4")
     )
     + ")"
@@ -440,9 +445,9 @@ ORACLES = {
     ),
     "dataset_selection": """
       SELECT 'aware_battery' AS table_name, count(*) AS "rows" FROM events
-        WHERE event_type = 'view' AND user_id % 3 <> 0
+        WHERE event_type = 'view'
       UNION ALL SELECT 'aware_screen', count(*) FROM events
-        WHERE event_type = 'error' AND user_id % 11 <> 0
+        WHERE event_type = 'error'
       UNION ALL SELECT 'watch', count(*) FROM events""",
     "rename_sanitize": """
       WITH parts AS (SELECT url || '.csv' AS old_key,
@@ -510,3 +515,70 @@ ORACLES = {
           FROM r) r USING (feature)""",
     ),
 }
+
+AUDIT = _select(
+    MODEL
+    + """,
+dealt AS (SELECT loneliness_label_binary AS label, (row_number() OVER (
+    ORDER BY loneliness_label_binary, md5('42-' || participant)) - 1) % 5 AS fold FROM model)""",
+    """SELECT '{model}' AS model, CAST(fold AS INTEGER) AS fold, count(*) AS n_rows,
+      CAST(sum(label) AS BIGINT) AS n_positive, count(*) AS keys_once, TRUE AS sound
+    FROM dealt GROUP BY fold""",
+)
+IMPORTANCES = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, TRUE AS in_range, TRUE AS sums_to_one" for c in schemas.FEATURES
+)
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"
+)
+ORACLES |= {
+    name: AUDIT.replace("{model}", model)
+    for name, model in (
+        ("cv_random_forest", "Random Forest"),
+        ("cv_gbt", "XGBoost"),
+        ("cv_rbf_svm", "SVM"),
+        ("cv_mlp", "Neural Network"),
+    )
+}
+ORACLES |= {
+    "rf_importance": IMPORTANCES,
+    "gbt_importance": IMPORTANCES,
+    "planted_auc": "SELECT 'SVM' AS model, CAST(range AS INTEGER) AS fold, TRUE AS found FROM range(5)",
+    "median_large": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", median(CAST({c} AS DOUBLE)) AS median FROM lineitem"
+        for c in LINE_COLUMNS
+    ),
+    "fold_metrics_undefined": _select(
+        PREDICTIONS.replace(
+            "FROM preds)",
+            "FROM preds WHERE fold <> 3 AND CAST(score * 50 AS INTEGER) % 7 <> 0)",
+        ),
+        "SELECT basic.*, roc_auc FROM basic LEFT JOIN auc USING (model, fold)",
+    ),
+    "labels_repeated_answers": _select(
+        _labels("one")
+        .replace(
+            "ucla AS (SELECT * FROM long WHERE file_stem LIKE '%UCLA%')",
+            """twice AS (SELECT * FROM long UNION ALL SELECT * REPLACE (
+              CASE WHEN length(file_stem) % 3 = 0 THEN 'maybe' WHEN length(participant) % 2 = 0
+                THEN 'Rarely' ELSE response_raw END AS response_raw) FROM long),
+            ucla AS (SELECT * FROM twice WHERE file_stem LIKE '%UCLA%')""",
+        ),
+        "SELECT * FROM labels_",
+    ),
+    "model_table_roundtrip": ORACLES["model_table_filled"],
+    "csv_mixed_ingest": _select(
+        WATCH_EXPORT,
+        """SELECT participant_id, participant, v AS hrm FROM watch_export
+        UNION ALL SELECT 'Participant_3', 'unreadable', NULL""",
+    ),
+    "results_written": _select(
+        MODEL,
+        """SELECT 'labels' AS table_name, count(*) AS "rows" FROM labels_
+        UNION ALL SELECT 'model_table', count(*) FROM model
+        UNION ALL SELECT 'model_table_filled', count(*) FROM model
+        UNION ALL SELECT 'cv_results', 1 UNION ALL SELECT 'cv_results_rounded', 1
+        UNION ALL SELECT 'importance_random_forest', """
+        + str(len(schemas.FEATURES)),
+    ),
+}

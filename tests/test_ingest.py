@@ -37,7 +37,7 @@ def _files(spark, tree, folder, people=None):
 
 
 def test_globs_and_listing(spark, tree):
-    assert listing.phone_globs("s3a://b/x/", ["P_1", "P_2"], "calls") == ["s3a://b/x/{P_1,P_2}/Aware/calls*.csv"]
+    assert listing.phone_globs("s3a://b/x/", ["P_1", "P_2"], "calls") == ["s3a://b/x/{P_1,P_2}/Aware/calls*.[cC][sS][vV]"]
     assert listing.folder_globs("/x", None) == ["/x/Participant_*/"]
     many = listing.folder_globs("/x", [f"P_{i}" for i in range(2500)], "Oura")
     assert len(many) == 3
@@ -163,9 +163,9 @@ def test_whole_job_and_tables(spark, tree, tmp_path):
     assert [r.record for r in kept] == ["2,61,oops"]
     assert sorted(os.listdir(f"{target}/quarantine")) == sorted(written)
     assert spark.read.parquet(f"{target}/quarantine/oura").isEmpty()
-    assert tables.read_table(spark, target, "aware_battery").count() == 3
+    assert tables.read_table(spark, target, "aware_battery").count() == 4  # with the .CSV file
     ingest.ingest(spark, tree, target, "aware:battery", write_mode="append")
-    assert tables.read_table(spark, target, "aware_battery").count() == 6
+    assert tables.read_table(spark, target, "aware_battery").count() == 8
     tables.register_tables(spark, target, written)
     answers = tables.query(spark, "SELECT count(*) AS n FROM surveys_long WHERE file_stem LIKE '%UCLA%'")
     assert answers.first().n == 3
@@ -230,3 +230,43 @@ def test_no_private_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_root(Session())
+
+
+def _write_bytes(root, name, content):
+    path = root / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(content)
+
+
+def test_ingest_loses_nothing(spark, tmp_path):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+    _write_bytes(root, "Participant_1/Watch/a.csv", b"Timestamp,Participant,HRM\n1,alice,60\n")
+    _write_bytes(root, "Participant_2/Watch/b.CSV", b"timestamp,participant,hrm\n2,bob,61\n")
+    _write_bytes(root, "Participant_2/Watch/bad.csv", b"timestamp,\xff\xfe,hrm\n3,x,62\n")
+    _write_bytes(root, "Participant_1/Aware/battery1.CSV", b"timestamp,battery_charge_start\n1,50\n")
+    _write_bytes(root, "Participant_1/Surveys/s.csv", b"participant,q1,q2a,Q_3,question4\n1,a,b,c,d\n")
+    ingest.ingest(spark, str(root), target, any_q=True)
+    watch = spark.read.parquet(f"{target}/watch")
+    assert {(r.participant, r.hrm) for r in watch.collect()} == {("alice", 60.0), ("bob", 61.0)}
+    listed = spark.read.parquet(f"{target}/quarantine/files/watch").collect()
+    assert [os.path.basename(r.path) for r in listed] == ["bad.csv"] and listed[0].error
+    assert tables.read_table(spark, target, "aware_battery").first().battery_charge_start == 50.0
+    answers = tables.read_table(spark, target, "surveys_long").collect()
+    assert {r.question_id for r in answers} == {"q1", "q2a", "q_3", "question4"}
+    with pytest.raises(OSError):
+        ingest.ingest(spark, str(root), target, "watch", on_bad="fail")
+    # loading one participant anew keeps the others
+    _write_bytes(root, "Participant_2/Watch/b.CSV", b"timestamp,participant,hrm\n2,bob,71\n4,bob,72\n")
+    for _ in range(2):
+        ingest.ingest(spark, str(root), target, "watch", participants=["Participant_2"])
+        watch = spark.read.parquet(f"{target}/watch")
+        assert {(r.participant, r.hrm) for r in watch.collect()} == {("alice", 60.0), ("bob", 71.0), ("bob", 72.0)}
+
+
+def test_header_without_end_is_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "HEADER_BYTES", 100)
+    _write_bytes(tmp_path, "Participant_1/Watch/a.csv", b"x" * 20_000)
+    files = listing.list_files(spark, listing.folder_globs(str(tmp_path), None, "Watch"))
+    cache: dict = {}
+    with pytest.raises(ValueError):
+        csv_files._first_line(files.first().path, cache)

@@ -201,3 +201,33 @@ def test_labels_follow_the_rules(spark):
     assert sorted(r.participant for r in ties) == ["1", "2", "5", "5", "6"]
     lazily = labels.participant_labels(surveys, list(full), write_once=False).collect()
     assert sorted(map(tuple, lazily)) == sorted(map(tuple, out))
+
+
+def test_event_times_of_declared_shapes(spark):
+    texts = {
+        "2020-01-02": "2020-01-02 00:00:00",
+        "2020-01-02T03:04:05Z": "2020-01-02 03:04:05",
+        "2020-01-02 03:04:05": "2020-01-02 03:04:05",
+        "20200101": "2020-01-01 00:00:00",
+        "1577934245": "2020-01-02 03:04:05",
+        "1577934245000": "2020-01-02 03:04:05",
+        "1577934245000000": "2020-01-02 03:04:05",
+        "1577934245000000000": "2020-01-02 03:04:05",
+        "10:15": None,
+        "20201399": None,
+        "yesterday": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", F.date_format(values.event_time(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("e"))
+    assert dict(map(tuple, got.collect())) == texts
+
+
+def test_repeated_answers_take_the_first_text(spark):
+    rows = [("1", "q1", "Often"), ("1", "q1", "Maybe"), ("1", "q2", "Never"), ("2", "q1", "Rarely"), ("2", "q1", "Often"), ("2", "q2", "Never")]
+    df = spark.createDataFrame(
+        [(p, "d", "2020-01-01", "f", "UCLA_f", q, a) for p, q, a in rows],
+        "participant string, date string, timestamp string, file_name string, file_stem string, question_id string, response_raw string",
+    )
+    got = labels.participant_labels(df).collect()
+    # the first text of participant 1 is unknown, of participant 2 it is "Often"
+    assert [(r.participant, r.ucla_total_score) for r in got] == [("2", 1 + 1)]
