@@ -25,6 +25,7 @@ from cohortloom.llm.common import GOLDEN, mix64
 
 SPACE = "▁"
 _CODE = np.int64(21)  # bits of a code point
+_DIRECT = 0x3000  # code points below have their first step in a table
 
 
 @dataclass
@@ -54,10 +55,23 @@ class Pieces:
         order = np.argsort(keys)
         self.keys = keys[order]
         self.after = np.fromiter(edges.values(), np.int64, len(edges))[order]
+        # the node after a first character, for most characters without a search
+        self.root = np.full(_DIRECT, -1, np.int64)
+        first = self.keys[self.keys < _DIRECT]
+        self.root[first] = self.after[: len(first)]
         self.piece = np.full(nodes, -1, np.int64)
         self.piece[list(ends)] = list(ends.values())
 
 
+    def step(self, state: np.ndarray, code: np.ndarray, first: bool) -> np.ndarray:
+        """The node after a character, -1 where there is none."""
+        if first and len(code) and code.max() < _DIRECT:
+            return self.root[code]
+        key = (state << _CODE) | code
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[found] == key, self.after[found], -1)
+
+
 class Lattices:
     """Lattices of a list of words; nodes and edges of all words in common arrays.
 
@@ -78,10 +92,9 @@ class Lattices:
         at = np.arange(len(code))
         origin, state = at, np.zeros(len(code), np.int64)
         while len(at):
-            key = (state << _CODE) | code[at]
-            found = np.minimum(np.searchsorted(pieces.keys, key), len(pieces.keys) - 1)
-            hit = pieces.keys[found] == key
-            origin, state, at = origin[hit], pieces.after[found[hit]], at[hit]
+            state = pieces.step(state, code[at], first=not ids)
+            hit = np.flatnonzero(state >= 0)
+            origin, state, at = origin[hit], state[hit], at[hit]
             piece = pieces.piece[state]
             whole = piece >= 0
             origins.append(origin[whole])
@@ -137,11 +150,14 @@ def utf8_width(code: np.ndarray) -> np.ndarray:
     return 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
 
 
-def uniform(*parts: np.ndarray | int) -> np.ndarray:
-    """A number in (0, 1) for each row of keys; the same keys give the same number."""
-    key = np.zeros(1, np.uint64)
-    for part in parts:
-        key = mix64(key * GOLDEN + np.atleast_1d(part).astype(np.uint64))
+def stream(seeds: np.ndarray, kind: int, round_: int) -> np.ndarray:
+    """Where each text's random numbers of one kind and round start."""
+    return mix64(mix64(seeds + np.uint64(kind)) + np.uint64(round_))
+
+
+def uniform(start: np.ndarray, counter: np.ndarray | int = 0) -> np.ndarray:
+    """The numbers in (0, 1) at places of streams; the same place gives the same number."""
+    key = mix64(start + np.asarray(counter).astype(np.uint64) * GOLDEN)
     return ((key >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -165,10 +181,9 @@ def _walk(lattices, texts_at, words_at, node, stop, seeds, round_):
     """(row, edge) of the steps from each row's node back to where its word starts."""
     out = []
     live = np.flatnonzero(node > stop)
-    step = 0
+    start, place, step = stream(seeds, 1, round_)[texts_at], words_at << 24, 0
     while len(live):
-        u = uniform(seeds[texts_at[live]], 1, round_, words_at[live], step)
-        edge = lattices.pick(node[live], u)
+        edge = lattices.pick(node[live], uniform(start[live], place[live] + step))
         out.append((live, edge))
         node[live] = lattices.start[edge]
         live = live[node[live] > stop[live]]
@@ -201,7 +216,7 @@ def sample(
     paths: list[Path] = []
     used: dict[tuple[int, int, int], list[int]] = {}  # edges tried at a step, beside its own
     every = np.arange(n)
-    top = -np.log(-np.log(uniform(seeds, 0)))
+    top = -np.log(-np.log(uniform(stream(seeds, 0, 0))))
     row, edge = _walk(lattices, text_of_word, place, ends.copy(), firsts, seeds, 0)
     paths.append(
         _path(lattices, n, text_of_word[row], row, edge, np.zeros(n), top, seeds, 0, None)
@@ -213,6 +228,7 @@ def sample(
         if round_ == k or not np.isfinite(value).any():
             return paths, value
         kept, chosen, base = [], [], np.zeros(n)
+        choice, noise = uniform(stream(seeds, 2, round_)), uniform(stream(seeds, 3, round_))
         for t in np.flatnonzero(np.isfinite(value)).tolist():
             old = paths[source[t]]
             a, b = old.bounds[t], old.bounds[t + 1]
@@ -223,7 +239,7 @@ def sample(
             options = range(int(lattices.offset[node]), int(lattices.offset[node] + lattices.count[node]))
             options = [e for e in options if e not in tried]
             weights = np.array([lattices.q[e] for e in options])
-            u = float(uniform(seeds[t], 2, round_)[0]) * weights.sum()
+            u = choice[t] * weights.sum()
             new = options[min(int(np.searchsorted(np.cumsum(weights), u, side="right")), len(options) - 1)]
             tried.append(new)
             # those still not taken at this step go on with the mass that is left
@@ -232,7 +248,7 @@ def sample(
             old.value[step] = -np.inf
             if left and old.rest[step] > 0:
                 location = old.before[step] + np.log(old.rest[step])
-                old.value[step] = _capped(location, value[t], float(uniform(seeds[t], 3, round_)[0]))
+                old.value[step] = _capped(location, value[t], noise[t])
             kept.append((t, a, step))
             chosen.append(new)
             base[t] = old.before[step] + lattices.log_q[new]
@@ -269,7 +285,7 @@ def _path(lattices, n, text, word, edge, base, top, seeds, round_, head) -> Path
     value = np.full(len(edge), -np.inf)
     some = np.flatnonzero(rest > 0)
     place = some - bounds[text[some]]
-    noise = uniform(seeds[text[some]], 4, round_, place)
+    noise = uniform(stream(seeds, 4, round_)[text[some]], place)
     value[some] = _capped(before[some] + np.log(rest[some]), top[text[some]], noise)
     return Path(text, bounds, word, edge, before, value, rest, total, top)
 

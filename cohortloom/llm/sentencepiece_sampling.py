@@ -22,7 +22,7 @@ from cohortloom.llm import lattice
 from cohortloom.llm.common import map_arrow, slices, table, texts, whole_text
 from cohortloom.llm.lattice import SPACE
 
-BATCH = 2 << 20  # bytes of text whose lattices are built together
+BATCH = 3 << 20  # bytes of text whose lattices are built together
 SEED = 42
 _vocabularies: dict[tuple, Vocabulary] = {}
 
@@ -124,15 +124,20 @@ def sampled(
 
 def _spell(own: Vocabulary, ids: np.ndarray, bounds: np.ndarray):
     """Put the byte pieces of characters without a piece in their place."""
-    width = np.ones(len(ids), np.int64)
+    byte_id = np.array(own.byte_id)
+    ids = ids.copy()
+    ascii_ = np.flatnonzero((ids < 0) & (ids >= -128))
+    ids[ascii_] = byte_id[-1 - ids[ascii_]]
     spelled = np.flatnonzero(ids < 0)
-    parts = [chr(-1 - int(c)).encode("utf-8", "surrogatepass") for c in ids[spelled]]
+    if not len(spelled):
+        return ids, bounds
+    parts = [chr(-1 - c).encode("utf-8", "surrogatepass") for c in ids[spelled].tolist()]
+    width = np.ones(len(ids), np.int64)
     width[spelled] = [len(p) for p in parts]
     place = np.append(0, np.cumsum(width))
     out = np.repeat(ids, width)
-    table_ = np.array(own.byte_id)
     for at, part in zip(place[spelled].tolist(), parts, strict=True):
-        out[at : at + len(part)] = table_[list(part)]
+        out[at : at + len(part)] = byte_id[list(part)]
     return out, place[bounds]
 
 

@@ -67,6 +67,8 @@ def fingerprints(
     XXH64 of each shingle as it is; the others mix it anew.
     """
 
+    steps = np.arange(1, tables, dtype=np.uint64) * GOLDEN
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
             rows = []
@@ -74,7 +76,7 @@ def fingerprints(
                 hashes = shingle_hashes(text.lower().split(), words)
                 rows.append(
                     [simhash(hashes)]
-                    + [simhash(mix64(hashes + GOLDEN * np.uint64(t))) for t in range(1, tables)]
+                    + [simhash(mix64(hashes + step)) for step in steps]
                 )
             signed = np.array(rows, np.uint64).view(np.int64).tolist()
             yield pa.RecordBatch.from_arrays(
