@@ -16,6 +16,7 @@ member only: links grow with the fingerprints, never with their pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from cohortloom.llm.components import components
 from cohortloom.sources.storage import materialize
 
 SEED = 42
+LIKELY = 24  # differing bits of a whole fingerprint beyond which texts aren't compared
 CHUNK = 1 << 15  # shingles whose bits are spread out at once
 
 
@@ -94,58 +96,63 @@ def grid_point(fp: str) -> str:
     return " + ".join(f"(shiftrightunsigned({fp}, {i}) & {ones}L)" for i in range(4))
 
 
-def links_within_two(fps: DataFrame, chain: bool = False) -> DataFrame:
-    """Links (a, b) between the rows (node, fp) whose fingerprints differ in two bits at most.
+def buckets_within_two(fps: DataFrame, fp: str, bits: int = 64) -> DataFrame:
+    """Rows (point, name, *columns of `fps`): the verified buckets of each fingerprint.
 
-    Each bucket of a verified neighbour links its members to the first; with `chain` also
-    each member to the one before it, for callers who verify links by another measure.
+    `fp` is the SQL of a fingerprint of `bits` bits. Members of a bucket (point, name) differ
+    in two bits at most, and any two rows that do share a bucket; its name is a fingerprint that
+    all its members are within one bit of. Only the visits to grid points are shuffled: the
+    buckets of a point are made where it is.
     """
+    kept = fps.columns
     # step 0 stays; odd steps add one to a segment, even steps take one away
+    segment = "cast(4 * ((step - 1) div 2) as int)"
+    count, one = f"shiftrightunsigned(own, {segment}) & 15", f"shiftleft(1L, {segment})"
     visits = (
-        fps.selectExpr("node", "fp", f"{grid_point('fp')} AS own")
-        .selectExpr("node", "fp", "own", "explode(sequence(0, 32)) AS step")
-        .selectExpr(
-            "node",
-            "fp",
-            "own",
-            "step",
-            "cast(4 * floor((step - 1) / 2) as int) AS low",
-            "step % 2 AS up",
-        )
+        fps.selectExpr(*kept, f"{grid_point(f'({fp})')} AS own")
+        .selectExpr("*", f"explode(sequence(0, {bits // 2})) AS step")
         .where(
-            "step = 0 OR (up = 1 AND (shiftrightunsigned(own, low) & 15) < 4)"
-            " OR (up = 0 AND (shiftrightunsigned(own, low) & 15) > 0)"
+            f"CASE WHEN step = 0 THEN true WHEN step % 2 = 1 THEN ({count}) < 4"
+            f" ELSE ({count}) > 0 END"
         )
         .selectExpr(
-            "node",
-            "fp",
+            *kept,
             "step",
-            "low",
-            "up",
-            "CASE WHEN step = 0 THEN own WHEN up = 1 THEN own + shiftleft(1L, low)"
-            " ELSE own - shiftleft(1L, low) END AS point",
+            f"CASE WHEN step = 0 THEN own WHEN step % 2 = 1 THEN own + {one}"
+            f" ELSE own - {one} END AS point",
         )
     )
     met = visits.withColumn("at", F.count("*").over(Window.partitionBy("point"))).where("at > 1")
-    named = met.selectExpr(
-        "node",
-        "fp",
-        "step",
-        "up",
-        "explode(CASE WHEN step = 0 THEN array(-1) ELSE sequence(low, low + 3) END) AS bit",
-    ).selectExpr(
-        "node",
-        "CASE WHEN bit < 0 THEN fp"
-        " WHEN (shiftrightunsigned(fp, bit) & 1) <> up THEN fp ^ shiftleft(1L, bit) END AS name",
+    return (
+        met.selectExpr(
+            "point",
+            *kept,
+            f"({fp}) AS own",
+            "step % 2 AS up",
+            f"explode(CASE WHEN step = 0 THEN array(-1) ELSE sequence({segment}, {segment} + 3) END)"
+            " AS bit",
+        )
+        .selectExpr(
+            "point",
+            *kept,
+            "CASE WHEN bit < 0 THEN own"
+            " WHEN (shiftrightunsigned(own, bit) & 1) <> up THEN own ^ shiftleft(1L, bit) END AS name",
+        )
+        .where("name IS NOT NULL")
     )
-    bucket = Window.partitionBy("name")
-    first = named.where("name IS NOT NULL").withColumn("b", F.min("node").over(bucket))
-    stars = first.where("node <> b").selectExpr("node AS a", "b")
-    if not chain:
-        return stars.distinct()
-    before = first.withColumn("c", F.lag("node").over(bucket.orderBy("node")))
-    pairs = F.explode(F.array_distinct(F.array("b", "c")))
-    return before.where("node <> b").select(F.col("node").alias("a"), pairs.alias("b")).distinct()
+
+
+def _bucket():
+    return Window.partitionBy("point", "name")
+
+
+def links_within_two(fps: DataFrame) -> DataFrame:
+    """Links (a, b) of the rows (node, fp) that connect all whose fingerprints differ in two
+
+    bits at most: each bucket links its members to the smallest."""
+    buckets = buckets_within_two(fps.select("node", "fp"), "fp")
+    first = buckets.withColumn("b", F.min("node").over(_bucket()))
+    return first.where("node <> b").selectExpr("node AS a", "b").distinct()
 
 
 def near_duplicates(
@@ -211,45 +218,89 @@ def _jaccard(least: float, words: int):
     return run
 
 
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs (a, b) whose texts, looked up in `held` (id, text), are similar enough."""
+    joined = (
+        pairs.join(held.selectExpr("id AS a", "text AS text_a"), "a")
+        .join(held.selectExpr("id AS b", "text AS text_b"), "b")
+        .sortWithinPartitions("b")
+    )
+    return materialize(
+        map_arrow(joined, _jaccard(similarity, words), "a long, b long"), "similar-pairs"
+    )
+
+
 def similar_groups(
     docs: DataFrame,
     words: int = 5,
     similarity: float = 0.8,
-    tables: int = 4,
+    tables: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id and component_id of the documents that have near copies, but each first one.
 
-    Candidates differ in two bits at most in one of several fingerprints over single words,
-    which a few edited words hardly change; a link counts if the texts share `similarity` of
-    their distinct shingles of `words` words. In each bucket a document is compared with the
-    first and with the one before it, so work grows with the documents. Texts without words
-    are left alone, as are rows without an identifier. Identifiers should be unique.
+    A link counts if the texts share `similarity` of their distinct shingles of `words`
+    words. Candidates differ in two bits at most in either half of one of several
+    fingerprints over pairs of words, which an edited word changes less than longer shingles.
+    In each bucket a document is compared with the first one; then those of different groups
+    with the one before them in the order of the other half, so that work grows with the
+    documents and not with their pairs. Texts without words are left alone, as are rows
+    without an identifier. Identifiers should be unique: of rows that repeat one, a single text
+    is looked at. An empty table gives no rows.
     """
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-    prints = materialize(fingerprints(rows, 1, tables, id_col, text_col), "fingerprints")
+    prints = materialize(fingerprints(rows, 2, tables, id_col, text_col), "fingerprints")
     nodes = prints.groupBy("doc_id").agg(F.min("fps").alias("fps"))
-    candidates = None
+    found = []
     for t in range(tables):
-        one = links_within_two(nodes.selectExpr("doc_id AS node", f"fps[{t}] AS fp"), chain=True)
-        candidates = one if candidates is None else candidates.unionByName(one)
-    pairs = materialize(candidates.distinct(), "candidates")
-    used = pairs.selectExpr("explode(array(a, b)) AS id").distinct()
+        full = nodes.selectExpr("doc_id AS node", f"fps[{t}] AS full")
+        low, high = "full & 4294967295L", "shiftrightunsigned(full, 32)"
+        for own, other in ((low, high), (high, low)):
+            within = _bucket().orderBy(F.expr(other), "node")
+            whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            member = F.struct("node", "full")
+            buckets = buckets_within_two(full, own, bits=32).select(
+                "node",
+                "full",
+                F.min(member).over(whole).alias("head"),
+                F.lag(member).over(within).alias("last"),
+            )
+            # unrelated texts differ in about half of the bits, those sought in a sixth at most
+            near = f"bit_count(full ^ {{0}}.full) <= {LIKELY}"
+            found.append(
+                buckets.selectExpr(
+                    "node AS a",
+                    f"CASE WHEN node <> head.node AND {near.format('head')} THEN head.node END AS first",
+                    f"CASE WHEN {near.format('last')} THEN last.node END AS before",
+                )
+            )
+    candidates = materialize(
+        reduce(DataFrame.unionByName, found)
+        .where("first IS NOT NULL OR before IS NOT NULL")
+        .distinct(),
+        "candidates",
+    )
+    used = candidates.selectExpr("explode(array_compact(array(a, first, before))) AS id").distinct()
+    texts_ = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     held = materialize(
-        rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
-            used, "id", "left_semi"
-        ),
-        "candidate-texts",
-    ).dropDuplicates(["id"])
-    # identifiers that repeat keep one of their texts
-    joined = (
-        pairs.join(held.selectExpr("id AS a", "text AS text_a"), "a")
-        .join(held.selectExpr("id AS b", "text AS text_b"), "b")
-        .sortWithinPartitions("b")
+        texts_.join(used, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts"
+    )
+    pairs = candidates.where("first IS NOT NULL").selectExpr("a", "first AS b").distinct()
+    links = _verified(pairs, held, similarity, words)
+    groups = materialize(components(links), "near-groups")
+    # pairs of neighbours that are not in one group yet
+    neighbours = (
+        candidates.where("before IS NOT NULL")
+        .selectExpr("greatest(a, before) AS a", "least(a, before) AS b")
+        .distinct()
+        .join(groups.selectExpr("node AS a", "label AS label_a"), "a", "left")
+        .join(groups.selectExpr("node AS b", "label AS label_b"), "b", "left")
+        .where("coalesce(label_a, a) <> coalesce(label_b, b)")
+        .select("a", "b")
     )
-    links = map_arrow(joined, _jaccard(similarity, words), "a long, b long")
-    return components(links).selectExpr("node AS doc_id", "label AS component_id")
+    more = _verified(neighbours, held, similarity, words)
+    return components(links.unionByName(more)).selectExpr("node AS doc_id", "label AS component_id")
 
 
 def op5_simhash_dedup(spark, sf_dir):
