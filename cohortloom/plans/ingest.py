@@ -15,7 +15,7 @@ from cohortloom.functions import paths
 from cohortloom.functions.values import number
 from cohortloom.operators import reshape
 from cohortloom.sources import csv_files, listing, tables
-from cohortloom.sources.storage import materialize
+from cohortloom.sources.storage import materialize, scratch_scope
 
 CASTS: dict[type, Callable[[Column], Column]] = {
     T.DoubleType: number,
@@ -255,9 +255,10 @@ def ingest(
             continue
         curated = conform(rows, schemas.curated(table), keep_extra=True)
         path = f"{target_root}/{tables.location(table)}"
-        if participants is not None and write_mode == "overwrite":
-            curated = with_others(curated, path, participants)
-        tables.write_parquet(curated, path, write_mode)
+        with scratch_scope(spark):
+            if participants is not None and write_mode == "overwrite":
+                curated = with_others(curated, path, participants)
+            tables.write_parquet(curated, path, write_mode)
         if quarantine and on_bad != "fail":
             malformed = csv_files.quarantined_rows(seen)
             tables.write_parquet(malformed, f"{target_root}/quarantine/{table}", write_mode)

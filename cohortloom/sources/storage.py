@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,7 @@ from cohortloom.sources.files import qualify
 
 SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,7 +36,26 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New path below the shared folder; never handed out twice."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is put into the shared folder inside the block when it ends.
+
+    For jobs that write their result elsewhere: frames made inside must not be used after.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _made[before:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)
+        del _made[before:]
 
 
 def use_shared_checkpoints(spark: SparkSession) -> None:

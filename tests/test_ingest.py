@@ -270,3 +270,16 @@ def test_header_without_end_is_reported(spark, tmp_path, monkeypatch):
     cache: dict = {}
     with pytest.raises(ValueError):
         csv_files._first_line(files.first().path, cache)
+
+
+def test_scratch_scope_removes_what_it_made(spark):
+    from cohortloom.sources import storage
+
+    kept = storage.scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with storage.scratch_scope(spark):
+        gone = storage.scratch_path(spark, "gone")
+        spark.range(3).write.parquet(gone)
+        assert os.path.exists(gone.removeprefix("file:"))
+    assert not os.path.exists(gone.removeprefix("file:"))
+    assert spark.read.parquet(kept).count() == 3
