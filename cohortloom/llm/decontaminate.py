@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 RADIUS = 20
 BLOCKS = 7
 WORDS_IN_A_PASS = 2_000_000  # of the benchmark
-REMEMBERED = 400_000  # words whose hashes a worker keeps; it starts anew beyond
+REMEMBERED = 200_000  # words whose hashes a worker keeps; it starts anew beyond
 WORD = re.compile(r"[^\W_]+")
 
 

@@ -54,12 +54,12 @@ class Pieces:
         keys = np.array([n << 21 | c for n, c in edges], np.int64)
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.after = np.fromiter(edges.values(), np.int64, len(edges))[order]
+        self.after = np.fromiter(edges.values(), np.int32, len(edges))[order]
         # the node after a first character, for most characters without a search
-        self.root = np.full(_DIRECT, -1, np.int64)
+        self.root = np.full(_DIRECT, -1, np.int32)
         first = self.keys[self.keys < _DIRECT]
         self.root[first] = self.after[: len(first)]
-        self.piece = np.full(nodes, -1, np.int64)
+        self.piece = np.full(nodes, -1, np.int32)
         self.piece[list(ends)] = list(ends.values())
 
 
@@ -67,9 +67,9 @@ class Pieces:
         """The node after a character, -1 where there is none."""
         if first and len(code) and code.max() < _DIRECT:
             return self.root[code]
-        key = (state << _CODE) | code
+        key = (state.astype(np.int64) << _CODE) | code
         found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[found] == key, self.after[found], -1)
+        return np.where(self.keys[found] == key, self.after[found], np.int32(-1))
 
 
 class Lattices:
@@ -80,17 +80,18 @@ class Lattices:
     """
 
     def __init__(self, pieces: Pieces, words: list[str]):
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        # 32 bits for all that counts characters or edges, as there are many of them
+        lengths = np.fromiter(map(len, words), np.int32, len(words))
         joined = "".join(words).encode("utf-32-le", "surrogatepass")
-        code = np.frombuffer(joined, np.uint32).astype(np.int64)
-        word = np.repeat(np.arange(len(words)), lengths)
-        begin = np.cumsum(lengths) - lengths  # first character of each word
-        self.first = begin + np.arange(len(words))  # node before each word
+        code = np.frombuffer(joined, np.uint32).astype(np.int32)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        begin = np.cumsum(lengths, dtype=np.int32) - lengths  # first character of each word
+        self.first = begin + np.arange(len(words), dtype=np.int32)  # node before each word
         self.last = self.first + lengths
         limit = (begin + lengths)[word]
         origins, tails, ids = [], [], []  # first and last character of each edge, its piece
-        at = np.arange(len(code))
-        origin, state = at, np.zeros(len(code), np.int64)
+        at = np.arange(len(code), dtype=np.int32)
+        origin, state = at, np.zeros(len(code), np.int32)
         while len(at):
             state = pieces.step(state, code[at], first=not ids)
             hit = np.flatnonzero(state >= 0)
@@ -106,10 +107,11 @@ class Lattices:
         single = np.zeros(len(code), bool)
         if ids:
             single[origins[0]] = True  # the first round found the pieces of one character
-        alone = np.flatnonzero(~single)  # characters without a piece: their bytes
+        alone = np.flatnonzero(~single).astype(np.int32)  # characters without a piece: their bytes
         origin = np.concatenate([*origins, alone])
         tail = np.concatenate([*tails, alone])
         ids = np.concatenate([*ids, -1 - code[alone]])
+        del origins, tails, single
         spelled = ids < 0
         score = pieces.score[np.maximum(ids, 0)]
         score[spelled] = pieces.byte_score * utf8_width(-1 - ids[spelled])
@@ -118,6 +120,7 @@ class Lattices:
         origin, tail, ids, score, place = (a[order] for a in (origin, tail, ids, score, place))
         shift = word[origin]
         start, end = origin + shift, tail + shift + 1
+        del origin, tail, shift, order
         total = np.zeros(int((lengths + 1).sum()))
         cuts = np.flatnonzero(np.diff(place, prepend=-1)).tolist() + [len(place)]
         for a, b in zip(cuts, cuts[1:], strict=False):
