@@ -29,7 +29,8 @@ from cohortloom.llm.components import components
 from cohortloom.sources.storage import materialize
 
 SEED = 42
-LIKELY = 24  # differing bits of a whole fingerprint beyond which texts aren't compared
+SAMPLE = 20_000  # documents that tell which shingles are common
+COMMON = 1 << 17  # common shingles that tasks hold
 CHUNK = 1 << 15  # shingles whose bits are spread out at once
 
 
@@ -230,77 +231,151 @@ def _verified(pairs: DataFrame, held: DataFrame, similarity: float, words: int)
     )
 
 
+def set_hashes(words: list[bytes], size: int, known: dict[bytes, int]) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of `size` words; fewer words make one run.
+
+    A run's hash is a polynomial of its words' XXH64, which `known` keeps.
+    """
+    digest = xxhash.xxh64_intdigest
+    for w in set(words) - known.keys():
+        known[w] = digest(w, SEED)
+    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    runs = max(1, len(words) - size + 1)
+    found = np.zeros(runs, np.uint64)
+    for i in range(min(size, len(words))):
+        found = found * GOLDEN + each[i : i + runs]
+    return np.unique(found)
+
+
+def _hashed(rows: DataFrame, words: int, held, schema: str) -> DataFrame:
+    """One row (doc_id, pick, *held(shingle hashes)) for each row (doc_id, pick, text)."""
+    names = [column.split()[0] for column in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 8 << 20):
+            known: dict[bytes, int] = {}
+            found = [
+                held(set_hashes(text.lower().split(), words, known))
+                for text in raw(batch.column("text"))
+            ]
+            sizes = pa.array([n for n, _ in found], pa.int32())
+            tokens = pa.array([t.view(np.int64) for _, t in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("pick"), sizes, tokens], names=names
+            )
+
+    return map_arrow(rows, run, schema)
+
+
+def _common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, of the most common shingles in about SAMPLE rows, and their counts."""
+    step = max(1, rows.count() // SAMPLE)
+    some = rows.where(f"pmod(xxhash64(doc_id), {step}) = 0")
+    schema = "doc_id long, pick long, n int, tokens array<long>"
+    counts = (
+        _hashed(some, words, lambda h: (len(h), h), schema)
+        .select(F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .count()
+        .where("count > 2")
+        .orderBy(F.desc("count"), "token")
+        .limit(COMMON)
+        .collect()
+    )
+    found = np.array([r["token"] for r in counts], np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], np.array([r["count"] for r in counts], np.int64)[order]
+
+
+def shared_prefixes(rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Rows (token, node, n, at) of an index in which similar documents meet.
+
+    All shingles have one order: those that a sample shows to be common come last, the others
+    go by hash. Two sets with `similarity` of their union in common share one of the first
+    (1 - similarity) * n + 1 shingles of each (prefix filter), whatever the order is. `n` counts
+    the distinct shingles of a document, `at` those of them before this one. Shingles that
+    only one document has in its prefix are left out.
+    """
+    common, counts = _common_shingles(rows, words)
+
+    def prefix(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+        n = len(hashes)
+        size = n - int(np.ceil(similarity * n - 1e-9)) + 1
+        at = np.searchsorted(common, hashes)
+        at[at == len(common)] = 0
+        hot = common[at] == hashes if len(common) else np.zeros(n, bool)
+        first = hashes[~hot][:size]
+        if len(first) < size:
+            last = hashes[hot][np.argsort(counts[at[hot]], kind="stable")]
+            first = np.concatenate([first, last[: size - len(first)]])
+        return n, first
+
+    schema = "doc_id long, pick long, n int, tokens array<long>"
+    one = _hashed(rows, words, prefix, schema).groupBy("doc_id").agg(
+        F.min_by(F.struct("n", "tokens"), "pick").alias("held")
+    )
+    prefixes = materialize(one.select("doc_id", "held.*"), "prefixes")
+    entries = prefixes.selectExpr("doc_id AS node", "n", "posexplode(tokens) AS (at, token)")
+    met = entries.groupBy("token").count().where("count > 1").select("token")
+    return materialize(entries.join(met, "token", "left_semi"), "prefix-index")
+
+
+def _may_agree(a: str, b: str, similarity: float) -> str:
+    """SQL: whether two entries of a bucket can be the first that their documents share.
+
+    What is left of the shorter rest bounds the shingles in common. Similar documents pass
+    in the bucket of the first shingle that they share.
+    """
+    least = similarity / (1 + similarity)
+    return f"least({a}n - {a}at, {b}n - {b}at) >= {least!r}D * ({a}n + {b}n) - 1e-6D"
+
+
+def _star_pairs(index: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of each entry with the first one of its bucket."""
+    heads = index.groupBy("token").agg(F.min(F.struct("node", "n", "at")).alias("head"))
+    return (
+        index.join(heads, "token")
+        .where(f"node <> head.node AND {_may_agree('', 'head.', similarity)}")
+        .selectExpr("node AS a", "head.node AS b")
+        .distinct()
+    )
+
+
 def similar_groups(
     docs: DataFrame,
     words: int = 5,
     similarity: float = 0.8,
-    tables: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id and component_id of the documents that have near copies, but each first one.
 
     A link counts if the texts share `similarity` of their distinct shingles of `words`
-    words. Candidates differ in two bits at most in either half of one of several
-    fingerprints over pairs of words, which an edited word changes less than longer shingles.
-    In each bucket a document is compared with the first one; then those of different groups
-    with the one before them in the order of the other half, so that work grows with the
-    documents and not with their pairs. Texts without words are left alone, as are rows
-    without an identifier. Identifiers should be unique: of rows that repeat one, a single text
-    is looked at. An empty table gives no rows.
+    words. Candidates are all that meet in the index of `shared_prefixes`. In each of its
+    buckets a document is compared with the first one.
+    Texts without words are left alone, as are rows without an identifier. Identifiers should
+    be unique: of rows that repeat one, a single text is looked at. An empty table gives no
+    rows.
     """
-    rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
-    prints = materialize(fingerprints(rows, 2, tables, id_col, text_col), "fingerprints")
-    nodes = prints.groupBy("doc_id").agg(F.min("fps").alias("fps"))
-    found = []
-    for t in range(tables):
-        full = nodes.selectExpr("doc_id AS node", f"fps[{t}] AS full")
-        low, high = "full & 4294967295L", "shiftrightunsigned(full, 32)"
-        for own, other in ((low, high), (high, low)):
-            within = _bucket().orderBy(F.expr(other), "node")
-            whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            member = F.struct("node", "full")
-            buckets = buckets_within_two(full, own, bits=32).select(
-                "node",
-                "full",
-                F.min(member).over(whole).alias("head"),
-                F.lag(member).over(within).alias("last"),
-            )
-            # unrelated texts differ in about half of the bits, those sought in a sixth at most
-            near = f"bit_count(full ^ {{0}}.full) <= {LIKELY}"
-            found.append(
-                buckets.selectExpr(
-                    "node AS a",
-                    f"CASE WHEN node <> head.node AND {near.format('head')} THEN head.node END AS first",
-                    f"CASE WHEN {near.format('last')} THEN last.node END AS before",
-                )
-            )
-    candidates = materialize(
-        reduce(DataFrame.unionByName, found)
-        .where("first IS NOT NULL OR before IS NOT NULL")
-        .distinct(),
-        "candidates",
+    texts_ = docs.where(
+        F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    ).select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("pick"),
+        F.col(text_col).alias("text"),
     )
-    used = candidates.selectExpr("explode(array_compact(array(a, first, before))) AS id").distinct()
-    texts_ = rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    index = shared_prefixes(texts_, words, similarity)
+    used = index.select(F.col("node").alias("doc_id")).distinct()
     held = materialize(
-        texts_.join(used, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts"
+        texts_.join(used, "doc_id", "left_semi")
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.min_by("text", "pick").alias("text")),
+        "candidate-texts",
     )
-    pairs = candidates.where("first IS NOT NULL").selectExpr("a", "first AS b").distinct()
-    links = _verified(pairs, held, similarity, words)
-    groups = materialize(components(links), "near-groups")
-    # pairs of neighbours that are not in one group yet
-    neighbours = (
-        candidates.where("before IS NOT NULL")
-        .selectExpr("greatest(a, before) AS a", "least(a, before) AS b")
-        .distinct()
-        .join(groups.selectExpr("node AS a", "label AS label_a"), "a", "left")
-        .join(groups.selectExpr("node AS b", "label AS label_b"), "b", "left")
-        .where("coalesce(label_a, a) <> coalesce(label_b, b)")
-        .select("a", "b")
+    pairs = _star_pairs(index, similarity)
+    return components(_verified(pairs, held, similarity, words)).selectExpr(
+        "node AS doc_id", "label AS component_id"
     )
-    more = _verified(neighbours, held, similarity, words)
-    return components(links.unionByName(more)).selectExpr("node AS doc_id", "label AS component_id")
 
 
 def op5_simhash_dedup(spark, sf_dir):

@@ -131,6 +131,44 @@ def test_similar_groups(spark):
     assert simhash_dedup.similar_groups(frame(spark, [])).count() == 0
 
 
+def block_copies():
+    """Texts with one copy each that is appended to, cut or has a block replaced, J 0.8 to 0.9."""
+    draw, rows = random.Random(12), []
+    fresh = lambda n: ["w%d" % draw.randrange(3000) for _ in range(n)]
+    for k in range(120):
+        base = fresh(draw.choice([30, 120, 400, 1000]))
+        n, share = len(base) - 4, draw.choice([0.8, 0.82, 0.85, 0.9])
+        if k % 3 == 0:
+            copy = base + fresh(int(n / share) - n)
+        elif k % 3 == 1:
+            copy = base[: len(base) - n + int(n * share + 0.999)]
+        else:
+            size = max(1, int(n * (1 - share) / (1 + share)) - 4)
+            copy = base[: n // 3] + fresh(size) + base[n // 3 + size :]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    return rows
+
+
+def plain_similar(rows):
+    """Pairs by brute force over all texts that have any shingle in common."""
+    sets, holds = {}, {}
+    for i, text in rows:
+        words = text.lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+        for s in sets[i]:
+            holds.setdefault(s, set()).add(i)
+    pairs = {p for ids in holds.values() for p in itertools.combinations(sorted(ids), 2)}
+    return {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+
+
+def test_similar_groups_of_block_edits(spark):
+    rows = block_copies()
+    want = plain_similar(rows)
+    assert len(want) >= 100
+    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
+    assert {(r.component_id, r.doc_id) for r in got} == want
+
+
 def plain_matches(text, items):
     words = re.findall(r"[^\W_]+", (text or "").lower())
     best = {}
