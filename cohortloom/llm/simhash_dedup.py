@@ -31,6 +31,7 @@ from cohortloom.sources.storage import materialize
 SEED = 42
 SAMPLE = 20_000  # documents that tell which shingles are common
 COMMON = 1 << 17  # common shingles that tasks hold
+TURNS = 2  # heads of each bucket, before what is left of it is compared whole
 CHUNK = 1 << 15  # shingles whose bits are spread out at once
 
 
@@ -330,15 +331,55 @@ def _may_agree(a: str, b: str, similarity: float) -> str:
     return f"least({a}n - {a}at, {b}n - {b}at) >= {least!r}D * ({a}n + {b}n) - 1e-6D"
 
 
-def _star_pairs(index: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of each entry with the first one of its bucket."""
-    heads = index.groupBy("token").agg(F.min(F.struct("node", "n", "at")).alias("head"))
-    return (
-        index.join(heads, "token")
-        .where(f"node <> head.node AND {_may_agree('', 'head.', similarity)}")
-        .selectExpr("node AS a", "head.node AS b")
-        .distinct()
+def _open_buckets(index: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
+    """Entries of the buckets that hold several groups, with their `label`, the bucket's
+
+    smallest label `lo` and its `head`, another entry each turn: first the smallest one."""
+    label = "node AS label"
+    if groups is not None:
+        index = index.join(groups.withColumnRenamed("label", "found"), "node", "left")
+        label = "coalesce(found, node) AS label"
+    entries = index.selectExpr("token", "node", "n", "at", label)
+    key = f"xxhash64(node, {turn})" if turn else "node"
+    buckets = (
+        entries.withColumn("turn", F.expr(key))
+        .groupBy("token")
+        .agg(
+            F.min("label").alias("lo"),
+            F.max("label").alias("hi"),
+            F.min(F.struct("turn", "node", "n", "at", "label")).alias("head"),
+        )
+        .where("lo < hi")
+    )
+    return entries.join(buckets.drop("hi"), "token")
+
+
+def _pairs(found: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Each pair once, (a, b) with a > b, without those that were verified already."""
+    pairs = found.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _star_pairs(opened: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of entries with the heads of their buckets, if those are of other groups."""
+    return opened.where(
+        f"label <> head.label AND {_may_agree('', 'head.', similarity)}"
+    ).selectExpr("node AS a", "head.node AS b")
+
+
+def _rest_pairs(opened: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) in a bucket that are of different groups.
+
+    One of the two isn't of the group with the smallest label, so the entries of that group,
+    mostly the large one, are never held against each other.
+    """
+    left = opened.where("label <> lo").select("token", "node", "n", "at", "label").alias("l")
+    right = opened.select("token", "node", "n", "at", "label", "lo").alias("r")
+    meets = (
+        "l.token = r.token AND l.label <> r.label AND (r.label = r.lo OR l.node < r.node) AND "
+        + _may_agree("l.", "r.", similarity)
     )
+    return left.join(right, F.expr(meets)).selectExpr("l.node AS a", "r.node AS b")
 
 
 def similar_groups(
@@ -352,7 +393,9 @@ def similar_groups(
 
     A link counts if the texts share `similarity` of their distinct shingles of `words`
     words. Candidates are all that meet in the index of `shared_prefixes`. In each of its
-    buckets a document is compared with the first one.
+    buckets documents are compared with a head, another one each turn; then all those that
+    are still of different groups are compared. So in the end a pair is in one group,
+    verified, or excluded by an exact bound, and large groups aren't compared pair by pair.
     Texts without words are left alone, as are rows without an identifier. Identifiers should
     be unique: of rows that repeat one, a single text is looked at. An empty table gives no
     rows.
@@ -372,10 +415,18 @@ def similar_groups(
         .agg(F.min_by("text", "pick").alias("text")),
         "candidate-texts",
     )
-    pairs = _star_pairs(index, similarity)
-    return components(_verified(pairs, held, similarity, words)).selectExpr(
-        "node AS doc_id", "label AS component_id"
-    )
+    groups = tried = None
+    for turn in range(TURNS + 1):
+        opened = _open_buckets(index, groups, turn)
+        last = turn == TURNS
+        found = _rest_pairs(opened, similarity) if last else _star_pairs(opened, similarity)
+        pairs = materialize(_pairs(found, tried), "candidates")
+        more = _verified(pairs, held, similarity, words)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        if groups is not None:
+            more = more.unionByName(groups.selectExpr("node AS a", "label AS b"))
+        groups = materialize(components(more), "near-groups")
+    return groups.selectExpr("node AS doc_id", "label AS component_id")
 
 
 def op5_simhash_dedup(spark, sf_dir):

@@ -169,6 +169,21 @@ def test_similar_groups_of_block_edits(spark):
     assert {(r.component_id, r.doc_id) for r in got} == want
 
 
+def test_similar_groups_behind_an_unlike_head(spark):
+    """Two copies that meet only where a document unlike both has the smallest identifier."""
+    draw, rows = random.Random(21), []
+    fresh = lambda n: ["w%d" % draw.randrange(9000) for _ in range(n)]
+    for k in range(0, 100, 10):
+        base, other = fresh(200), fresh(60)
+        rows += [(k, " ".join(base + other))]
+        rows += [(k + i, " ".join(base + fresh(20))) for i in (1, 2)]
+        rows += [(1000 + k + i, " ".join(other + fresh(300))) for i in range(4)]
+    want = plain_similar(rows)
+    assert want == {(k + 1, k + 2) for k in range(0, 100, 10)}
+    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
+    assert {(r.component_id, r.doc_id) for r in got} == want
+
+
 def plain_matches(text, items):
     words = re.findall(r"[^\W_]+", (text or "").lower())
     best = {}
