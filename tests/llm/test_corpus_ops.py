@@ -184,6 +184,21 @@ def test_similar_groups_behind_an_unlike_head(spark):
     assert {(r.component_id, r.doc_id) for r in got} == want
 
 
+def test_similar_groups_without_windows(spark, monkeypatch):
+    """No group of near copies meets in one task: buckets are made by map-side minimums."""
+    plans, write = [], simhash_dedup.materialize
+
+    def held(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(simhash_dedup, "materialize", held)
+    rows = [(i, " ".join(f"w{k}" for k in range(60)) + f" x{i}") for i in range(30)]
+    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, 0) for i in range(1, 30)}
+    assert plans and not any("Window" in p for p in plans)
+
+
 def plain_matches(text, items):
     words = re.findall(r"[^\W_]+", (text or "").lower())
     best = {}
