@@ -111,6 +111,21 @@ def find(text: str, words: ahocorasick.Automaton) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], order[s[2]], s[1]))
 
 
+def _card_end(text: str, start: int, end: int) -> int:
+    """End of the longest card number from `start`, zero without one.
+
+    Digits may follow it, such as an expiry date, behind a space or hyphen.
+    """
+    while end > start:
+        digits = re.sub("[ -]", "", text[start:end])
+        if len(digits) < 12:
+            return 0
+        if luhn(digits):
+            return end
+        end = max(text.rfind(" ", start, end), text.rfind("-", start, end))
+    return 0
+
+
 def _numbers(text: str, after: int, kind: str, done: dict, found: list) -> None:
     """Card or account numbers that start within reach of a keyword."""
     pattern = CARD if kind == "card" else IBAN
@@ -120,10 +135,13 @@ def _numbers(text: str, after: int, kind: str, done: dict, found: list) -> None:
         if not match or (at and text[at - 1].isalnum()):
             at += 1
             continue
-        value = match.group()
-        if luhn(re.sub("[ -]", "", value)) if kind == "card" else iban(value):
-            found.append((at, match.end(), kind))
-            done[kind] = at = match.end()
+        if kind == "card":
+            end = _card_end(text, at, match.end())
+        else:
+            end = match.end() if iban(match.group()) else 0
+        if end:
+            found.append((at, end, kind))
+            done[kind] = at = end
         else:
             at += 1
 

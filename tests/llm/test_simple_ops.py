@@ -178,3 +178,12 @@ def test_token_counts(spark):
         for i, t in ODD
     ]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_card_numbers_before_other_digits():
+    words = secrets.automaton()
+    spans = lambda text: [text[a:b] for a, b, kind in secrets.find(text, words) if kind == "card"]
+    assert spans("card: 4111 1111 1111 1111 12/25") == ["4111 1111 1111 1111"]
+    assert spans("card 4111111111111111 123") == ["4111111111111111"]
+    assert spans("visa 4111-1111-1111-1111-12345") == ["4111-1111-1111-1111"]
+    assert spans("card 4111 1111 1111 1112 12") == []
