@@ -23,6 +23,14 @@ def whole_text(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not hold, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(
     df: DataFrame,
     fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import map_arrow, table, whole_text
+from cohortloom.llm.common import free_name, map_arrow, table, whole_text
 from cohortloom.sources.storage import materialize
 
 KEY = ("digest", "size", "check")
@@ -155,26 +155,31 @@ def keep_one(
     """The rows of `docs` that the result of `exact_duplicates` lets stay.
 
     Rows are found again by identifier and digest. Where rows repeat both, the first of
-    them by all columns stays.
+    them stays, in the order of their columns written as JSON, so columns of any name and
+    type pass through. Null and empty texts are equal; an empty table gives no rows.
     """
-    digest = F.sha2(whole_text(text_col).cast("binary"), 256)
-    marked = docs.withColumn("_digest", digest)
-    keys = decisions.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
-        F.max("kept").alias("_kept"), F.count("*").alias("_rows")
+    digest = free_name(docs, "digest")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(digest, F.sha2(whole_text(text_col).cast("binary"), 256))
+    own_id, own_digest = F.col(id_col), F.col(digest)
+    found_id, found_digest = free_name(marked, "found_id"), free_name(marked, "found_digest")
+    keys = (
+        decisions.groupBy(
+            F.col("doc_id").alias(found_id), F.col("text_sha256").alias(found_digest)
+        )
+        .agg(F.max("kept").alias("stays"), F.count("*").alias("rows"))
+        .where("stays")
     )
-
-    def at(these: DataFrame):
-        return F.col(id_col).eqNullSafe(these["_id"]) & (F.col("_digest") == these["_sha"])
-
-    alone = keys.where("_kept AND _rows = 1")
-    again = keys.where("_kept AND _rows > 1")
+    met = own_id.eqNullSafe(F.col(found_id)) & (own_digest == F.col(found_digest))
+    alone = marked.join(keys.where("rows = 1").drop("stays", "rows"), met, "left_semi")
+    again = marked.join(keys.where("rows > 1").drop("stays", "rows"), met, "left_semi")
+    whole = F.struct(*columns)
     first = (
-        marked.join(again, at(again), "left_semi")
-        .groupBy(F.col(id_col).alias("_id"), F.col("_digest").alias("_sha"))
-        .agg(F.min(F.struct(*docs.columns)).alias("_first"))
-        .select("_first.*")
+        again.groupBy(own_id.alias(found_id), own_digest.alias(found_digest))
+        .agg(F.min_by(whole, F.to_json(whole)).alias("first"))
+        .select("first.*")
     )
-    return marked.join(alone, at(alone), "left_semi").select(*docs.columns).unionByName(first)
+    return alone.select(*columns).unionByName(first)
 
 
 def op2_exact_dedup(spark, sf_dir):

@@ -16,7 +16,6 @@ member only: links grow with the fingerprints, never with their pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import GOLDEN, map_arrow, mix64, raw, slices, table
+from cohortloom.llm.common import free_name, map_arrow, raw, slices, table
 from cohortloom.llm.components import components
 from cohortloom.sources.storage import materialize
 
 SEED = 42
-SAMPLE = 20_000  # documents that tell which shingles are common
-COMMON = 1 << 17  # common shingles that tasks hold
-TURNS = 2  # heads of each bucket, before what is left of it is compared whole
 CHUNK = 1 << 15  # shingles whose bits are spread out at once
 
 
@@ -63,33 +59,26 @@ def simhash(hashes: np.ndarray) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, words: int, tables: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id and an array of `tables` fingerprints of each whole text.
+    """doc_id and the fingerprint `fp` of each whole text.
 
-    A-Z count as a-z, words are split at ASCII white space. The first fingerprint takes the
-    XXH64 of each shingle as it is; the others mix it anew.
+    A-Z count as a-z, words are split at ASCII white space.
     """
 
-    steps = np.arange(1, tables, dtype=np.uint64) * GOLDEN
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
-            rows = []
-            for text in raw(batch.column("text")):
-                hashes = shingle_hashes(text.lower().split(), words)
-                rows.append(
-                    [simhash(hashes)]
-                    + [simhash(mix64(hashes + step)) for step in steps]
-                )
-            signed = np.array(rows, np.uint64).view(np.int64).tolist()
+            found = [
+                simhash(shingle_hashes(text.lower().split(), words))
+                for text in raw(batch.column("text"))
+            ]
+            signed = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(signed, pa.list_(pa.int64()))],
-                names=["doc_id", "fps"],
+                [batch.column("doc_id"), pa.array(signed)], names=["doc_id", "fp"]
             )
 
     rows = docs.selectExpr(f"cast(`{id_col}` as long) AS doc_id", f"`{text_col}` AS text")
-    return map_arrow(rows, run, "doc_id long, fps array<long>")
+    return map_arrow(rows, run, "doc_id long, fp long")
 
 
 def grid_point(fp: str) -> str:
@@ -98,10 +87,10 @@ def grid_point(fp: str) -> str:
     return " + ".join(f"(shiftrightunsigned({fp}, {i}) & {ones}L)" for i in range(4))
 
 
-def buckets_within_two(fps: DataFrame, fp: str, bits: int = 64) -> DataFrame:
+def buckets_within_two(fps: DataFrame, fp: str) -> DataFrame:
     """Rows (point, name, *columns of `fps`): the verified buckets of each fingerprint.
 
-    `fp` is the SQL of a fingerprint of `bits` bits. Members of a bucket (point, name) differ
+    `fp` is the SQL of a fingerprint. Members of a bucket (point, name) differ
     in two bits at most, and any two rows that do share a bucket; its name is a fingerprint that
     all its members are within one bit of. Only the visits to grid points are shuffled: the
     buckets of a point are made where it is.
@@ -112,7 +101,7 @@ def buckets_within_two(fps: DataFrame, fp: str, bits: int = 64) -> DataFrame:
     count, one = f"shiftrightunsigned(own, {segment}) & 15", f"shiftleft(1L, {segment})"
     visits = (
         fps.selectExpr(*kept, f"{grid_point(f'({fp})')} AS own")
-        .selectExpr("*", f"explode(sequence(0, {bits // 2})) AS step")
+        .selectExpr("*", f"explode(sequence(0, 32)) AS step")
         .where(
             f"CASE WHEN step = 0 THEN true WHEN step % 2 = 1 THEN ({count}) < 4"
             f" ELSE ({count}) > 0 END"
@@ -169,10 +158,7 @@ def near_duplicates(
     null identifiers are passed over for component_id, which is null only where a component
     has no other. An empty table gives no rows; other columns are not read.
     """
-    rows = materialize(
-        fingerprints(docs, words, 1, id_col, text_col).selectExpr("doc_id", "fps[0] AS fp"),
-        "fingerprints",
-    )
+    rows = materialize(fingerprints(docs, words, id_col, text_col), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links_within_two(nodes.selectExpr("fp AS node", "fp")))
     labelled = materialize(
@@ -190,243 +176,29 @@ def near_duplicates(
     )
 
 
-def _jaccard(least: float, words: int):
-    """Keep the links whose texts have at least that share of shingles in common."""
-
-    def shingles(text: str | None) -> set:
-        found = (text or "").encode().lower().split()
-        if len(found) <= words:
-            return {tuple(found)}
-        return set(zip(*[found[i:] for i in range(words)], strict=False))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, set()
-        for batch in batches:
-            keep = []
-            for b, text_a, text_b in zip(
-                batch.column("b").to_pylist(),
-                batch.column("text_a").to_pylist(),
-                batch.column("text_b").to_pylist(),
-                strict=True,
-            ):
-                if b != last:
-                    last, held = b, shingles(text_b)
-                own = shingles(text_a)
-                common = len(own & held)
-                keep.append(common >= least * (len(own) + len(held) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield batch.select(["a", "b"]).filter(mask)
-
-    return run
-
-
-def _verified(pairs: DataFrame, held: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The pairs (a, b) whose texts, looked up in `held` (id, text), are similar enough."""
-    joined = (
-        pairs.join(held.selectExpr("id AS a", "text AS text_a"), "a")
-        .join(held.selectExpr("id AS b", "text AS text_b"), "b")
-        .sortWithinPartitions("b")
-    )
-    return materialize(
-        map_arrow(joined, _jaccard(similarity, words), "a long, b long"), "similar-pairs"
-    )
-
-
-def set_hashes(words: list[bytes], size: int, known: dict[bytes, int]) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of `size` words; fewer words make one run.
-
-    A run's hash is a polynomial of its words' XXH64, which `known` keeps.
-    """
-    digest = xxhash.xxh64_intdigest
-    for w in set(words) - known.keys():
-        known[w] = digest(w, SEED)
-    each = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    runs = max(1, len(words) - size + 1)
-    found = np.zeros(runs, np.uint64)
-    for i in range(min(size, len(words))):
-        found = found * GOLDEN + each[i : i + runs]
-    return np.unique(found)
-
-
-def _hashed(rows: DataFrame, words: int, held, schema: str) -> DataFrame:
-    """One row (doc_id, pick, *held(shingle hashes)) for each row (doc_id, pick, text)."""
-    names = [column.split()[0] for column in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 8 << 20):
-            known: dict[bytes, int] = {}
-            found = [
-                held(set_hashes(text.lower().split(), words, known))
-                for text in raw(batch.column("text"))
-            ]
-            sizes = pa.array([n for n, _ in found], pa.int32())
-            tokens = pa.array([t.view(np.int64) for _, t in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("pick"), sizes, tokens], names=names
-            )
-
-    return map_arrow(rows, run, schema)
-
-
-def _common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, of the most common shingles in about SAMPLE rows, and their counts."""
-    step = max(1, rows.count() // SAMPLE)
-    some = rows.where(f"pmod(xxhash64(doc_id), {step}) = 0")
-    schema = "doc_id long, pick long, n int, tokens array<long>"
-    counts = (
-        _hashed(some, words, lambda h: (len(h), h), schema)
-        .select(F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .count()
-        .where("count > 2")
-        .orderBy(F.desc("count"), "token")
-        .limit(COMMON)
-        .collect()
-    )
-    found = np.array([r["token"] for r in counts], np.int64).view(np.uint64)
-    order = np.argsort(found)
-    return found[order], np.array([r["count"] for r in counts], np.int64)[order]
-
-
-def shared_prefixes(rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Rows (token, node, n, at) of an index in which similar documents meet.
-
-    All shingles have one order: those that a sample shows to be common come last, the others
-    go by hash. Two sets with `similarity` of their union in common share one of the first
-    (1 - similarity) * n + 1 shingles of each (prefix filter), whatever the order is. `n` counts
-    the distinct shingles of a document, `at` those of them before this one. Shingles that
-    only one document has in its prefix are left out.
-    """
-    common, counts = _common_shingles(rows, words)
-
-    def prefix(hashes: np.ndarray) -> tuple[int, np.ndarray]:
-        n = len(hashes)
-        size = n - int(np.ceil(similarity * n - 1e-9)) + 1
-        at = np.searchsorted(common, hashes)
-        at[at == len(common)] = 0
-        hot = common[at] == hashes if len(common) else np.zeros(n, bool)
-        first = hashes[~hot][:size]
-        if len(first) < size:
-            last = hashes[hot][np.argsort(counts[at[hot]], kind="stable")]
-            first = np.concatenate([first, last[: size - len(first)]])
-        return n, first
-
-    schema = "doc_id long, pick long, n int, tokens array<long>"
-    one = _hashed(rows, words, prefix, schema).groupBy("doc_id").agg(
-        F.min_by(F.struct("n", "tokens"), "pick").alias("held")
-    )
-    prefixes = materialize(one.select("doc_id", "held.*"), "prefixes")
-    entries = prefixes.selectExpr("doc_id AS node", "n", "posexplode(tokens) AS (at, token)")
-    met = entries.groupBy("token").count().where("count > 1").select("token")
-    return materialize(entries.join(met, "token", "left_semi"), "prefix-index")
-
-
-def _may_agree(a: str, b: str, similarity: float) -> str:
-    """SQL: whether two entries of a bucket can be the first that their documents share.
-
-    What is left of the shorter rest bounds the shingles in common. Similar documents pass
-    in the bucket of the first shingle that they share.
-    """
-    least = similarity / (1 + similarity)
-    return f"least({a}n - {a}at, {b}n - {b}at) >= {least!r}D * ({a}n + {b}n) - 1e-6D"
-
-
-def _open_buckets(index: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
-    """Entries of the buckets that hold several groups, with their `label`, the bucket's
-
-    smallest label `lo` and its `head`, another entry each turn: first the smallest one."""
-    label = "node AS label"
-    if groups is not None:
-        index = index.join(groups.withColumnRenamed("label", "found"), "node", "left")
-        label = "coalesce(found, node) AS label"
-    entries = index.selectExpr("token", "node", "n", "at", label)
-    key = f"xxhash64(node, {turn})" if turn else "node"
-    buckets = (
-        entries.withColumn("turn", F.expr(key))
-        .groupBy("token")
-        .agg(
-            F.min("label").alias("lo"),
-            F.max("label").alias("hi"),
-            F.min(F.struct("turn", "node", "n", "at", "label")).alias("head"),
-        )
-        .where("lo < hi")
-    )
-    return entries.join(buckets.drop("hi"), "token")
-
-
-def _pairs(found: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """Each pair once, (a, b) with a > b, without those that were verified already."""
-    pairs = found.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").distinct()
-    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-
-
-def _star_pairs(opened: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of entries with the heads of their buckets, if those are of other groups."""
-    return opened.where(
-        f"label <> head.label AND {_may_agree('', 'head.', similarity)}"
-    ).selectExpr("node AS a", "head.node AS b")
-
-
-def _rest_pairs(opened: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) in a bucket that are of different groups.
-
-    One of the two isn't of the group with the smallest label, so the entries of that group,
-    mostly the large one, are never held against each other.
-    """
-    left = opened.where("label <> lo").select("token", "node", "n", "at", "label").alias("l")
-    right = opened.select("token", "node", "n", "at", "label", "lo").alias("r")
-    meets = (
-        "l.token = r.token AND l.label <> r.label AND (r.label = r.lo OR l.node < r.node) AND "
-        + _may_agree("l.", "r.", similarity)
-    )
-    return left.join(right, F.expr(meets)).selectExpr("l.node AS a", "r.node AS b")
-
-
-def similar_groups(
-    docs: DataFrame,
-    words: int = 5,
-    similarity: float = 0.8,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def keep_one(
+    docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id and component_id of the documents that have near copies, but each first one.
-
-    A link counts if the texts share `similarity` of their distinct shingles of `words`
-    words. Candidates are all that meet in the index of `shared_prefixes`. In each of its
-    buckets documents are compared with a head, another one each turn; then all those that
-    are still of different groups are compared. So in the end a pair is in one group,
-    verified, or excluded by an exact bound, and large groups aren't compared pair by pair.
-    Texts without words are left alone, as are rows without an identifier. Identifiers should
-    be unique: of rows that repeat one, a single text is looked at. An empty table gives no
-    rows.
+    """The rows of `docs`, with all their columns, that stay: one of each component.
+
+    Components are those of `near_duplicates`. The row with the smallest identifier stays, a
+    missing one last, and of rows that repeat it the first as the table was read; every row
+    is judged by its own text, also where rows repeat an identifier. Null, empty and blank
+    texts are copies of each other. An empty table gives no rows. Columns of any name and type
+    pass through. The rows are written once, so that their numbers hold when a task runs anew.
     """
-    texts_ = docs.where(
-        F.col(id_col).isNotNull() & F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
-    ).select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(text_col).alias("pick"),
-        F.col(text_col).alias("text"),
-    )
-    index = shared_prefixes(texts_, words, similarity)
-    used = index.select(F.col("node").alias("doc_id")).distinct()
-    held = materialize(
-        texts_.join(used, "doc_id", "left_semi")
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.min_by("text", "pick").alias("text")),
-        "candidate-texts",
+    row, judged = free_name(docs, "row"), free_name(docs, "judged")
+    held = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    found = near_duplicates(held, words, row, text_col)
+    ids = held.select(F.col(row).alias("doc_id"), F.col(id_col).cast("long").alias("id"))
+    stays = (
+        found.join(ids, "doc_id")
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "doc_id")).alias("first"))
+        .select(F.col("first.doc_id").alias(judged))
     )
-    groups = tried = None
-    for turn in range(TURNS + 1):
-        opened = _open_buckets(index, groups, turn)
-        last = turn == TURNS
-        found = _rest_pairs(opened, similarity) if last else _star_pairs(opened, similarity)
-        pairs = materialize(_pairs(found, tried), "candidates")
-        more = _verified(pairs, held, similarity, words)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if groups is not None:
-            more = more.unionByName(groups.selectExpr("node AS a", "label AS b"))
-        groups = materialize(components(more), "near-groups")
-    return groups.selectExpr("node AS doc_id", "label AS component_id")
+    kept = held.join(stays, F.col(row) == F.col(judged), "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash_dedup(spark, sf_dir):

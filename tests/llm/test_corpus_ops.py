@@ -113,90 +113,21 @@ def test_near_duplicates(spark):
     assert simhash_dedup.near_duplicates(frame(spark, [])).count() == 0
 
 
-def test_similar_groups(spark):
-    draw = random.Random(9)
-    words = ["w%d" % i for i in range(300)]
-    rows, groups = [], {}
-    for group in range(20):
-        base = [draw.choice(words) for _ in range(200)]
-        for k in range(4):
-            copy = list(base)
-            if k:
-                copy[draw.randrange(200)] = "edit"
-            rows.append((100 * group + k, " ".join(copy)))
-            groups[100 * group + k] = 100 * group
-    rows += [(None, rows[0][1]), (9000, None), (9001, ""), (9002, "short"), (0, rows[0][1])]
-    got = {r.doc_id: r.component_id for r in simhash_dedup.similar_groups(frame(spark, rows)).collect()}
-    assert got == {d: g for d, g in groups.items() if d != g}
-    assert simhash_dedup.similar_groups(frame(spark, [])).count() == 0
-
-
-def block_copies():
-    """Texts with one copy each that is appended to, cut or has a block replaced, J 0.8 to 0.9."""
-    draw, rows = random.Random(12), []
-    fresh = lambda n: ["w%d" % draw.randrange(3000) for _ in range(n)]
-    for k in range(120):
-        base = fresh(draw.choice([30, 120, 400, 1000]))
-        n, share = len(base) - 4, draw.choice([0.8, 0.82, 0.85, 0.9])
-        if k % 3 == 0:
-            copy = base + fresh(int(n / share) - n)
-        elif k % 3 == 1:
-            copy = base[: len(base) - n + int(n * share + 0.999)]
-        else:
-            size = max(1, int(n * (1 - share) / (1 + share)) - 4)
-            copy = base[: n // 3] + fresh(size) + base[n // 3 + size :]
-        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
-    return rows
-
-
-def plain_similar(rows):
-    """Pairs by brute force over all texts that have any shingle in common."""
-    sets, holds = {}, {}
-    for i, text in rows:
-        words = text.lower().split()
-        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-        for s in sets[i]:
-            holds.setdefault(s, set()).add(i)
-    pairs = {p for ids in holds.values() for p in itertools.combinations(sorted(ids), 2)}
-    return {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
-
-
-def test_similar_groups_of_block_edits(spark):
-    rows = block_copies()
-    want = plain_similar(rows)
-    assert len(want) >= 100
-    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
-    assert {(r.component_id, r.doc_id) for r in got} == want
-
-
-def test_similar_groups_behind_an_unlike_head(spark):
-    """Two copies that meet only where a document unlike both has the smallest identifier."""
-    draw, rows = random.Random(21), []
-    fresh = lambda n: ["w%d" % draw.randrange(9000) for _ in range(n)]
-    for k in range(0, 100, 10):
-        base, other = fresh(200), fresh(60)
-        rows += [(k, " ".join(base + other))]
-        rows += [(k + i, " ".join(base + fresh(20))) for i in (1, 2)]
-        rows += [(1000 + k + i, " ".join(other + fresh(300))) for i in range(4)]
-    want = plain_similar(rows)
-    assert want == {(k + 1, k + 2) for k in range(0, 100, 10)}
-    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
-    assert {(r.component_id, r.doc_id) for r in got} == want
-
-
-def test_similar_groups_without_windows(spark, monkeypatch):
-    """No group of near copies meets in one task: buckets are made by map-side minimums."""
-    plans, write = [], simhash_dedup.materialize
-
-    def held(df, name):
-        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
-        return write(df, name)
-
-    monkeypatch.setattr(simhash_dedup, "materialize", held)
-    rows = [(i, " ".join(f"w{k}" for k in range(60)) + f" x{i}") for i in range(30)]
-    got = simhash_dedup.similar_groups(frame(spark, rows)).collect()
-    assert {(r.doc_id, r.component_id) for r in got} == {(i, 0) for i in range(1, 30)}
-    assert plans and not any("Window" in p for p in plans)
+def test_keep_one_of_near_copies(spark):
+    """Every row is judged by its own text, also where identifiers repeat or are missing."""
+    draw = random.Random(8)
+    fresh = lambda: " ".join("w%d" % draw.randrange(900) for _ in range(400))
+    base, other, third = fresh(), fresh(), fresh()
+    rows = [(2, base + " z"), (1, base), (2, other), (2, other), (None, third), (7, third + " y")]
+    rows += [(9, None), (8, ""), (10, "  "), (None, fresh()), (None, fresh())]
+    schema = "doc_id long, text string, row long, judged string, Row_ map<string,int>, fp int"
+    docs = spark.createDataFrame([(i, t, n, "j", {"k": n}, 3) for n, (i, t) in enumerate(rows)], schema)
+    for parts in (1, 5):
+        got = simhash_dedup.keep_one(docs.repartition(parts, "row") if parts > 1 else docs, words=3)
+        assert got.columns == docs.columns
+        kept = {r.row for r in got.collect()}
+        assert kept - {2, 3} == {1, 5, 7, 9, 10} and len(kept & {2, 3}) == 1
+    assert simhash_dedup.keep_one(docs.limit(0)).count() == 0
 
 
 def plain_matches(text, items):

@@ -1,5 +1,6 @@
 """The pipeline's stages against plain versions on a small fixture."""
 
+import itertools
 import random
 import re
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cohortloom.llm.common import table
 from cohortloom.sources.storage import materialize, scratch_path
+from tests.llm.test_corpus_ops import plain_components, plain_print
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -39,11 +41,6 @@ def corpus(spark):
     return path, planted
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def test_stages(spark, corpus):
     path, planted = corpus
     docs = table(spark, path, "documents")
@@ -67,14 +64,18 @@ def test_stages(spark, corpus):
         best[text] = max(i, best.get(text, i))
     assert left == set(best.values())
     before, left = kept["near"]
-    ids = sorted(before)
-    sets = {i: shingles(before[i]) for i in ids}
-    lead = {}
-    for i in ids:  # plain components of all pairs
-        for j in ids:
-            if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                lead.setdefault(i, set()).add(j)
-    assert left == {i for i in ids if i not in lead}
+    prints = {i: plain_print(t, 3) for i, t in before.items()}
+    linked = [
+        (a, b)
+        for a, b in itertools.combinations(set(prints.values()), 2)
+        if bin(a ^ b).count("1") <= 2
+    ]
+    groups = plain_components(set(prints.values()), linked)
+    least = {}
+    for i, p in prints.items():
+        least[groups[p]] = min(i, least.get(groups[p], i))
+    assert left == set(least.values())
+    assert {i for i, (kind, _) in planted.items() if kind == "near"} - left
     before, left = kept["benchmark"]
     items = [
         " ".join(re.findall(r"[^\W_]+", r.text.lower()))
@@ -103,3 +104,33 @@ def test_empty_tables(spark, corpus):
     for name, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, path), f"test-empty-{name}")
         assert docs.count() == 0
+
+
+def test_stages_on_odd_tables(spark, corpus):
+    """Repeated and missing identifiers, other texts under one, clashing and map columns."""
+    path, _ = corpus
+    long = " ".join(f"word{i} and the rest of it" for i in range(30))
+    other = " ".join(f"thing{i} was here for them" for i in range(30))
+    rows = [
+        (1, long, "en", {"a": 1}, "x"),
+        (2, long + " z", "en", {"a": 2}, "x"),
+        (2, other, "en", None, "y"),
+        (2, other, "en", {"b": 1}, "z"),
+        (None, other, "de", {"b": 1}, "z"),
+        (None, None, None, None, None),
+        (3, "", "en", {}, ""),
+    ]
+    names = "doc_id long, text string, lang string, found map<string,int>, digest string"
+    docs = spark.createDataFrame(rows, names).withColumn("_digest", F.lit("own")).withColumn("row", F.lit(5))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, path)
+        assert got.columns == docs.columns
+        after = got.collect()
+        assert {r._digest for r in after} <= {"own"} and {r.row for r in after} <= {5}
+        if name == "exact":
+            kept = [(r.doc_id, r.text) for r in after]
+            assert sorted(map(str, kept)) == sorted(map(str, [(1, long), (2, long + " z"), (2, other), (3, "")]))
+            assert [r.found for r in after if r.text == other][0] in (None, {"b": 1})
+        if name == "near":
+            kept = [(r.doc_id, r.text) for r in after]
+            assert (2, other) in kept and (1, long) in kept and kept.count((2, other)) == 1
