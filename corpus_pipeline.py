@@ -23,28 +23,48 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; others and junk go."""
+    """Documents in a language that the labelled ones teach; others and junk go.
+
+    Null and empty texts and texts without letters go. Each row is judged by its text alone,
+    however long, so repeated rows share their fate. Columns pass through; no rows give none.
+    """
     return language_id.accepted_rows(docs, language_id.fit(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest identifier stays."""
+    """Of equal texts the document with the largest identifier stays.
+
+    Null and empty texts are equal. Of rows that repeat that identifier too, the first of them
+    by its columns stays. Columns of any name and type pass through; no rows give none.
+    """
     return exact_dedup.keep_one(docs, exact_dedup.exact_duplicates(docs, keep="largest"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest identifier stays."""
-    copies = simhash_dedup.similar_groups(docs, words=5, similarity=0.8)
-    return docs.join(copies.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies the document with the smallest identifier stays.
+
+    Groups are linked by SimHash fingerprints over shingles of three words that differ in two
+    bits at most. Each row is judged by its own whole text, also where identifiers repeat or
+    are missing; texts without words are copies of each other. Columns of any name pass
+    through; no rows give none.
+    """
+    return simhash_dedup.keep_one(docs, words=3)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Each row is judged by its whole text; null and empty texts hold nothing and stay, as does
+    every row if the benchmark is empty. Columns pass through; no rows give none.
+    """
     return decontaminate.without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of what is left."""
+    """Sampled segmentations of what is left, one row for each row.
+
+    Null counts as empty, which has the empty segmentation; equal rows draw alike.
+    """
     return sentencepiece_sampling.sample_segmentations(docs, MODEL)
 
 
