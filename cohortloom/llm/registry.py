@@ -6,9 +6,12 @@ from cohortloom.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    phrases,
+    quality,
     secrets,
     sentencepiece_sampling,
     simhash_dedup,
+    token_alignment,
     token_counts,
     token_files,
     tool_calls,
@@ -26,9 +29,13 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_tool_calls": tool_calls.op9_tool_calls,
     "op10_language_id": language_id.op10_language_id,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_quality": quality.op13_quality,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op3_url_filter": url_filter.SQL,
     "op9_tool_calls": tool_calls.SQL,
+    "op12_phrases": phrases.SQL,
 }
