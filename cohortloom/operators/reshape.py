@@ -24,12 +24,16 @@ METADATA = (
 )
 
 
+def question_pattern(any_q: bool = False) -> str:
+    """Names of questions, in either letter case."""
+    return r"(?i)^q" if any_q else r"(?i)^q\d+$"
+
+
 def question_columns(columns: Iterable[str], any_q: bool = False) -> list[str]:
     """Question columns among `columns`: `q<digits>`, or with `any_q` every name
 
     that starts with q and is not metadata (either letter case)."""
-    pattern = r"(?i)q" if any_q else r"(?i)q\d+$"
-    return [c for c in columns if c not in METADATA and re.match(pattern, c)]
+    return [c for c in columns if c not in METADATA and re.match(question_pattern(any_q), c)]
 
 
 def metadata_columns(columns: Iterable[str]) -> list[str]:

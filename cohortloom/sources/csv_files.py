@@ -1,13 +1,15 @@
-"""CSV exports with differing headers, read as text columns in one scan per header."""
+"""CSV exports with differing headers, read as text cells in one scan."""
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,21 +24,76 @@ MALFORMED = "_malformed"
 SOURCE_FILE = "source_file"
 ON_BAD = ("rows", "files", "fail")
 HEADER_BYTES = 1 << 20  # a longer first line is no header
+# What a scan sends to the executors, so that its size has a bound; more files make more scans
+FILES_IN_A_SCAN = 50_000
+PLACES_IN_A_SCAN = 8_000_000  # headers times columns
+BLANK_LINES = re.compile(rb"(?:[ \t]*\r?\n)*")
 
 
 @dataclass(frozen=True)
 class HeaderGroup:
-    """Files that share one header line, and their rows with every column as text."""
+    """Files that share their columns, and their rows with every column as text."""
 
     columns: tuple[str, ...]
     paths: tuple[str, ...]
     scan: DataFrame  # columns + MALFORMED + CORRUPT + source_file
 
 
+@dataclass(frozen=True)
+class Records:
+    """Records of files with any number of headers.
+
+    `lines` has a row for each record: source_file, the number of its file's header, `names` and
+    `cells` of its columns, MALFORMED and CORRUPT (the record as it stands, if it is malformed). `headers` are
+    the columns of each header, `files` the paths that have it.
+    """
+
+    headers: tuple[tuple[str, ...], ...]
+    files: tuple[tuple[str, ...], ...]
+    lines: DataFrame
+    columns: tuple[str, ...]
+
+    def wide(
+        self, rows: DataFrame, columns: Sequence[str], also: Sequence[str] = ()
+    ) -> DataFrame:
+        """`rows` of `lines` with a text column for each name; missing ones are NULL."""
+        place = {name.lower(): k for k, name in enumerate(self.columns)}
+        cells = [
+            F.get("cells", F.get("places", F.lit(place[name.lower()]))).alias(name)
+            for name in columns
+        ]
+        return rows.select(*cells, *also, MALFORMED, CORRUPT, SOURCE_FILE)
+
+    @cached_property
+    def scan(self) -> DataFrame:
+        return self.wide(self.lines, self.columns)
+
+    def __len__(self) -> int:
+        return len(self.groups)
+
+    def __getitem__(self, i: int) -> HeaderGroup:
+        return self.groups[i]
+
+    @cached_property
+    def groups(self) -> list[HeaderGroup]:
+        """The same records apart by columns; each group is a scan of its own when it is used."""
+        numbers: dict[tuple[str, ...], list[int]] = {}
+        for k, columns in enumerate(self.headers):
+            numbers.setdefault(columns, []).append(k)
+        return [
+            HeaderGroup(
+                columns,
+                tuple(sorted(path for k in own for path in self.files[k])),
+                self.wide(self.lines.where(F.col("header").isin(own)), columns),
+            )
+            for columns, own in sorted(numbers.items())
+        ]
+
+
 def _first_line(path: str, cache: dict) -> str | None:
-    """First line of a file, reading no further than its end; None when it is empty.
+    """First line of a file that isn't blank, reading no further than its end, or None.
 
-    A file whose first line does not end within HEADER_BYTES is reported as unreadable."""
+    A file in which it does not end within HEADER_BYTES is reported as unreadable."""
     system, location = resolve(path, cache)
     line = b""
     with system.open_input_file(location) as stream:
@@ -44,10 +101,11 @@ def _first_line(path: str, cache: dict) -> str | None:
             chunk = stream.read(16384)
             if not chunk:
                 break
-            line += chunk
+            line = (line + chunk).removeprefix(b"\xef\xbb\xbf")
+            line = line[BLANK_LINES.match(line).end() :]
             if len(line) > HEADER_BYTES and b"\n" not in line:
                 raise ValueError(f"no header within {HEADER_BYTES} bytes")
-    return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r") or None
+    return line.split(b"\n", 1)[0].decode("utf-8").rstrip("\r") or None
 
 
 def _read_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,53 +153,121 @@ def column_names(header: str, spellings: Iterable[str] = ()) -> tuple[str, ...]:
     )
 
 
-def _scan(
-    spark: SparkSession, columns: tuple[str, ...], files: Iterable[str], mode: str
+def _kinds(spark: SparkSession, rows: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
+    """A small table that every executor gets."""
+    return F.broadcast(
+        spark.createDataFrame(pa.table({k: pa.array(v, types[k]) for k, v in rows.items()}))
+    )
+
+
+def _lines(
+    spark: SparkSession,
+    texts: Sequence[str],
+    headers: Sequence[tuple[str, ...]],
+    files: Sequence[tuple[str, ...]],
+    numbers: Sequence[int],
+    columns: Sequence[str],
+    mode: str,
 ) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    schema = schema.add(CORRUPT, T.StringType())
-    # The reader refuses a query that needs the corrupt record and no data column, so the
-    # flag also looks at the first column: negative where the record is sound.
-    first = F.length(F.col(f"`{columns[0]}`"))
-    malformed = F.coalesce(F.length(CORRUPT), first * 0 - 1, F.lit(-1)) >= 0
+    """One scan over the files of the headers in `numbers`, parsed by their widths."""
+    where = _kinds(
+        spark,
+        {
+            "path": [path for k in numbers for path in files[k]],
+            "header": [k for k in numbers for _ in files[k]],
+        },
+        {"path": pa.string(), "header": pa.int32()},
+    )
+    place = [{name.lower(): i for i, name in enumerate(headers[k])} for k in numbers]
+    kinds = _kinds(
+        spark,
+        {
+            "number": list(numbers),
+            "first": [texts[k] for k in numbers],
+            "width": [len(headers[k]) for k in numbers],
+            "names": [list(headers[k]) for k in numbers],
+            "places": [[own.get(name.lower()) for name in columns] for own in place],
+        },
+        {
+            "number": pa.int32(),
+            "first": pa.string(),
+            "width": pa.int32(),
+            "names": pa.list_(pa.string()),
+            "places": pa.list_(pa.int32()),
+        },
+    )
+    kinds = kinds.withColumn("first", F.xxhash64("first"))
+    widths = sorted({len(headers[k]) for k in numbers})
+    options = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
+
+    def parsed(width: int):
+        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(width)]
+        schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        return F.when(
+            F.col("width") == width, F.from_csv("value", schema.simpleString(), options)
+        ).alias(f"w{width}")
+
+    def cells(width: int):
+        own = F.array(*[F.col(f"w{width}.c{i}") for i in range(width)])
+        return F.when(F.col("width") == width, own)
+
     return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # whole records are tokenized, so what counts as malformed never depends on the
-        # columns a query happens to use
-        .option("columnPruning", False)
-        .csv([escape_glob(path) for path in files])
+        spark.read.text([escape_glob(path) for k in numbers for path in files[k]])
+        .select("value", paths.scanned_file().alias(SOURCE_FILE))
+        .where(F.col("value").rlike(r"[^\x00-\x20]"))  # blank lines are no records
+        .join(where, F.col(SOURCE_FILE) == where["path"])
+        .join(F.broadcast(kinds), F.col("header") == kinds["number"])
+        .where(F.xxhash64("value") != F.col("first"))  # nor is the header, also where it repeats
+        .select(SOURCE_FILE, "header", "names", "places", "width", *[parsed(w) for w in widths])
         .select(
-            *[F.col(f"`{name}`") for name in columns],
-            malformed.alias(MALFORMED),
-            CORRUPT,
-            paths.scanned_file().alias(SOURCE_FILE),
+            SOURCE_FILE,
+            "header",
+            "names",
+            "places",
+            F.coalesce(*[cells(w) for w in widths]).alias("cells"),
+            F.coalesce(*[F.col(f"w{w}.{CORRUPT}") for w in widths]).alias(CORRUPT),
         )
+        .withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
     )
 
 
+def _portions(files: Sequence[tuple[str, ...]], width: int) -> Iterator[list[tuple[int, int, int]]]:
+    """(header, first file, last file) of each scan: all in one, unless they pass the bounds."""
+    most = max(1, PLACES_IN_A_SCAN // max(1, width))
+    portion, held = [], 0
+    for k, own in enumerate(files):
+        for start in range(0, len(own), FILES_IN_A_SCAN):
+            n = min(FILES_IN_A_SCAN, len(own) - start)
+            if portion and (held + n > FILES_IN_A_SCAN or len(portion) >= most):
+                yield portion
+                portion, held = [], 0
+            portion.append((k, start, start + n))
+            held += n
+    if portion:
+        yield portion
+
+
 def header_groups(
     files: DataFrame,
     on_bad: str = "rows",
     spellings: Iterable[str] = (),
     failed: list[tuple[str, str]] | None = None,
-) -> list[HeaderGroup]:
-    """Group the listed files by identical columns: one scan per distinct header.
+) -> Records:
+    """Records of the listed files, whatever headers they have: one scan for all.
 
-    The driver receives file names and header lines, partition by partition, which it needs
+    The scan reads lines, a small table tells each file's header, and the CSV parser cuts a line
+    into as many cells as its header has. A line that equals its file's header is no record.
+    The table is broadcast: it names FILES_IN_A_SCAN files at most, further ones make another
+    scan. The driver receives file names and header lines, partition by partition, which it needs
     for the scan's file index anyway, and no data. Names are brought to the declared
-    `spellings` first, so headers that differ in letter case share a scan. Files that cannot
-    be opened, or whose header is no text, raise under `on_bad="fail"`, or when no file can
-    be; otherwise they are appended to `failed` as (path, error), for the quarantine.
+    `spellings` first. Files that cannot be opened, or whose header is no text, raise under
+    `on_bad="fail"`, or when no file can be; otherwise they are appended to `failed` as
+    (path, error), for the quarantine.
     """
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}")
     spellings = tuple(spellings)
-    by_columns: dict[tuple[str, ...], list[str]] = {}
-    names: dict[str, tuple[str, ...]] = {}
+    found: dict[str, list[str]] = {}
     failed, readable = [] if failed is None else failed, False
     for path, header, error in headers_of(files).toLocalIterator():
         if error is not None:
@@ -151,18 +277,26 @@ def header_groups(
             continue
         readable = True
         if header is not None:
-            if header not in names:
-                names[header] = column_names(header, spellings)
-            by_columns.setdefault(names[header], []).append(path)
+            found.setdefault(header, []).append(path)
     if failed and (on_bad == "fail" or not readable):
         raise OSError(f"cannot open {failed[0][0]}: {failed[0][1]}")
+    texts = sorted(found)
+    headers = tuple(column_names(text, spellings) for text in texts)
+    own_files = tuple(tuple(sorted(set(found[text]))) for text in texts)
+    columns: dict[str, str] = {}
+    for header in sorted(headers):
+        for name in header:
+            columns.setdefault(name.lower(), name)
     mode = "FAILFAST" if on_bad == "fail" else "PERMISSIVE"
-    return [
-        HeaderGroup(
-            columns, tuple(sorted(found)), _scan(files.sparkSession, columns, sorted(found), mode)
-        )
-        for columns, found in sorted(by_columns.items())
-    ]
+    spark = files.sparkSession
+    scans = []
+    for portion in _portions(own_files, len(columns)):
+        part = {k: own_files[k][start:end] for k, start, end in portion}
+        some = [part.get(k, ()) for k in range(len(texts))]
+        names = tuple(columns.values())
+        scans.append(_lines(spark, texts, headers, some, sorted(part), names, mode))
+    lines = reduce(DataFrame.unionByName, scans) if scans else None
+    return Records(headers, own_files, lines, tuple(columns.values()))
 
 
 def unreadable(files: DataFrame) -> DataFrame:
@@ -170,40 +304,47 @@ def unreadable(files: DataFrame) -> DataFrame:
     return headers_of(files).where("error is not null").select("path", "error")
 
 
-def bad_files(groups: Iterable[HeaderGroup]) -> DataFrame | None:
+def _scanned(records: Records | Sequence[HeaderGroup]) -> DataFrame | None:
+    """Rows with source file, flag and malformed record."""
+    if not len(records):
+        return None
+    if isinstance(records, Records):
+        return records.lines
+    kept = [group.scan.select(SOURCE_FILE, MALFORMED, CORRUPT) for group in records]
+    return reduce(DataFrame.unionByName, kept)
+
+
+def bad_files(records: Records | Sequence[HeaderGroup]) -> DataFrame | None:
     """Quarantine report: rows and malformed rows of each file that has any malformed."""
-    reports = [
-        group.scan.groupBy(SOURCE_FILE).agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count_if(MALFORMED).alias("bad_rows"),
-        )
-        for group in groups
-    ]
-    if not reports:
+    rows = _scanned(records)
+    if rows is None:
         return None
-    return reduce(DataFrame.unionByName, reports).where("bad_rows > 0")
+    return (
+        rows.groupBy(SOURCE_FILE)
+        .agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(MALFORMED).alias("bad_rows"))
+        .where("bad_rows > 0")
+    )
 
 
-def quarantined_rows(groups: Iterable[HeaderGroup]) -> DataFrame | None:
+def quarantined_rows(records: Records | Sequence[HeaderGroup]) -> DataFrame | None:
     """`(source_file, record)`: every malformed record as it stands in its file."""
-    parts = [
-        group.scan.where(MALFORMED).select(SOURCE_FILE, F.col(CORRUPT).alias("record"))
-        for group in groups
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    rows = _scanned(records)
+    if rows is None:
+        return None
+    return rows.where(MALFORMED).select(SOURCE_FILE, F.col(CORRUPT).alias("record"))
 
 
-def good_rows(group: HeaderGroup, on_bad: str = "rows") -> DataFrame:
-    """Rows of a group under a policy for malformed records.
+def good_rows(records: Records | HeaderGroup, on_bad: str = "rows") -> DataFrame:
+    """Rows of the files under a policy for malformed records.
 
     rows   leave out the malformed rows only (`quarantined_rows` holds them)
     files  leave out every file that holds a malformed row
     fail   the scan itself raises
     """
-    rows = group.scan
+    rows = records.scan
     if on_bad == "files":
-        bad = bad_files([group]).select(SOURCE_FILE)
-        rows = rows.join(bad, SOURCE_FILE, "left_anti")
+        bad = rows.where(MALFORMED).select(F.col(SOURCE_FILE).alias("bad_file")).distinct()
+        rows = rows.join(bad, F.col(SOURCE_FILE) == F.col("bad_file"), "left_anti")
     if on_bad != "fail":
         rows = rows.where(~F.col(MALFORMED))
     return rows.drop(CORRUPT, MALFORMED)
@@ -220,15 +361,12 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame | None:
 def read_csv(
     files: DataFrame,
     on_bad: str = "rows",
-    seen: list[HeaderGroup] | None = None,
     spellings: Iterable[str] = (),
     failed: list[tuple[str, str]] | None = None,
 ) -> DataFrame | None:
     """All listed CSV files as text columns plus `source_file`, or None without files.
 
-    The header groups that were read are appended to `seen`, unreadable files to `failed`.
+    Unreadable files are appended to `failed`.
     """
-    groups = header_groups(files, on_bad, spellings, failed)
-    if seen is not None:
-        seen.extend(groups)
-    return union_by_name(good_rows(group, on_bad) for group in groups)
+    records = header_groups(files, on_bad, spellings, failed)
+    return good_rows(records, on_bad) if len(records) else None

@@ -45,11 +45,15 @@ def folder_globs(
 
 
 def list_files(
-    spark: SparkSession, globs: Iterable[str], name_pattern: str = r"(?i)\.csv$"
+    spark: SparkSession,
+    globs: Iterable[str],
+    name_pattern: str = r"(?i)\.csv$",
+    modified: bool = False,
 ) -> DataFrame:
     """One row `(path, length)` per non-empty file below the globs that fits the pattern.
 
-    The file reader is asked for path and length only, so no content is read.
+    `modified` adds the time of the last change. The file reader is asked for no content, so
+    none is read.
     A glob that matches nothing contributes no rows.
     """
     found = []
@@ -61,9 +65,13 @@ def list_files(
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+    columns = ["path", "length"]
+    if modified:
+        columns.append(F.col("modificationTime").alias("modified"))
     if not found:
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    listing = found[0].select("path", "length")
+        more = ", modified timestamp" if modified else ""
+        return spark.createDataFrame([], LISTING_SCHEMA + more)
+    listing = found[0].select(*columns)
     for more in found[1:]:
-        listing = listing.unionByName(more.select("path", "length"))
+        listing = listing.unionByName(more.select(*columns))
     return listing.where(F.col("path").rlike(name_pattern))

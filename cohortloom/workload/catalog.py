@@ -490,6 +490,56 @@ def csv_mixed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(failed)
 
 
+def reload_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of everything, a new one of two folders with half their rows, and one that fails."""
+    root, target = exports.fresh_root(spark, "reload"), storage.scratch_path(spark, "target")
+    exports.export_watch(spark, sf_dir, root)
+    ingest.ingest(spark, root, target, "watch")
+    some = "participant % 40 IN (5, 6)"
+    exports.export_watch(spark, sf_dir, root, only=f"{some} AND event_id % 2 = 0")
+    ingest.ingest(spark, root, target, "watch", participants=["Participant_5", "Participant_6"])
+    exports.export_watch(spark, sf_dir, root, with_bad=True, only="event_id % 50 = 0")
+    for people in (["Participant_7", "Participant_8"], None):
+        try:
+            ingest.ingest(spark, root, target, "watch", participants=people, on_bad="fail")
+        except Exception:  # the old table stays
+            continue
+        raise AssertionError("malformed records must fail this load")
+    rows = spark.read.parquet(f"{target}/watch")
+    return rows.select("participant_id", "participant", "timestamp", "hrm")
+
+
+def append_changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends: some rows, all rows in the same and in further files, and nothing new."""
+    root, target = exports.fresh_root(spark, "append"), storage.scratch_path(spark, "target")
+    for only in ("event_id % 3 = 0 AND participant % 40 < 25", "true", None):
+        if only:
+            exports.export_phone(spark, sf_dir, root, "battery", only)
+        ingest.ingest(spark, root, target, "aware:battery", write_mode="append")
+    rows = tables.read_table(spark, target, "aware_battery")
+    return rows.select(
+        "participant_id", "participant", "timestamp", "battery_charge_start", "battery_charge_end"
+    )
+
+
+def file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of the loaded files: rows and malformed rows."""
+    root, target = exports.fresh_root(spark, "ledger"), storage.scratch_path(spark, "target")
+    exports.export_watch(spark, sf_dir, root, with_bad=True)
+    ingest.ingest(spark, root, target, "watch")
+    held = tables.held_table(spark, ingest.file_ledger_path(target, "watch"), ingest.FILE_LEDGER)
+    return held.select(_below_root("path"), "rows", "bad_rows")
+
+
+def cast_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many texts the declared types of the watch table turned into NULL, by file."""
+    root, target = exports.fresh_root(spark, "casts"), storage.scratch_path(spark, "target")
+    exports.export_watch(spark, sf_dir, root, unfit=True)
+    ingest.ingest(spark, root, target, "watch")
+    held = spark.read.parquet(ingest.cast_ledger_path(target, "watch"))
+    return held.select(_below_root(csv_files.SOURCE_FILE), "column", "lost")
+
+
 QUERIES = {
     "survey_unpivot": survey_unpivot,
     "survey_latest_ties": survey_latest_ties,
@@ -541,6 +591,10 @@ QUERIES = {
     "labels_repeated_answers": labels_repeated_answers,
     "model_table_roundtrip": model_table_roundtrip,
     "csv_mixed_ingest": csv_mixed_ingest,
+    "reload_subset": reload_subset,
+    "append_changed_files": append_changed_files,
+    "file_ledger": file_ledger,
+    "cast_ledger": cast_ledger,
     "results_written": results_written,
     "planted_auc": planted_auc,
     "cv_random_forest": _cross_validation(models.FOREST),

@@ -59,9 +59,14 @@ def _slice(number: Column) -> Column:
     return cohort.text(F.floor(number / ROWS_PER_FILE))
 
 
-def export_phone(spark: SparkSession, sf_dir: str, root: str, log: str) -> None:
-    """`Participant_n/Aware/<log>_<slice>.csv`; headers differ between folders."""
-    rows = cohort.phone_log(spark, sf_dir, log)
+def export_phone(
+    spark: SparkSession, sf_dir: str, root: str, log: str, only: str = "true"
+) -> None:
+    """`Participant_n/Aware/<log>_<slice>.csv`; headers differ between folders.
+
+    `only` is a condition on the rows that are exported, in SQL.
+    """
+    rows = cohort.phone_log(spark, sf_dir, log).where(only)
     user = F.col("participant").cast("bigint")
     measures = [c for c in rows.columns if c not in ("event_id", "timestamp", "participant")]
     plain = ",".join(["timestamp", "participant", *measures])
@@ -88,14 +93,30 @@ def export_phone(spark: SparkSession, sf_dir: str, root: str, log: str) -> None:
 
 
 def export_watch(
-    spark: SparkSession, sf_dir: str, root: str, with_bad: bool = False, odd: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    with_bad: bool = False,
+    odd: bool = False,
+    unfit: bool = False,
+    only: str = "true",
 ) -> None:
     """`Participant_n/Watch/<name>` with spaces, plus signs and upper-case suffixes.
 
     With `with_bad`, every fiftieth event carries a cell too many. With `odd`, headers of
     some folders are in other letter case, and folder 3 has a file whose header is no text.
+    With `unfit`, some measures are text or blank. `only` is a condition on the rows, in SQL.
     """
-    rows = cohort.watch(spark, sf_dir)
+    rows = cohort.watch(spark, sf_dir).where(only)
+    if unfit:
+        event = F.col("event_id")
+        rows = rows.withColumns(
+            {
+                "hrm": F.when(event % 7 == 0, F.lit("n/a")).otherwise(cohort.text("hrm")),
+                "accx": F.when(event % 5 == 0, F.lit(" ")).otherwise(cohort.text("accx")),
+                "accy": F.when(event % 11 == 0, F.lit("off")).otherwise(cohort.text("accy")),
+            }
+        )
     user = F.col("participant").cast("bigint")
     name = (
         F.when(user % 3 == 0, F.lit("heart rate + motion "))

@@ -572,6 +572,29 @@ ORACLES |= {
         """SELECT participant_id, participant, v AS hrm FROM watch_export
         UNION ALL SELECT 'Participant_3', 'unreadable', NULL""",
     ),
+    "reload_subset": _select(
+        WATCH_EXPORT,
+        """SELECT participant_id, participant, "timestamp", v AS hrm FROM watch_export
+        WHERE participant_id NOT IN ('Participant_5', 'Participant_6') OR event_id % 2 = 0""",
+    ),
+    "append_changed_files": f"""
+      SELECT participant_id, participant, "timestamp", battery_charge_start, battery_charge_end
+      FROM ({PHONE_EXPORTS["battery"]})""",
+    "file_ledger": _select(
+        WATCH_EXPORT,
+        """SELECT participant_id || '/Watch/' || file_name AS file,
+          count(*) FILTER (event_id % 50 <> 0) AS "rows",
+          count(*) FILTER (event_id % 50 = 0) AS bad_rows
+        FROM watch_export GROUP BY participant_id, file_name""",
+    ),
+    "cast_ledger": _select(
+        WATCH_EXPORT,
+        """SELECT participant_id || '/Watch/' || file_name AS file, "column", count(*) AS lost
+        FROM (SELECT *, 'hrm' AS "column" FROM watch_export WHERE event_id % 7 = 0
+          UNION ALL SELECT *, 'accy' FROM watch_export WHERE event_id % 11 = 0)
+        GROUP BY participant_id, file_name, "column"
+        """,
+    ),
     "results_written": _select(
         MODEL,
         """SELECT 'labels' AS table_name, count(*) AS "rows" FROM labels_

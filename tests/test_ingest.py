@@ -164,7 +164,10 @@ def test_whole_job_and_tables(spark, tree, tmp_path):
     assert sorted(os.listdir(f"{target}/quarantine")) == sorted(written)
     assert spark.read.parquet(f"{target}/quarantine/oura").isEmpty()
     assert tables.read_table(spark, target, "aware_battery").count() == 4  # with the .CSV file
+    # an append loads what is new, unless it is told to load everything again
     ingest.ingest(spark, tree, target, "aware:battery", write_mode="append")
+    assert tables.read_table(spark, target, "aware_battery").count() == 4
+    ingest.ingest(spark, tree, target, "aware:battery", write_mode="append", only_new=False)
     assert tables.read_table(spark, target, "aware_battery").count() == 8
     tables.register_tables(spark, target, written)
     answers = tables.query(spark, "SELECT count(*) AS n FROM surveys_long WHERE file_stem LIKE '%UCLA%'")
