@@ -38,6 +38,16 @@ def outer_chain(
     return reduce(lambda left, right: outer_join(left, right, key, null_key), frames)
 
 
+def spine_join(spine: DataFrame, parts: Sequence[DataFrame], key: str = KEY) -> DataFrame:
+    """Left joins of per-participant frames to a frame of all participants.
+
+    Same rows as `outer_chain` if `spine` holds each participant of the parts once. A left
+    join keeps the partitioning of its left side, which a full outer join does not: where
+    spine and parts stand in as many buckets of the key, nothing is exchanged.
+    """
+    return reduce(lambda left, part: left.join(part, key, "left"), parts, spine)
+
+
 def merge_features(parts: Sequence[DataFrame], key: str = KEY) -> DataFrame:
     """Same rows as `outer_chain`, by one grouped aggregate over the union of the parts.
 

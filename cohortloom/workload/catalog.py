@@ -20,7 +20,7 @@ from cohortloom.operators import (
     reshape,
     scoring,
 )
-from cohortloom.plans import evaluate, ingest, labels, model_table, results
+from cohortloom.plans import evaluate, ingest, labels, model_table, results, states
 from cohortloom.sources import csv_files, listing, storage, tables
 from cohortloom.workload import cohort, exports
 
@@ -540,6 +540,31 @@ def cast_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select(_below_root(csv_files.SOURCE_FILE), "column", "lost")
 
 
+def features_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features carried on from load to load: new files, changed files, nothing new."""
+    root, target = exports.fresh_root(spark, "states"), storage.scratch_path(spark, "target")
+    for only in ("event_id % 3 = 0 AND participant % 40 < 25", "event_id % 3 < 2", "true", None):
+        if only:
+            exports.export_phone(spark, sf_dir, root, "battery", only)
+        ingest.ingest(spark, root, target, "aware:battery", write_mode="append")
+        states.update_states(spark, target, "battery")
+    return states.features(spark, target, "battery")
+
+
+def _bucketed(rows: DataFrame, name: str, buckets: int) -> DataFrame:
+    path = storage.scratch_path(rows.sparkSession, f"bucketed-{name}")
+    return tables.save_bucketed(rows, path.rsplit("/", 1)[-1].replace("-", "_"), path, buckets=buckets)
+
+
+def features_bucketed(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
+    """All modalities from tables that are bucketed by participant: no exchange."""
+    held = {m: _bucketed(rows, m, buckets) for m, rows in cohort.logs(spark, sf_dir).items()}
+    people = [rows.select(features.KEY).where(F.col(features.KEY).isNotNull()) for rows in held.values()]
+    spine = _bucketed(csv_files.union_by_name(people).distinct(), "people", buckets)
+    parts = [features.modality_features(rows, m) for m, rows in held.items()]
+    return assemble.spine_join(spine, parts)
+
+
 QUERIES = {
     "survey_unpivot": survey_unpivot,
     "survey_latest_ties": survey_latest_ties,
@@ -595,6 +620,8 @@ QUERIES = {
     "append_changed_files": append_changed_files,
     "file_ledger": file_ledger,
     "cast_ledger": cast_ledger,
+    "features_from_states": features_from_states,
+    "features_bucketed": features_bucketed,
     "results_written": results_written,
     "planted_auc": planted_auc,
     "cv_random_forest": _cross_validation(models.FOREST),

@@ -605,3 +605,5 @@ ORACLES |= {
         + str(len(schemas.FEATURES)),
     ),
 }
+ORACLES["features_from_states"] = ORACLES["battery_features"]
+ORACLES["features_bucketed"] = ORACLES["features_merged"]

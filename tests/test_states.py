@@ -1,0 +1,61 @@
+"""Feature states over several loads, and bucketed tables."""
+
+import random
+
+import pytest
+
+from cohortloom.operators import features
+from cohortloom.plans import ingest, states
+from cohortloom.sources import tables
+from cohortloom.workload import catalog
+
+
+def export(root, log, header, people, draw):
+    for p in people:
+        folder = root / f"Participant_{p}" / "Aware"
+        folder.mkdir(parents=True, exist_ok=True)
+        rows = [
+            ",".join([str(i), draw.choice([f"p{p}", f"p{p}", "shared", ""]),
+                      *[draw.choice([str(draw.randrange(400) / 4), "", "n/a"]) for _ in header[2:]]])
+            for i in range(draw.randint(0, 12))
+        ]
+        name = f"{log}_{draw.choice('ab')}.csv"
+        (folder / name).write_text("\n".join([",".join(header), *rows]) + "\n")
+
+
+@pytest.mark.parametrize("modality", ["battery", "calls", "notifications"])
+def test_states_equal_a_full_scan_after_every_load(spark, tmp_path, modality):
+    header = {
+        "battery": ["timestamp", "participant", "battery_charge_start", "battery_charge_end"],
+        "calls": ["timestamp", "participant", "dur", "type"],
+        "notifications": ["timestamp", "participant", "package_category"],
+    }[modality]
+    root, target, draw = tmp_path / "in", str(tmp_path / "out"), random.Random(3)
+    assert states.update_states(spark, target, modality) == 0
+    for load in range(4):
+        export(root, modality, header, draw.sample(range(6), 4), draw)
+        if load == 3:  # an overwrite of some participants is followed too
+            people = ["Participant_1", "Participant_2"]
+            ingest.ingest(spark, str(root), target, f"aware:{modality}", people)
+        else:
+            ingest.ingest(spark, str(root), target, f"aware:{modality}", write_mode="append")
+        states.update_states(spark, target, modality)
+        assert states.update_states(spark, target, modality) == 0
+        rows = tables.read_table(spark, target, f"aware_{modality}")
+        want = features.modality_features(rows, modality).collect()
+        got = states.features(spark, target, modality).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, want)))
+        assert len(got) > 1
+
+
+def test_bucketed_tables_need_no_exchange(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = catalog.features_bucketed(spark, sf_dir, buckets=4)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan, plan
+    want = catalog.features_merged(spark, sf_dir).select(*got.columns).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, map(tuple, want)))
