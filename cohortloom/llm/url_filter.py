@@ -27,6 +27,12 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
+#: Suffixes of several labels under which names are registered; a parameter.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp",
+    "co.kr", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.za", "github.io",
+    "blogspot.com", "wordpress.com",
+)
 LEVELS = ("suffix", "domain", "host")
 LEAST_SPREAD, MOST_SPREAD = 1e-4, 0.9
 
@@ -61,13 +67,25 @@ def longest_rule(rules: tuple[tuple[str, str, str], ...], host: Column, path: Co
     return found
 
 
-def parents(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and suffix (the last) of a host name."""
+def parents(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host name.
+
+    The suffix is the longest of `suffixes`, a short list, that the name ends with, else its
+    last label; the domain has one label more. An address in numbers has no owner's name: it is
+    its own domain, without a suffix.
+    """
     name = F.regexp_replace(host, r":[0-9]*$", "")
-    labels = F.split(name, r"\.")
-    return F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), "."), (
-        F.element_at(labels, -1)
+    numbers = name.rlike(r"^[0-9]+(\.[0-9]+){3}$") | name.startswith("[")
+    suffix = F.element_at(F.split(name, r"\."), -1)
+    for known in sorted(suffixes, key=len):
+        fits = (name == known) | name.endswith("." + known)
+        suffix = F.when(fits, F.lit(known)).otherwise(suffix)
+    before = F.substring(name, F.lit(1), F.length(name) - F.length(suffix) - 1)
+    owner = F.element_at(F.split(before, r"\."), -1)
+    domain = F.when(F.length(name) == F.length(suffix), suffix).otherwise(
+        F.concat(owner, F.lit("."), suffix)
     )
+    return F.when(numbers, name).otherwise(domain), F.when(numbers, F.lit("")).otherwise(suffix)
 
 
 def _spread(children: DataFrame, parent: str) -> float:
@@ -164,9 +182,13 @@ def url_verdicts(
     limits: Limits = Limits(),
     id_col: str = "page_id",
     url_col: str = "url",
+    details: bool = False,
 ) -> DataFrame:
     """One row for each row of `pages`: page_id, host, path, rule, verdict.
 
+    With `details` also what is known of the host: n labelled pages, bad ones among them, mean
+    and low, the posterior of its bad rate and its bound, to six digits.
+
     `outcomes` (page_id, bad) are labelled pages; a page counts once and is bad if any of its
     labels is. A null or malformed address has empty host and path, no rule, and the verdict
     of the host without a name; a host without labels is judged by its parents, and with no
@@ -190,16 +212,21 @@ def url_verdicts(
         .groupBy("host")
         .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
-    judged = host_reputation(counted, limits).select("host", F.col("verdict").alias("reputation"))
-    # only blocked hosts are looked up: few rows, and no join for the hosts that stay
-    blocked = judged.where("reputation = 'block'")
-    return rows.join(blocked, "host", "left").select(
+    judged = host_reputation(counted, limits).withColumnRenamed("verdict", "reputation")
+    columns = [
         "page_id",
         "host",
         "path",
         F.col("found.rule").alias("rule"),
         F.coalesce("found.verdict", "reputation", F.lit("allow")).alias("verdict"),
-    )
+    ]
+    if details:
+        # one row for each host against its pages; Spark splits those of a very common host
+        known = [F.round(c, 6).alias(c) for c in ("mean", "low")]
+        return rows.join(judged, "host", "left").select(*columns, "n", "bad", *known)
+    # only blocked hosts are looked up: few rows, and no join for the hosts that stay
+    blocked = judged.where("reputation = 'block'").select("host", "reputation")
+    return rows.join(blocked, "host", "left").select(*columns)
 
 
 def op3_url_filter(spark, sf_dir):
@@ -208,7 +235,7 @@ def op3_url_filter(spark, sf_dir):
         F.col("doc_id").alias("page_id"),
         ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad"),
     )
-    return url_verdicts(table(spark, sf_dir, "pages"), labels)
+    return url_verdicts(table(spark, sf_dir, "pages"), labels, details=True)
 
 
 SQL = """
@@ -251,7 +278,7 @@ strength AS (
 s AS (SELECT max(s) FILTER (level = 'suffix') AS a, max(s) FILTER (level = 'domain') AS b,
              max(s) FILTER (level = 'host') AS c FROM strength),
 judged AS (
-  SELECT host, (h.bad + c * dr) / (h.n + c) AS mean, h.n + c AS strength
+  SELECT host, h.n AS n, h.bad AS bad, (h.bad + c * dr) / (h.n + c) AS mean, h.n + c AS strength
   FROM hosts h JOIN (
     SELECT domain, b, c, (d.bad + b * sr) / (d.n + b) AS dr
     FROM domains d JOIN (
@@ -261,6 +288,8 @@ SELECT page_id, ruled.host, path, rule,
        CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
             WHEN rule IS NOT NULL THEN 'block'
             WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (strength + 1)) > 0.5 THEN 'block'
-            ELSE 'allow' END AS verdict
+            ELSE 'allow' END AS verdict,
+       n, bad::BIGINT AS bad, round(mean, 6) AS mean,
+       round(mean - 1.645 * sqrt(mean * (1 - mean) / (strength + 1)), 6) AS low
 FROM ruled JOIN judged ON ruled.host = judged.host
 """

@@ -51,6 +51,56 @@ def test_url_rules(spark):
     assert url_filter.url_verdicts(pages.limit(0), none).count() == 0
 
 
+def test_registered_domains(spark):
+    want = {
+        "a.b.example.com": ("example.com", "com"),
+        "example.com": ("example.com", "com"),
+        "com": ("com", "com"),
+        "x.a.co.uk": ("a.co.uk", "co.uk"),
+        "b.co.uk:8080": ("b.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "me.github.io": ("me.github.io", "github.io"),
+        "10.1.2.3": ("10.1.2.3", ""),
+        "10.1.2.4:80": ("10.1.2.4", ""),
+        "": ("", ""),
+    }
+    rows = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = url_filter.parents(rows["host"])
+    got = rows.select("host", domain.alias("d"), suffix.alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == want
+
+
+def test_pages_are_blocked_through_domain_and_suffix(spark):
+    """Hosts without a label of their own, in a bad domain, under a bad suffix, and elsewhere."""
+    urls, labels = [], []
+
+    def pages(host, n, bad):
+        for k in range(n):
+            urls.append((len(urls), f"http://{host}/{k}", "c", 0))
+            if bad is not None:
+                labels.append((len(urls) - 1, int(k < bad)))
+
+    for d in range(12):
+        for h in range(4):
+            pages(f"h{h}.good{d}.com", 30, 1)
+            pages(f"h{h}.bad{d}.biz", 30, 29)
+    for h in range(4):
+        pages(f"h{h}.spam.com", 60, 60)
+    for host in ("new.spam.com", "new.unseen.biz", "new.good1.com", "new.unseen.com"):
+        pages(host, 2, None)
+    got = url_filter.url_verdicts(
+        spark.createDataFrame(urls, PAGES),
+        spark.createDataFrame(labels, "page_id long, bad int"),
+        rules=(),
+        details=True,
+    ).collect()
+    verdicts = {r.host: (r.verdict, r.n) for r in got}
+    assert verdicts["new.spam.com"] == ("block", 0) and verdicts["h1.bad3.biz"] == ("block", 30)
+    assert verdicts["new.good1.com"] == ("allow", 0) and verdicts["h1.good3.com"] == ("allow", 30)
+    assert verdicts["new.unseen.biz"][0] == "block" and verdicts["new.unseen.com"][0] == "allow"
+    assert len(got) == len(urls) and all(0 < r.low < r.mean < 1 for r in got)
+
+
 def plain_reputation(hosts, limits=url_filter.Limits()):
     """hosts: name -> (n, bad)."""
 
