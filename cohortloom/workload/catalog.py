@@ -403,18 +403,22 @@ def _importance(spec: models.ModelSpec):
     return run
 
 
-def planted_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _planted(spec: models.ModelSpec):
     """A label made of two ring averages, learned from the features: is it found again?"""
-    table = _written_model_table(spark, sf_dir)
-    steps, sleep = list(schemas.RING_AVERAGES.values())[:2]
-    whole = table.where(f"{steps} IS NOT NULL AND {sleep} IS NOT NULL")
-    middle = whole.agg(F.median(F.col(steps) + F.col(sleep))).first()[0]
-    planted = whole.withColumn(
-        schemas.LABEL_BINARY, (F.col(steps) + F.col(sleep) > middle).cast("int")
-    )
-    predictions = evaluate.held_out_predictions(planted, [models.KERNEL_MACHINE], schemas.FEATURES)
-    area = metrics.fold_auc(storage.materialize(predictions, "predictions"))
-    return area.select("model", "fold", (F.col("roc_auc") > 0.9).alias("found"))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = _written_model_table(spark, sf_dir)
+        steps, sleep = list(schemas.RING_AVERAGES.values())[:2]
+        whole = table.where(f"{steps} IS NOT NULL AND {sleep} IS NOT NULL")
+        middle = medians.exact_medians(whole, {"both": f"{steps} + {sleep}"})["both"]
+        planted = whole.withColumn(
+            schemas.LABEL_BINARY, (F.col(steps) + F.col(sleep) > middle).cast("int")
+        )
+        predictions = evaluate.held_out_predictions(planted, [spec], schemas.FEATURES)
+        area = metrics.fold_auc(storage.materialize(predictions, "predictions"))
+        return area.select("model", "fold", (F.col("roc_auc") > 0.9).alias("found"))
+
+    return run
 
 
 def median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -453,11 +457,7 @@ def results_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every table that the evaluation writes."""
     root = storage.scratch_path(spark, "results")
     written = results.write_results(
-        cohort.logs(spark, sf_dir),
-        participant_labels(spark, sf_dir),
-        root,
-        specs=[models.KERNEL_MACHINE],
-        trees=[models.FOREST],
+        cohort.logs(spark, sf_dir), participant_labels(spark, sf_dir), root
     )
     counts = []
     for name in written:
@@ -623,7 +623,10 @@ QUERIES = {
     "features_from_states": features_from_states,
     "features_bucketed": features_bucketed,
     "results_written": results_written,
-    "planted_auc": planted_auc,
+    "planted_auc": _planted(models.KERNEL_MACHINE),
+    "planted_forest": _planted(models.FOREST),
+    "planted_boosted": _planted(models.BOOSTED),
+    "planted_network": _planted(models.NETWORK),
     "cv_random_forest": _cross_validation(models.FOREST),
     "cv_gbt": _cross_validation(models.BOOSTED),
     "cv_rbf_svm": _cross_validation(models.KERNEL_MACHINE),

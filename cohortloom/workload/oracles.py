@@ -543,7 +543,15 @@ ORACLES |= {
 ORACLES |= {
     "rf_importance": IMPORTANCES,
     "gbt_importance": IMPORTANCES,
-    "planted_auc": "SELECT 'SVM' AS model, CAST(range AS INTEGER) AS fold, TRUE AS found FROM range(5)",
+    **{
+        query: f"SELECT '{model}' AS model, CAST(range AS INTEGER) AS fold, TRUE AS found FROM range(5)"
+        for query, model in (
+            ("planted_auc", "SVM"),
+            ("planted_forest", "Random Forest"),
+            ("planted_boosted", "XGBoost"),
+            ("planted_network", "Neural Network"),
+        )
+    },
     "median_large": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", median(CAST({c} AS DOUBLE)) AS median FROM lineitem"
         for c in LINE_COLUMNS
@@ -600,9 +608,11 @@ ORACLES |= {
         """SELECT 'labels' AS table_name, count(*) AS "rows" FROM labels_
         UNION ALL SELECT 'model_table', count(*) FROM model
         UNION ALL SELECT 'model_table_filled', count(*) FROM model
-        UNION ALL SELECT 'cv_results', 1 UNION ALL SELECT 'cv_results_rounded', 1
-        UNION ALL SELECT 'importance_random_forest', """
-        + str(len(schemas.FEATURES)),
+        UNION ALL SELECT 'cv_results', 4 UNION ALL SELECT 'cv_results_rounded', 4"""
+        + "".join(
+            f" UNION ALL SELECT 'importance_{tree}', {len(schemas.FEATURES)}"
+            for tree in ("random_forest", "xgboost")
+        ),
     ),
 }
 ORACLES["features_from_states"] = ORACLES["battery_features"]

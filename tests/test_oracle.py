@@ -17,6 +17,9 @@ LONG_FITS = {
     "gbt_importance",
     "results_written",
     "planted_auc",
+    "planted_forest",
+    "planted_boosted",
+    "planted_network",
 }
 
 
