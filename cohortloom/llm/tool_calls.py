@@ -147,7 +147,7 @@ def link_tool_calls(
     counts, and `copies` says how many there were. Rows with a null conversation or identifier
     can't be linked and are left out. Columns: conv_id, call_id, level, position, status
     (linked, no_result, no_call, early_result), faults, copies, line (canonical JSON of the
-    call and its result). Null arguments are faulty; null content is written as null; empty
+    call and its result). Null arguments are faulty; null content is left out of the line; empty
     tables give no rows; other columns are not read.
     """
     one = _first_by_key(calls, ["position", "name", "arguments", "after"])
