@@ -12,12 +12,16 @@ Counting goes by size. An n-gram can only reach the threshold if all n-grams ins
 pairs are made of frequent words, and longer ones where all their pairs are frequent. What is
 frequent is told to the tasks by a bitmap of fixed size over hashes: it may let a rare n-gram
 through, which the exact count then drops, and misses none.
+
+The most frequent words, a fixed number of them, have codes of three bytes, in which chunks and
+n-grams are shuffled; others are spelled. That makes rows short and decides nothing else.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +32,22 @@ from pyspark.sql import functions as F
 from cohortloom.llm.common import GOLDEN, map_arrow, mix64, raw, slices, table, whole_text
 from cohortloom.sources.storage import materialize
 
-SLICE = 8 << 20  # bytes of text that are counted at once
+SLICE = 8 << 20  # bytes of text, or of chunks in codes, that are counted at once
 TRIGGER = 32  # one window in so many ends a chunk
 SIEVE_BITS = 1 << 25  # of the bitmap of frequent n-grams, 4 MB
+CODED = 1 << 17  # words with codes, in all languages together
+SPELLED = 1 << 23  # numbers from here on stand for words without a code
+CODE = 24  # bits of a code or of such a number
 UNKNOWN = "und"
 MARK = b"."  # a sign of punctuation, so never part of a word
 # Letters in either case, the white space inside pieces and the ends of pieces.
 _FROM = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + b"\t" + b",;:!?\n\x0b\x0c\r"
 _TO = b"abcdefghijklmnopqrstuvwxyz" + b" " + b"." * 9
 FOLDED = bytes.maketrans(_FROM, _TO)
-GRAMS = "lang string, phrase string, size int, n long"
+WORDS = "lang string, phrase string, n long"
+CHUNKS = "lang string, codes binary, spelled string, n long"
+GRAMS = "gram binary, lang string, phrase string, n long"  # codes, or else language and words
+NAMED = "lang string, phrase string, size int, n long"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -78,27 +88,24 @@ def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return ranked[starts], np.add.reduceat(weights[order], starts) if len(starts) else weights[:0]
 
 
-def gram_rows(lang: str, phrases: list[bytes], size: int, n: np.ndarray) -> pa.RecordBatch:
-    rows = len(phrases)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang], pa.string()).take(pa.array(np.zeros(rows, np.int64))),
-            pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(np.full(rows, size), pa.int32()),
-            pa.array(n, pa.int64()),
-        ],
-        names=[part.split()[0] for part in GRAMS.split(", ")],
-    )
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in schema.split(", ")])
+
+
+def _same(value: str | None, n: int) -> pa.Array:
+    return pa.nulls(n, pa.string()) if value is None else pa.repeat(pa.scalar(value), n)
+
+
+def _strings(content: list[bytes]) -> pa.Array:
+    return pa.array(content, pa.binary()).cast(pa.string())
 
 
 class Sieve:
-    """A bitmap over the hashes of (language, phrase)."""
+    """A bitmap over hashes of phrases."""
 
-    def __init__(self, grams: DataFrame, bits: int = SIEVE_BITS):
-        at = F.pmod(F.xxhash64("lang", "phrase"), F.lit(bits))
+    def __init__(self, places: DataFrame, bits: int):
         cells = (
-            grams.select(at.alias("at"))
-            .groupBy(F.expr("at div 32").alias("cell"))
+            places.groupBy(F.expr("at div 32").alias("cell"))
             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("held"))
             .toArrow()  # a row for each cell that holds anything: a fixed number at most
         )
@@ -106,31 +113,84 @@ class Sieve:
         self.cells = np.zeros(bits // 32, np.uint32)
         self.cells[cells.column("cell").to_numpy()] = cells.column("held").to_numpy()
 
-    def holds(self, lang: str, phrases: list[bytes]) -> np.ndarray:
-        """False only for phrases that were not put in."""
-        seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(p, seed) for p in phrases), np.uint64, len(phrases))
-        at = np.mod(hashes.view(np.int64), self.bits)
-        return (self.cells[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return (self.cells[places >> 5] >> (places & 31).astype(np.uint32) & 1).astype(bool)
+
+
+def places_of(lang: str, phrases: list[bytes], bits: int) -> np.ndarray:
+    """Places of spelled phrases in a bitmap."""
+    seed, digest = xxhash.xxh64_intdigest(lang.encode(), 42), xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(p, seed) for p in phrases), np.uint64, len(phrases))
+    return (hashes % np.uint64(bits)).astype(np.int64)
+
+
+def places_of_keys(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places of pairs of codes in a bitmap."""
+    return (mix64(keys.astype(np.uint64) * GOLDEN) % np.uint64(bits)).astype(np.int64)
+
+
+def word_sieve(words: DataFrame, bits: int) -> Sieve:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, _, content in by_language(batch, "phrase"):
+                yield _batch("at long", [pa.array(places_of(lang, content, bits))])
+
+    return Sieve(map_arrow(words.select("lang", "phrase"), run, "at long"), bits)
+
+
+def pair_sieve(pairs: DataFrame, bits: int) -> Sieve:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded = batch.filter(batch.column("gram").is_valid())
+            ids = from_bytes(coded.column("gram").to_pylist()).reshape(-1, 2)
+            yield _batch("at long", [pa.array(places_of_keys(ids[:, 0] << CODE | ids[:, 1], bits))])
+            for lang, _, content in by_language(batch.filter(batch.column("phrase").is_valid()), "phrase"):
+                yield _batch("at long", [pa.array(places_of(lang, content, bits))])
+
+    return Sieve(map_arrow(pairs.select("gram", "lang", "phrase"), run, "at long"), bits)
+
+
+def to_bytes(ids: np.ndarray) -> bytes:
+    """Three bytes for each code or number."""
+    return np.ascontiguousarray(ids.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]).tobytes()
+
+
+def from_bytes(content: list[bytes]) -> np.ndarray:
+    part = np.frombuffer(b"".join(content), np.uint8).reshape(-1, 3).astype(np.int64)
+    return part[:, 0] << 16 | part[:, 1] << 8 | part[:, 2]
+
+
+@dataclass
+class Codes:
+    """The most frequent words; a word's code is its place, which is its language's alone."""
+
+    langs: list[str]  # by code
+    words: list[bytes]
+
+    @classmethod
+    def of(cls, words: DataFrame, most: int) -> Codes:
+        top = words.orderBy(F.desc("n"), "lang", "phrase").limit(most).select("lang", "phrase").collect()
+        return cls(["", *[r["lang"] for r in top]], [MARK, *[r["phrase"].encode() for r in top]])
+
+    def by_language(self) -> dict[str, dict[bytes, int]]:
+        found: dict[str, dict[bytes, int]] = defaultdict(dict)
+        for code in range(1, len(self.words)):
+            found[self.langs[code]][self.words[code]] = code
+        return found
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, size, n): how often each word occurs."""
+    """(lang, phrase, n): how often each word occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             for lang, _, content in by_language(batch, "text"):
                 numbers = Numbers()
                 found = [numbered(words_of(text), numbers) for text in content]
-                n = np.bincount(np.concatenate(found), minlength=len(numbers))
-                yield gram_rows(lang, list(numbers)[1:], 1, n[1:])
+                n = np.bincount(np.concatenate(found), minlength=len(numbers))[1:]
+                yield _batch(WORDS, [_same(lang, len(n)), _strings(list(numbers)[1:]), pa.array(n)])
 
-    return _added_up(map_arrow(docs, run, GRAMS))
-
-
-def _added_up(grams: DataFrame) -> DataFrame:
-    return grams.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    return map_arrow(docs, run, WORDS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def triggers(stream: np.ndarray, hashes: np.ndarray, width: int, every: int) -> np.ndarray:
@@ -163,17 +223,26 @@ def without_rare(ids: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return kept[run | np.append(False, run[:-1])]  # with one mark behind each run
 
 
-def chunks(docs: DataFrame, frequent: Sieve, width: int, every: int) -> DataFrame:
-    """(lang, chunk, n): the dictionary of the parse, words parted by single spaces."""
+def chunks(docs: DataFrame, codes: Codes, frequent: Sieve, width: int, every: int) -> DataFrame:
+    """(lang, codes, spelled, n): the dictionary of the parse.
+
+    A word without a code is a number from SPELLED on, its place among the words of the chunk
+    that are spelled, which are joined by spaces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code_of = codes.by_language()
         for batch in slices(batches, "text", SLICE):
             for lang, _, content in by_language(batch, "text"):
                 numbers = Numbers()
                 found = [numbered(words_of(text), numbers) for text in content]
                 words = list(numbers)
-                known = frequent.holds(lang, words)
+                own = code_of.get(lang, {})
+                code = np.fromiter((own.get(w, 0) for w in words), np.int64, len(words))
+                known = frequent.at(places_of(lang, words, frequent.bits))
                 known[0] = False
+                bare = known & (code == 0)
+                some = bool(bare.any())
                 digest = xxhash.xxh64_intdigest
                 hashes = np.fromiter(map(digest, words), np.uint64, len(words))
                 lead, n = np.zeros(width, np.int64), defaultdict(int)
@@ -181,93 +250,172 @@ def chunks(docs: DataFrame, frequent: Sieve, width: int, every: int) -> DataFram
                     if not len(body := without_rare(ids, known)):
                         continue
                     stream = np.concatenate([lead, body])
-                    line = [words[i] for i in stream.tolist()]
+                    line = to_bytes(code[stream])
                     for start, end in parse(stream, hashes, width, every):
-                        n[b" ".join(line[start:end])] += 1
+                        if some and (at := np.flatnonzero(bare[stream[start:end]])).size:
+                            part = code[stream[start:end]]
+                            spelled = Numbers()  # its first number is that of the mark
+                            part[at] = [
+                                SPELLED - 1 + spelled[words[i]] for i in stream[start:end][at].tolist()
+                            ]
+                            n[to_bytes(part), b" ".join(list(spelled)[1:])] += 1
+                        else:
+                            n[line[3 * start : 3 * end], b""] += 1
                 if n:
-                    yield gram_rows(lang, list(n), 0, np.fromiter(n.values(), np.int64, len(n)))
+                    parts, rest = zip(*n, strict=True)
+                    counts = pa.array(np.fromiter(n.values(), np.int64, len(n)))
+                    yield _batch(
+                        CHUNKS,
+                        [_same(lang, len(n)), pa.array(parts, pa.binary()), _strings(rest), counts],
+                    )
 
-    found = map_arrow(docs, run, GRAMS)
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).withColumnRenamed("phrase", "chunk")
+    found = map_arrow(docs, run, CHUNKS)
+    return found.groupBy("lang", "codes", "spelled").agg(F.sum("n").alias("n"))
 
 
 class Chunks:
-    """Words and weights of some distinct chunks of a language."""
+    """Codes and weights of some distinct chunks of a language."""
 
-    def __init__(self, content: list[bytes], weights: np.ndarray, width: int):
+    def __init__(self, codes: list[bytes], spelled: list[bytes], weights: np.ndarray, width: int):
+        self.ids = from_bytes(codes)
+        sizes = np.array([len(c) // 3 for c in codes])
+        starts = np.cumsum(sizes) - sizes
         numbers = Numbers()
-        self.ids = numbered(b" ".join(content).split(b" "), numbers)
-        self.words = list(numbers)
-        sizes = np.array([c.count(b" ") + 1 for c in content])
+        for i, rest in enumerate(spelled):
+            if rest:  # its words get numbers that hold for all these chunks
+                own = self.ids[starts[i] : starts[i] + sizes[i]]
+                at = np.flatnonzero(own >= SPELLED)
+                shared = numbered(rest.split(b" "), numbers) - 1
+                own[at] = SPELLED + shared[own[at] - SPELLED]
+        self.spelled = list(numbers)[1:]
         self.weights = np.repeat(weights, sizes)
         # the leading window was counted in the chunk before
-        place = np.arange(len(self.ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        place = np.arange(len(self.ids)) - np.repeat(starts, sizes)
         self.counts = place >= width
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Places where a pair of words ends, and the key of each pair."""
         at = np.flatnonzero((self.ids[1:] > 0) & (self.ids[:-1] > 0)) + 1
-        return at, self.ids[at - 1] * len(self.words) + self.ids[at]
-
-    def pair_names(self, keys: np.ndarray) -> list[bytes]:
-        first, second = (x.tolist() for x in np.divmod(keys, len(self.words)))
-        return [b"%s %s" % (self.words[a], self.words[b]) for a, b in zip(first, second, strict=True)]
+        return at, self.ids[at - 1] << CODE | self.ids[at]
+
+    def spell(self, ids: np.ndarray, words: list[bytes]) -> list[bytes]:
+        """The words of n-grams (rows of ids), joined by spaces."""
+        return [
+            b" ".join([words[i] if i < SPELLED else self.spelled[i - SPELLED] for i in row])
+            for row in ids.tolist()
+        ]
+
+    def rows(
+        self, lang: str, ids: np.ndarray, n: np.ndarray, words: list[bytes]
+    ) -> Iterator[pa.RecordBatch]:
+        """Rows of GRAMS: those with codes for all words, then the others."""
+        bare = (ids >= SPELLED).any(axis=1)
+        coded, counts = ids[~bare], n[~bare]
+        if len(coded):
+            step = 3 * ids.shape[1]
+            offsets = np.arange(0, step * (len(coded) + 1), step, dtype=np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(to_bytes(coded.ravel()))]
+            grams = pa.Array.from_buffers(pa.binary(), len(coded), buffers)
+            none = _same(None, len(coded))
+            yield _batch(GRAMS, [grams, none, none, pa.array(counts)])
+        if bare.any():
+            rest = self.spell(ids[bare], words)
+            nothing = pa.nulls(len(rest), pa.binary())
+            yield _batch(GRAMS, [nothing, _same(lang, len(rest)), _strings(rest), pa.array(n[bare])])
 
 
 def _chunk_slices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[str, Chunks]]:
-    for batch in slices(batches, "chunk", SLICE):
+    for batch in slices(batches, "codes", SLICE):
         weights = np.asarray(batch.column("n"), dtype=np.int64)
-        for lang, rows, content in by_language(batch, "chunk"):
-            yield lang, Chunks(content, weights[rows], width)
+        spelled = raw(batch.column("spelled"))
+        for lang, rows, content in by_language(batch, "codes"):
+            yield lang, Chunks(content, [spelled[i] for i in rows.tolist()], weights[rows], width)
 
 
-def count_pairs(parsed: DataFrame, width: int) -> DataFrame:
-    """(lang, phrase, size, n) of the pairs of words in the dictionary."""
+def _added_up(grams: DataFrame) -> DataFrame:
+    return grams.groupBy("gram", "lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def count_pairs(parsed: DataFrame, codes: Codes, width: int) -> DataFrame:
+    """Rows of GRAMS for the pairs of words in the dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, held in _chunk_slices(batches, width):
             at, keys = held.pairs()
             own = held.counts[at]
             keys, n = summed(keys[own], held.weights[at[own]])
-            if len(keys):
-                yield gram_rows(lang, held.pair_names(keys), 2, n)
+            ids = np.stack([keys >> CODE, keys & ((1 << CODE) - 1)], axis=1)
+            yield from held.rows(lang, ids, n, codes.words)
 
     return _added_up(map_arrow(parsed, run, GRAMS))
 
 
-def count_longer(parsed: DataFrame, pairs: Sieve, width: int) -> DataFrame:
-    """(lang, phrase, size, n) of three to `width + 1` words, all pairs of which are frequent."""
+def count_longer(parsed: DataFrame, codes: Codes, pairs: Sieve, width: int) -> DataFrame:
+    """Rows of GRAMS for three to `width + 1` words, all pairs of which are frequent."""
+
+    def frequent(lang: str, held: Chunks, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        good = pairs.at(places_of_keys(keys, pairs.bits))
+        bare = np.flatnonzero((ids >= SPELLED).any(axis=1))
+        if len(bare):
+            names = held.spell(ids[bare], codes.words)
+            good[bare] = pairs.at(places_of(lang, names, pairs.bits))
+        return good
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, held in _chunk_slices(batches, width):
             at, keys = held.pairs()
             distinct, which = np.unique(keys, return_inverse=True)
-            names = held.pair_names(distinct)
-            good = pairs.holds(lang, names)[which] if len(names) else np.zeros(0, bool)
+            ids = np.stack([distinct >> CODE, distinct & ((1 << CODE) - 1)], axis=1)
+            good = frequent(lang, held, distinct, ids)[which]
             # number of the n-gram that ends at a place, none where it isn't frequent
             ending = np.full(len(held.ids), -1)
             ending[at[good]] = which[good]
             second = ending >= 0
-            for size in range(3, width + 2):
+            for _ in range(3, width + 2):
                 ends = np.flatnonzero(second[1:] & (ending[:-1] >= 0)) + 1
                 if not len(ends):
                     break
-                grams = ending[ends - 1] * len(held.words) + held.ids[ends]
+                grams = ending[ends - 1] << CODE | held.ids[ends]
                 distinct, which = np.unique(grams, return_inverse=True)
-                before, word = (x.tolist() for x in np.divmod(distinct, len(held.words)))
-                names = [b"%s %s" % (names[b], held.words[w]) for b, w in zip(before, word, strict=True)]
+                ids = np.hstack([ids[distinct >> CODE], (distinct & ((1 << CODE) - 1))[:, None]])
                 own = held.counts[ends]
                 counted, n = summed(which[own], held.weights[ends[own]])
-                if len(counted):
-                    yield gram_rows(lang, [names[i] for i in counted.tolist()], size, n)
+                yield from held.rows(lang, ids[counted], n, codes.words)
                 ending = np.full(len(held.ids), -1)
                 ending[ends] = which
 
     return _added_up(map_arrow(parsed, run, GRAMS))
 
 
+def named(grams: DataFrame, codes: Codes) -> DataFrame:
+    """(lang, phrase, size, n) of rows of GRAMS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, phrases, sizes = [], [], []
+            for gram, lang, phrase in zip(
+                *(batch.column(k).to_pylist() for k in ("gram", "lang", "phrase")), strict=True
+            ):
+                if gram is not None:
+                    own = from_bytes([gram]).tolist()
+                    lang = codes.langs[own[0]]
+                    phrase = b" ".join([codes.words[i] for i in own]).decode()
+                langs.append(lang)
+                phrases.append(phrase)
+                sizes.append(phrase.count(" ") + 1)
+            kinds = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32())]
+            yield _batch(NAMED, [*kinds, batch.column("n")])
+
+    return map_arrow(grams, run, NAMED)
+
+
 def frequent_grams(
-    docs: DataFrame, min_count: int, longest: int, every: int = TRIGGER, bits: int = SIEVE_BITS
+    docs: DataFrame,
+    min_count: int,
+    longest: int,
+    every: int = TRIGGER,
+    bits: int = SIEVE_BITS,
+    coded: int = CODED,
 ) -> tuple[DataFrame, DataFrame]:
     """Totals (lang, total) of words, and (lang, phrase, size, n) of what is said often enough.
 
@@ -277,16 +425,19 @@ def frequent_grams(
     often = F.col("n") >= min_count
     words = materialize(count_words(docs), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    found = [words.where(often)]
-    parsed = materialize(chunks(docs, Sieve(found[0], bits), width, every), "phrase-chunks")
-    found.append(materialize(count_pairs(parsed, width).where(often), "word-pairs"))
+    common = words.where(often)
+    codes = Codes.of(common, min(coded, SPELLED - 1))
+    parsed = materialize(
+        chunks(docs, codes, word_sieve(common, bits), width, every), "phrase-chunks"
+    )
+    found = [materialize(count_pairs(parsed, codes, width).where(often), "word-pairs")]
     if longest > 2:
-        longer = count_longer(parsed, Sieve(found[1], bits), width).where(often)
+        longer = count_longer(parsed, codes, pair_sieve(found[0], bits), width).where(often)
         found.append(materialize(longer, "longer-phrases"))
-    grams = found[0]
-    for more in found[1:]:
-        grams = grams.unionByName(more)
-    return totals, grams
+    grams = common.select("lang", "phrase", F.lit(1).alias("size"), "n")
+    for more in found:
+        grams = grams.unionByName(named(more, codes))
+    return totals, materialize(grams, "phrases")
 
 
 def collocations(
