@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -28,11 +29,12 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.common import map_arrow, slices, table, texts
 from cohortloom.llm.token_counts import byte_alphabet
-from cohortloom.llm.token_files import Encoder, _Recent
+from cohortloom.llm.token_files import Encoder
 from cohortloom.session import ship_package
 from cohortloom.sources.storage import materialize
 
-BLOCK = 6 << 20  # bytes of text in a block; a document is never cut
+BLOCK = 2 << 20  # bytes of text in a block; a document is never cut
+REMEMBERED = 150_000  # parts of texts in each half of what a worker remembers
 LONGEST = 64  # characters of a part that is remembered
 MARK = "▁"  # a space, in the pieces of the second tokenizer
 SUMS = "n_a long, n_b long, n_groups long, n_links long"
@@ -43,13 +45,57 @@ HELD = (
 RESULT = f"doc_id long, {SUMS}, n_best long, count_sum long, groups_sha256 string"
 
 
-class ByteTokens(Encoder):
+class Remembered(dict):
+    """Part of a text -> its ids as bytes, filled as parts are met.
+
+    When it is full it becomes the older half of what is remembered. Long parts aren't kept.
+    """
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.encode(part)
+        if len(part) <= LONGEST:
+            self.room(1)
+            self[part] = ids
+        return ids
+
+    def room(self, n: int) -> None:
+        if len(self) + n > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+
+class Speller:
+    """Whether ids spell a text. Parts are checked when they are encoded, so texts need not be,
+
+    unless any part was met that its ids don't spell.
+    """
+
+    bytes: list[bytes]
+    doubt = False
+
+    def spells(self, ids: np.ndarray, raw: bytes) -> bool:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == raw
+
+    def checked(self, ids: bytes, raw: bytes) -> bytes:
+        if not self.spells(np.frombuffer(ids, "<u4"), raw):
+            self.doubt = True
+        return ids
+
+
+class ByteTokens(Encoder, Speller):
     """Ids of the byte-level tokenizer; strings of special tokens are plain text."""
 
     def __init__(self, path: str):
         super().__init__(path)
         self.tokenizer.encode_special_tokens = True
         self.added = []
+        self.part_ids = Remembered(self._part)
         alphabet = byte_alphabet()
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
@@ -58,15 +104,19 @@ class ByteTokens(Encoder):
             for name in names
         ]
 
+    def _part(self, part: str) -> bytes:
+        return self.checked(super()._part(part), part.encode())
 
-class _Words(_Recent):
-    """Remembers short parts only: texts without spaces are parts of any length."""
+    def whole(self, text: str) -> bytes:
+        return self.checked(super().whole(text), text.encode())
 
-    def __missing__(self, part: str) -> bytes:
-        return self.encode(part) if len(part) > LONGEST else super().__missing__(part)
+    def tokens(self, text: str) -> np.ndarray | None:
+        """Ids of a space and the text; None if they spell anything else."""
+        ids = np.frombuffer(self.encode(" " + text), "<u4")
+        return None if self.doubt and not self.spells(ids, (" " + text).encode()) else ids
 
 
-class PieceTokens:
+class PieceTokens(Speller):
     """Ids of the SentencePiece model, words met before taken from memory.
 
     Where no piece goes on past a space and the model keeps all spaces, a text is encoded in
@@ -91,19 +141,34 @@ class PieceTokens:
         keeps = shown == "  x  y ".replace(" ", MARK)
         self.in_parts = keeps and not any(MARK in name.lstrip(MARK) for name in names)
         # the model gives nothing for an empty text
-        self.space = np.array([self.model.piece_to_id(MARK)], "<u4").tobytes()
-        self.part_ids = _Words(self._part)
+        self.space = array("I", [self.model.piece_to_id(MARK)]).tobytes()
+        self.part_ids = Remembered(self._part)
 
     def _part(self, part: str) -> bytes:
-        if part == " ":
-            return self.space
-        return np.array(self.model.encode(part[1:]), "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a space and the text, which the model adds itself."""
-        if not self.in_parts or MARK in text:
-            return np.array(self.model.encode(text), "<u4").tobytes()
-        return b"".join(map(self.part_ids.__getitem__, self.part.findall(" " + text)))
+        ids = self.space if part == " " else array("I", self.model.encode(part[1:])).tobytes()
+        return self.checked(ids, part.encode())
+
+    def learn(self, parts: set[str]) -> None:
+        """Encode the parts that aren't remembered in one call."""
+        known, older = self.part_ids, self.part_ids.older
+        new = [p for p in parts if p not in known and p not in older and 1 < len(p) <= LONGEST]
+        known.room(len(new))
+        for part, ids in zip(new, self.model.encode([p[1:] for p in new]), strict=True):
+            known[part] = self.checked(array("I", ids).tobytes(), part.encode())
+
+    def tokens(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text, which the model puts a space before; None if they spell another."""
+        cut = [self.part.findall(" " + t) if self.in_parts and MARK not in t else None for t in texts]
+        self.learn(set().union(*[parts for parts in cut if parts]))
+        out: list[np.ndarray | None] = []
+        for text, parts in zip(texts, cut, strict=True):
+            if parts is None:
+                ids = np.array(self.model.encode(text), "<u4")
+            else:
+                ids = np.frombuffer(b"".join(map(self.part_ids.__getitem__, parts)), "<u4")
+            sure = parts is not None and not self.doubt
+            out.append(ids if sure or self.spells(ids, (" " + text).encode()) else None)
+        return out
 
 
 _pairs: dict[tuple[str, str], tuple[ByteTokens, PieceTokens]] = {}
@@ -123,10 +188,12 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
     places, at, last = [], 0, len(long) - 1
     for end in short:
         if long[at] < end:
-            low, step = at, 1
-            while at + step < last and long[at + step] < end:
-                low, step = at + step, step << 1
-            at = bisect_left(long, end, low + 1, min(at + step, last))
+            at += 1  # the last step of one, most often all there are
+            if long[at] < end:
+                step = 1
+                while at + step < last and long[at + step] < end:
+                    at, step = at + step, step << 1
+                at = bisect_left(long, end, at + 1, min(at + step, last))
         places.append(at)
     return places
 
@@ -197,16 +264,9 @@ def align_texts(content: list[str], a: ByteTokens, b: PieceTokens) -> dict[str,
     """
     n = len(content)
     held: list[tuple[np.ndarray, np.ndarray] | None] = []
-    for text in content:
-        whole = " " + text
-        ids_a = np.frombuffer(a.encode(whole), "<u4") if text else ()
-        ids_b = np.frombuffer(b.encode(text), "<u4") if text else ()
-        raw = whole.encode("utf-8", "surrogatepass")
-        sound = text and all(
-            b"".join(map(own.bytes.__getitem__, ids.tolist())) == raw
-            for own, ids in ((a, ids_a), (b, ids_b))
-        )
-        held.append((ids_a.astype(np.int64), ids_b.astype(np.int64)) if sound else None)
+    for text, ids_b in zip(content, b.tokens(content), strict=True):
+        ids_a = a.tokens(text) if text and ids_b is not None else None
+        held.append((ids_a.astype(np.int64), ids_b.astype(np.int64)) if ids_a is not None else None)
     out = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
     out["groups"] = np.full(n, None, object)
     length_a = np.fromiter(map(len, a.bytes), np.int64, len(a.bytes))
