@@ -421,6 +421,22 @@ def _planted(spec: models.ModelSpec):
     return run
 
 
+def kernel_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far both kernel maps are from the kernel, on scaled features: which is closer?"""
+    filled = prepare.MedianFill.fit(_written_features(spark, sf_dir), schemas.FEATURES)
+    rows = filled.transform(_written_features(spark, sf_dir))
+    columns = [c for c in schemas.FEATURES if c not in filled.empty]
+    vectors = models.assemble(prepare.Standardize.fit(rows, columns).transform(rows), columns)
+    held = storage.materialize(vectors.select(models.VECTOR), "kernel-rows")
+    errors = {}
+    for name in ("fourier", "landmarks"):
+        spec = models.KERNEL_MACHINE.with_settings(map=name)
+        mapping = models.kernel_map(held, spec, len(columns))
+        errors[name] = models.kernel_error(held, mapping, len(columns))
+    found = [(name, error < 0.1, error == min(errors.values())) for name, error in errors.items()]
+    return spark.createDataFrame(found, "map string, small boolean, closest boolean")
+
+
 def median_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Medians of columns far larger than what is taken for narrow."""
     columns = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
@@ -623,6 +639,7 @@ QUERIES = {
     "features_from_states": features_from_states,
     "features_bucketed": features_bucketed,
     "results_written": results_written,
+    "kernel_errors": kernel_errors,
     "planted_auc": _planted(models.KERNEL_MACHINE),
     "planted_forest": _planted(models.FOREST),
     "planted_boosted": _planted(models.BOOSTED),

@@ -617,3 +617,6 @@ ORACLES |= {
 }
 ORACLES["features_from_states"] = ORACLES["battery_features"]
 ORACLES["features_bucketed"] = ORACLES["features_merged"]
+ORACLES["kernel_errors"] = """
+  SELECT 'fourier' AS map, TRUE AS small, FALSE AS closest
+  UNION ALL SELECT 'landmarks', TRUE, TRUE"""
