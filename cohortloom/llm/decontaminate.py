@@ -2,8 +2,8 @@
 
 Texts are lower-cased and cut into words of letters and digits; features are shingles of
 five words (fewer in items that are shorter). A document is read with windows that hold as
-many shingles as an item, one at every position that holds any shingle of the benchmark: all
-other windows have similarity zero. The SimHash of a window is looked up in a multi-index:
+many shingles as an item, one at every position that holds any shingle of the items of that
+length: all other windows have similarity zero to them. The SimHash of a window is looked up in a multi-index:
 the fingerprint is cut into seven blocks, and fingerprints within the radius differ by no
 more than a seventh of it in some block, so each item stands in the tables under every value
 that near its own blocks. Candidates within the radius are verified by the exact similarity
@@ -124,13 +124,16 @@ class Items:
                 size = min(SHINGLE, len(words))
                 own = shingles(words, size)
                 sizes[size][len(own)].append((item, own))
+        # sorted shingles of all items, and of the items of each length
         self.anchors: dict[int, np.ndarray] = {}
+        self.own_anchors: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
         for size, by_length in sizes.items():
             self.groups[size] = {}
             for length, items in by_length.items():
                 prints = np.array([window_prints(own, length)[0] for _, own in items], np.uint64)
                 counts = [Counter(own.tolist()) for _, own in items]
                 self.groups[size][length] = ([i for i, _ in items], counts, BlockIndex(prints))
+                self.own_anchors[size][length] = np.unique(np.concatenate([x for _, x in items]))
             every = [own for items in by_length.values() for _, own in items]
             self.anchors[size] = np.unique(np.concatenate(every))
 
@@ -142,12 +145,14 @@ class Items:
             own = shingles(words, size)
             if not len(own):
                 continue
-            held = self.anchors[size]
-            at = np.minimum(np.searchsorted(held, own), len(held) - 1)
-            anchors = np.flatnonzero(held[at] == own)
-            if not len(anchors):
+            every = np.flatnonzero(_held(self.anchors[size], own))
+            if not len(every):
                 continue
             for length, (names, counts, index) in by_length.items():
+                # windows without a shingle of these items have similarity zero to them
+                anchors = every[_held(self.own_anchors[size][length], own[every])]
+                if not len(anchors):
+                    continue
                 span = min(length, len(own))  # a shorter document is one window
                 for first, last in _regions(anchors, span, len(own)):
                     part = own[first : last + span]
@@ -165,6 +170,12 @@ class Items:
         return [best[k] for k in sorted(best, key=lambda k: (k is None, k))]
 
 
+def _held(ranked: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of the values are in a sorted array."""
+    at = np.minimum(np.searchsorted(ranked, values), len(ranked) - 1)
+    return ranked[at] == values
+
+
 def _regions(anchors: np.ndarray, span: int, n: int) -> list[tuple[int, int]]:
     """First and last starts of the windows that hold an anchor, joined where they meet."""
     low = np.maximum(anchors - span + 1, 0)
