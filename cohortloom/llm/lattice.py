@@ -52,24 +52,50 @@ class Pieces:
                 node = edges[key]
             ends[node] = i
         keys = np.array([n << 21 | c for n, c in edges], np.int64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.after = np.fromiter(edges.values(), np.int32, len(edges))[order]
+        after = np.fromiter(edges.values(), np.int32, len(edges))
+        self._fill(keys, after)
         # the node after a first character, for most characters without a search
         self.root = np.full(_DIRECT, -1, np.int32)
-        first = self.keys[self.keys < _DIRECT]
-        self.root[first] = self.after[: len(first)]
+        first = keys < _DIRECT
+        self.root[keys[first]] = after[first]
         self.piece = np.full(nodes, -1, np.int32)
         self.piece[list(ends)] = list(ends.values())
 
+    def _fill(self, keys: np.ndarray, after: np.ndarray) -> None:
+        """A hash table of the trie's edges, a key that finds its place taken goes to the next."""
+        bits = (2 * len(keys)).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.held = np.full((1 << bits) + len(keys), -1, np.int64)
+        self.target = np.full(len(self.held), -1, np.int32)
+        left, at = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            free = np.flatnonzero(self.held[at] < 0)
+            where, one = np.unique(at[free], return_index=True)
+            put = free[one]
+            self.held[where], self.target[where] = keys[left[put]], after[left[put]]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, at = left[rest], at[rest] + 1
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * GOLDEN) >> self.shift).astype(np.int64)
 
     def step(self, state: np.ndarray, code: np.ndarray, first: bool) -> np.ndarray:
         """The node after a character, -1 where there is none."""
         if first and len(code) and code.max() < _DIRECT:
             return self.root[code]
         key = (state.astype(np.int64) << _CODE) | code
-        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[found] == key, self.after[found], np.int32(-1))
+        at = self._place(key)
+        held = self.held[at]
+        out = np.where(held == key, self.target[at], np.int32(-1))
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):
+            at[open_] += 1
+            held = self.held[at[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.target[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
 
 
 class Lattices:
@@ -115,23 +141,28 @@ class Lattices:
         spelled = ids < 0
         score = pieces.score[np.maximum(ids, 0)]
         score[spelled] = pieces.byte_score * utf8_width(-1 - ids[spelled])
-        place = tail - begin[word[origin]]  # of the last character in its word
-        order = np.lexsort((tail, place))
-        origin, tail, ids, score, place = (a[order] for a in (origin, tail, ids, score, place))
+        # each round found its edges in order, so this sort merges a few ordered runs
+        order = np.argsort(tail, kind="stable")
+        origin, tail, score = origin[order], tail[order], score[order]
+        self.ids = ids[order]
         shift = word[origin]
-        start, end = origin + shift, tail + shift + 1
-        del origin, tail, shift, order
+        self.start, self.end = origin + shift, tail + shift + 1
+        place = tail - begin[shift]  # of the last character in its word
+        if len(place) and place.max() < 1 << 16:
+            place = place.astype(np.uint16)  # numbers of two bytes are sorted by counting
+        del origin, tail, shift, order, ids
         total = np.zeros(int((lengths + 1).sum()))
-        cuts = np.flatnonzero(np.diff(place, prepend=-1)).tolist() + [len(place)]
+        order = np.argsort(place, kind="stable")
+        cuts = np.append(0, np.cumsum(np.bincount(place))).tolist() if len(place) else []
         for a, b in zip(cuts, cuts[1:], strict=False):
-            group = np.flatnonzero(np.diff(end[a:b], prepend=-1))
-            value = total[start[a:b]] + score[a:b]
+            own = order[a:b]
+            ends = self.end[own]
+            group = np.flatnonzero(np.diff(ends, prepend=-1))
+            value = total[self.start[own]] + score[own]
             top = np.maximum.reduceat(value, group)
             each = np.repeat(top, np.diff(np.append(group, b - a)))
-            total[end[a:b][group]] = top + np.log(np.add.reduceat(np.exp(value - each), group))
-        order = np.argsort(end, kind="stable")
-        self.start, self.end, self.ids = start[order], end[order], ids[order]
-        self.log_q = np.minimum(total[self.start] + score[order] - total[self.end], 0.0)
+            total[ends[group]] = top + np.log(np.add.reduceat(np.exp(value - each), group))
+        self.log_q = np.minimum(total[self.start] + score - total[self.end], 0.0)
         self.count = np.bincount(self.end, minlength=len(total))
         self.offset = np.cumsum(self.count) - self.count
         self.q = np.exp(self.log_q)
