@@ -112,15 +112,18 @@ def staged_measures(
     return rows
 
 
-def good(staged: DataFrame | None, on_bad: str = "rows") -> DataFrame | None:
+def let_through(staged: DataFrame, on_bad: str) -> DataFrame:
     """The rows of a staged frame that the policy for malformed records lets through."""
-    if staged is None:
-        return None
     rows = staged
     if on_bad == "files":
         bad = staged.where(MALFORMED).select(F.col(SOURCE_FILE).alias("bad_file")).distinct()
         rows = rows.join(bad, F.col(SOURCE_FILE) == F.col("bad_file"), "left_anti")
-    return rows.where(~F.col(MALFORMED)).drop(*FLAGS)
+    return rows.where(~F.col(MALFORMED))
+
+
+def good(staged: DataFrame | None, on_bad: str = "rows") -> DataFrame | None:
+    """The data of a staged frame."""
+    return None if staged is None else let_through(staged, on_bad).drop(*FLAGS)
 
 
 def phone_log(
@@ -279,23 +282,22 @@ def quarantine_path(root: str, table: str) -> str:
     return f"{root}/quarantine/{table}"
 
 
-def cast_losses(staged: DataFrame) -> DataFrame:
+def cast_losses(loaded: DataFrame) -> DataFrame:
     """(source_file, column, lost): texts that a declared type turned into NULL, by file."""
     return (
-        staged.where(~F.col(MALFORMED))
-        .select(SOURCE_FILE, F.explode(LOST).alias("column"))
+        loaded.select(SOURCE_FILE, F.explode(LOST).alias("column"))
         .groupBy(SOURCE_FILE, "column")
         .agg(F.count("*").alias("lost"))
     )
 
 
-def file_counts(files: DataFrame, staged: DataFrame) -> DataFrame:
-    """One ledger row for each listed file, also for those that hold no rows."""
-    rows = staged.groupBy(F.col(SOURCE_FILE).alias("path")).agg(
-        F.count_if(~F.col(MALFORMED)).alias("rows"), F.count_if(MALFORMED).alias("bad_rows")
-    )
+def file_counts(files: DataFrame, staged: DataFrame, on_bad: str) -> DataFrame:
+    """One ledger row for each listed file, also for those of which no rows were loaded."""
+    file = F.col(SOURCE_FILE).alias("path")
+    rows = let_through(staged, on_bad).groupBy(file).agg(F.count("*").alias("rows"))
+    bad = staged.where(MALFORMED).groupBy(file).agg(F.count("*").alias("bad_rows"))
     none = F.lit(0).cast("bigint")
-    return files.join(rows, "path", "left").select(
+    return files.join(rows, "path", "left").join(bad, "path", "left").select(
         "path",
         "length",
         "modified",
@@ -427,6 +429,10 @@ def ingest(
         if not selected(requested, dataset):
             continue
         table, failed = builder.table, []
+        path = f"{target_root}/{tables.location(table)}"
+        places = [f(target_root, table) for f in (file_ledger_path, cast_ledger_path, quarantine_path)]
+        for place in [] if dry_run else [path, *places]:
+            tables.recover_table(spark, place)
         globs = builder.globs(source_root, participants)
         files = listing.list_files(spark, globs, modified=True)
         some = write_mode == "append" and only_new
@@ -454,15 +460,16 @@ def ingest(
                 missed = spark.createDataFrame([path for path, _ in failed], "string")
                 loaded = files.join(missed.toDF("path"), "path", "left_anti")
             data = good(held, on_bad)
-            path = f"{target_root}/{tables.location(table)}"
             write_curated(data, path, write_mode, participants, only_new)
             gone = loaded.select(F.col("path").alias("gone")) if partly else None
-            reports = [(cast_losses(held), cast_ledger_path(target_root, table), SOURCE_FILE)]
+            losses = cast_losses(let_through(held, on_bad))
+            reports = [(losses, cast_ledger_path(target_root, table), SOURCE_FILE)]
             if quarantine and on_bad != "fail":
                 malformed = held.where(MALFORMED).select(SOURCE_FILE, F.col(CORRUPT).alias("record"))
                 reports.append((malformed, quarantine_path(target_root, table), SOURCE_FILE))
             # the file ledger last: until then the files count as not loaded
-            reports.append((file_counts(loaded, held), file_ledger_path(target_root, table), "path"))
+            counts = file_counts(loaded, held, on_bad)
+            reports.append((counts, file_ledger_path(target_root, table), "path"))
             replaced = participants if write_mode == "overwrite" else None
             for report, place, key in reports:
                 _keep_report(report, place, key, gone, replaced)

@@ -46,6 +46,7 @@ def update_states(spark: SparkSession, root: str, modality: str) -> int:
     if ledger is None:
         return 0
     path = states_path(root, modality)
+    tables.recover_table(spark, path)
     named = ledger.where("rows > 0").select(
         F.col("path").alias(SOURCE_FILE),
         MODIFIED,

@@ -77,6 +77,19 @@ def test_a_swap_that_was_cut_off_is_finished(spark, loaded):
     assert sorted(os.listdir(target)) == ["ledger", "quarantine", "watch"]
 
 
+def test_files_with_malformed_records_count_as_not_loaded(spark, loaded):
+    root, target = loaded
+    put(root, "Participant_2/Watch/w.csv", "timestamp,hrm\n1,x\n1,2,3\n")
+    put(root, "Participant_3/Watch/w.csv", "timestamp,hrm\n1,x\n2,\n")
+    ingest.ingest(spark, str(root), target, "watch", on_bad="files")
+    assert {r[0] for r in watch(spark, target)} == {"Participant_1", "Participant_3", "Participant_4"}
+    ledger = spark.read.parquet(ingest.file_ledger_path(target, "watch")).collect()
+    counts = {r.path.split("/")[-3]: (r.rows, r.bad_rows) for r in ledger}
+    assert counts["Participant_2"] == (0, 1) and counts["Participant_3"] == (2, 0)
+    losses = spark.read.parquet(ingest.cast_ledger_path(target, "watch")).collect()
+    assert [(r.source_file.split("/")[-3], r.column, r.lost) for r in losses] == [("Participant_3", "hrm", 1)]
+
+
 def test_reload_of_some_participants(spark, loaded):
     root, target = loaded
     put(root, "Participant_2/Watch/w.csv", "timestamp,hrm\n99,1\n98,2,3\n")
