@@ -19,7 +19,8 @@ import hashlib
 import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from cohortloom.session import ship_package
 from cohortloom.sources.storage import materialize
 
 BLOCK = 2 << 20  # bytes of text in a block; a document is never cut
-REMEMBERED = 150_000  # parts of texts in each half of what a worker remembers
+REMEMBERED = 250_000  # parts of texts in each half of what a worker remembers
 LONGEST = 64  # characters of a part that is remembered
 MARK = "▁"  # a space, in the pieces of the second tokenizer
 SUMS = "n_a long, n_b long, n_groups long, n_links long"
@@ -71,12 +72,14 @@ class Remembered(dict):
 
 
 class Speller:
-    """Whether ids spell a text. Parts are checked when they are encoded, so texts need not be,
+    """Whether ids spell a text. Parts are checked when they are learned, so texts need not be,
 
     unless any part was met that its ids don't spell.
     """
 
     bytes: list[bytes]
+    length: np.ndarray  # of the bytes of each id
+    part_ids: Remembered
     doubt = False
 
     def spells(self, ids: np.ndarray, raw: bytes) -> bool:
@@ -87,6 +90,23 @@ class Speller:
             self.doubt = True
         return ids
 
+    def learn(self, parts: set[str], encode: Callable[[list[str]], list[list[int]]]) -> None:
+        """Encode the parts that aren't remembered together, and check them together."""
+        known, older = self.part_ids, self.part_ids.older
+        new = [p for p in parts if p not in known and p not in older and 1 < len(p) <= LONGEST]
+        known.room(len(new))
+        found = encode(new)
+        at = _offsets(np.fromiter(map(len, found), np.int64, len(found)))
+        raw = array("I", chain.from_iterable(found)).tobytes()
+        ids = np.frombuffer(raw, "<u4")
+        wanted = [p.encode() for p in new]
+        ends = _offsets(self.length[ids])[at]
+        alike = np.array_equal(ends, _offsets(np.fromiter(map(len, wanted), np.int64, len(wanted))))
+        if not (alike and self.spells(ids, b"".join(wanted))):
+            self.doubt = True
+        bounds = (4 * at).tolist()
+        known.update(zip(new, map(raw.__getitem__, map(slice, bounds, bounds[1:])), strict=True))
+
 
 class ByteTokens(Encoder, Speller):
     """Ids of the byte-level tokenizer; strings of special tokens are plain text."""
@@ -104,16 +124,35 @@ class ByteTokens(Encoder, Speller):
             for name in names
         ]
 
+        self.length = np.fromiter(map(len, self.bytes), np.int64, size)
+
     def _part(self, part: str) -> bytes:
         return self.checked(super()._part(part), part.encode())
 
     def whole(self, text: str) -> bytes:
         return self.checked(super().whole(text), text.encode())
 
-    def tokens(self, text: str) -> np.ndarray | None:
-        """Ids of a space and the text; None if they spell anything else."""
-        ids = np.frombuffer(self.encode(" " + text), "<u4")
-        return None if self.doubt and not self.spells(ids, (" " + text).encode()) else ids
+    def _encode(self, parts: list[str]) -> list[list[int]]:
+        tokenize, shown = self.model.tokenize, self.stand_in
+        return [
+            [t.id for t in tokenize(part.encode().decode("latin-1").translate(shown))]
+            for part in parts
+        ]
+
+    def tokens(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of a space and each text; None if they spell anything else."""
+        whole = [" " + text for text in texts]
+        cut = [self.parts.findall(text) if self.plain.match(text) else None for text in whole]
+        self.learn(set().union(*[parts for parts in cut if parts]), self._encode)
+        out: list[np.ndarray | None] = []
+        for text, parts in zip(whole, cut, strict=True):
+            if parts is None:
+                ids = self.encode(text)
+            else:
+                ids = b"".join(map(self.part_ids.__getitem__, parts))
+            ids = np.frombuffer(ids, "<u4")
+            out.append(None if self.doubt and not self.spells(ids, text.encode()) else ids)
+        return out
 
 
 class PieceTokens(Speller):
@@ -137,6 +176,7 @@ class PieceTokens(Speller):
             else name.replace(MARK, " ").encode()
             for i, name in enumerate(names)
         ]
+        self.length = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
         shown = "".join(self.model.encode(" x  y ", out_type=str))
         keeps = shown == "  x  y ".replace(" ", MARK)
         self.in_parts = keeps and not any(MARK in name.lstrip(MARK) for name in names)
@@ -148,18 +188,13 @@ class PieceTokens(Speller):
         ids = self.space if part == " " else array("I", self.model.encode(part[1:])).tobytes()
         return self.checked(ids, part.encode())
 
-    def learn(self, parts: set[str]) -> None:
-        """Encode the parts that aren't remembered in one call."""
-        known, older = self.part_ids, self.part_ids.older
-        new = [p for p in parts if p not in known and p not in older and 1 < len(p) <= LONGEST]
-        known.room(len(new))
-        for part, ids in zip(new, self.model.encode([p[1:] for p in new]), strict=True):
-            known[part] = self.checked(array("I", ids).tobytes(), part.encode())
+    def _encode(self, parts: list[str]) -> list[list[int]]:
+        return self.model.encode([part[1:] for part in parts])
 
     def tokens(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of each text, which the model puts a space before; None if they spell another."""
         cut = [self.part.findall(" " + t) if self.in_parts and MARK not in t else None for t in texts]
-        self.learn(set().union(*[parts for parts in cut if parts]))
+        self.learn(set().union(*[parts for parts in cut if parts]), self._encode)
         out: list[np.ndarray | None] = []
         for text, parts in zip(texts, cut, strict=True):
             if parts is None:
@@ -264,13 +299,11 @@ def align_texts(content: list[str], a: ByteTokens, b: PieceTokens) -> dict[str,
     """
     n = len(content)
     held: list[tuple[np.ndarray, np.ndarray] | None] = []
-    for text, ids_b in zip(content, b.tokens(content), strict=True):
-        ids_a = a.tokens(text) if text and ids_b is not None else None
-        held.append((ids_a.astype(np.int64), ids_b.astype(np.int64)) if ids_a is not None else None)
+    for text, ids_a, ids_b in zip(content, a.tokens(content), b.tokens(content), strict=True):
+        sound = text and ids_a is not None and ids_b is not None
+        held.append((ids_a.astype(np.int64), ids_b.astype(np.int64)) if sound else None)
     out = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
     out["groups"] = np.full(n, None, object)
-    length_a = np.fromiter(map(len, a.bytes), np.int64, len(a.bytes))
-    length_b = np.fromiter(map(len, b.bytes), np.int64, len(b.bytes))
     found = []
     for a_drives in (True, False):
         rows = [i for i, x in enumerate(held) if x and (len(x[0]) <= len(x[1])) == a_drives]
@@ -280,7 +313,7 @@ def align_texts(content: list[str], a: ByteTokens, b: PieceTokens) -> dict[str,
         sizes_b = np.array([len(held[i][1]) for i in rows])
         ids_a = np.concatenate([held[i][0] for i in rows])
         ids_b = np.concatenate([held[i][1] for i in rows])
-        ends_a, ends_b = np.cumsum(length_a[ids_a]), np.cumsum(length_b[ids_b])
+        ends_a, ends_b = np.cumsum(a.length[ids_a]), np.cumsum(b.length[ids_b])
         short, long = (ends_a, ends_b) if a_drives else (ends_b, ends_a)
         at_short = _offsets(sizes_a if a_drives else sizes_b).tolist()
         at_long = _offsets(sizes_b if a_drives else sizes_a).tolist()
