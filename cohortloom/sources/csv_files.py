@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cohortloom.functions import paths
 from cohortloom.session import ship_package
 from cohortloom.sources.files import resolve
-from cohortloom.sources.listing import escape_glob
+from cohortloom.sources.listing import escape_glob, few_listing_tasks
 
 CORRUPT = "_corrupt_record"
 MALFORMED = "_malformed"
@@ -211,9 +211,10 @@ def _lines(
         own = F.array(*[F.col(f"w{width}.c{i}") for i in range(width)])
         return F.when(F.col("width") == width, own)
 
+    with few_listing_tasks(spark):
+        found = spark.read.text([escape_glob(path) for k in numbers for path in files[k]])
     return (
-        spark.read.text([escape_glob(path) for k in numbers for path in files[k]])
-        .select("value", paths.scanned_file().alias(SOURCE_FILE))
+        found.select("value", paths.scanned_file().alias(SOURCE_FILE))
         .where(F.col("value").rlike(r"[^\x00-\x20]"))  # blank lines are no records
         .join(where, F.col(SOURCE_FILE) == where["path"])
         .join(F.broadcast(kinds), F.col("header") == kinds["number"])

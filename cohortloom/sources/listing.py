@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTING_SCHEMA = "path string, length bigint"
 IDS_PER_GLOB = 1000
 
@@ -44,6 +46,22 @@ def folder_globs(
     return participant_globs(root, participants, folder or "")
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Look up many paths in some tasks for each core instead of one for each path.
+
+    What a task sends to the driver is otherwise several times the one file status in it. Paths
+    are looked up when a reader is made, so that has to happen inside the block.
+    """
+    before = spark.conf.get(LISTING_TASKS)
+    wanted = 8 * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING_TASKS, str(min(int(before), wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def list_files(
     spark: SparkSession,
     globs: Iterable[str],
@@ -59,9 +77,10 @@ def list_files(
     found = []
     for glob in globs:
         try:
-            found.append(
-                spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
-            )
+            with few_listing_tasks(spark):
+                found.append(
+                    spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
+                )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -286,3 +286,30 @@ def test_scratch_scope_removes_what_it_made(spark):
         assert os.path.exists(gone.removeprefix("file:"))
     assert not os.path.exists(gone.removeprefix("file:"))
     assert spark.read.parquet(kept).count() == 3
+
+
+def test_many_files_are_looked_up_in_few_tasks(spark, tmp_path):
+    setting = listing.LISTING_TASKS
+    before = spark.conf.get(setting)
+    folder = tmp_path / "Participant_1" / "Aware"
+    folder.mkdir(parents=True)
+    for i in range(90):
+        (folder / f"battery_{i}.csv").write_text(f"timestamp,participant\n{i},p\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.conf.set(setting, "10000")
+    try:
+        spark.sparkContext.setJobGroup("listing", "files and their rows")
+        files = listing.list_files(spark, listing.phone_globs(str(tmp_path), None, "battery"))
+        rows = csv_files.read_csv(files)
+        assert spark.conf.get(setting) == "10000"
+        sizes = [
+            tracker.getStageInfo(stage).numTasks
+            for job in tracker.getJobIdsForGroup("listing")
+            for stage in tracker.getJobInfo(job).stageIds
+            if tracker.getStageInfo(stage) is not None
+        ]
+        assert rows.count() == 90
+        assert max(sizes) <= 8 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(setting, before)
