@@ -20,6 +20,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from cohortloom.llm.common import GOLDEN, mix64
 
@@ -99,19 +101,23 @@ class Pieces:
 
 
 class Lattices:
-    """Lattices of a list of words; nodes and edges of all words in common arrays.
+    """Lattices of words; nodes and edges of all words in common arrays.
 
-    A word of n characters has n + 1 nodes. Edges are sorted by the node they end at, each
+    The words are given without the space mark that each begins with. A word of n characters has n + 1 nodes. Edges are sorted by the node they end at, each
     with its probability among the edges that end there.
     """
 
-    def __init__(self, pieces: Pieces, words: list[str]):
+    def __init__(self, pieces: Pieces, words: pa.Array):
         # 32 bits for all that counts characters or edges, as there are many of them
-        lengths = np.fromiter(map(len, words), np.int32, len(words))
-        joined = "".join(words).encode("utf-32-le", "surrogatepass")
-        code = np.frombuffer(joined, np.uint32).astype(np.int32)
+        lengths = np.asarray(pc.utf8_length(words)).astype(np.int32) + 1
+        whole = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")
+        joined = whole[0].as_py().encode("utf-32-le")
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         begin = np.cumsum(lengths, dtype=np.int32) - lengths  # first character of each word
+        marked = np.zeros(len(word), bool)
+        marked[begin] = True
+        code = np.full(len(word), ord(SPACE), np.int32)
+        code[~marked] = np.frombuffer(joined, np.int32)
         self.first = begin + np.arange(len(words), dtype=np.int32)  # node before each word
         self.last = self.first + lengths
         limit = (begin + lengths)[word]
@@ -146,7 +152,7 @@ class Lattices:
         origin, tail, score = origin[order], tail[order], score[order]
         self.ids = ids[order]
         shift = word[origin]
-        self.start, self.end = origin + shift, tail + shift + 1
+        self.start, end = origin + shift, tail + shift + 1
         place = tail - begin[shift]  # of the last character in its word
         if len(place) and place.max() < 1 << 16:
             place = place.astype(np.uint16)  # numbers of two bytes are sorted by counting
@@ -156,17 +162,29 @@ class Lattices:
         cuts = np.append(0, np.cumsum(np.bincount(place))).tolist() if len(place) else []
         for a, b in zip(cuts, cuts[1:], strict=False):
             own = order[a:b]
-            ends = self.end[own]
+            ends = end[own]
             group = np.flatnonzero(np.diff(ends, prepend=-1))
             value = total[self.start[own]] + score[own]
             top = np.maximum.reduceat(value, group)
             each = np.repeat(top, np.diff(np.append(group, b - a)))
             total[ends[group]] = top + np.log(np.add.reduceat(np.exp(value - each), group))
-        self.log_q = np.minimum(total[self.start] + score - total[self.end], 0.0)
-        self.count = np.bincount(self.end, minlength=len(total))
-        self.offset = np.cumsum(self.count) - self.count
+        self.log_q = np.minimum(total[self.start] + score - total[end], 0.0)
+        self.count = np.bincount(end, minlength=len(total)).astype(np.int32)
+        self.offset = np.cumsum(self.count, dtype=np.int32) - self.count
         self.q = np.exp(self.log_q)
 
+    def extend(self, more: Lattices) -> None:
+        """Add the lattices of further words, whose numbers go on from here."""
+        nodes, edges = np.int32(len(self.count)), np.int32(len(self.ids))
+        for name, shift in (("first", nodes), ("last", nodes), ("start", nodes), ("offset", edges)):
+            setattr(self, name, np.concatenate([getattr(self, name), getattr(more, name) + shift]))
+        for name in ("ids", "log_q", "q", "count"):
+            setattr(self, name, np.concatenate([getattr(self, name), getattr(more, name)]))
+
+    def end(self, edge: int) -> int:
+        """The node that an edge ends at: nodes without edges come before one with the same offset."""
+        return int(np.searchsorted(self.offset, np.int32(edge), side="right")) - 1
+
     def pick(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge that ends at each node, by its probability."""
         edge = self.offset[node]
@@ -205,8 +223,7 @@ class Path:
     word: np.ndarray  # occurrence of a word, by step
     edge: np.ndarray
     before: np.ndarray  # log probability of what comes before the step
-    value: np.ndarray  # perturbed value of the continuations not taken
-    rest: np.ndarray  # their probability
+    raw: np.ndarray  # perturbed value of the continuations not taken, before the text's cap
     total: np.ndarray  # by text: log probability
     top: np.ndarray  # by text: perturbed value, -inf where there is no such path
 
@@ -234,16 +251,20 @@ def _capped(location, cap, noise):
     return -np.logaddexp(-cap, -location + np.log(-np.log(noise)))
 
 
+def _uncapped(value, cap):
+    """What `cap` makes `value` of; it keeps the order, so a text's largest is found before."""
+    return value - np.log(-np.expm1(value - cap)) if value < cap else np.inf
+
+
 def sample(
-    lattices: Lattices, texts: list[np.ndarray], seeds: np.ndarray, k: int
+    lattices: Lattices, sizes: np.ndarray, words: np.ndarray, seeds: np.ndarray, k: int
 ) -> tuple[list[Path], np.ndarray]:
     """The k largest perturbed segmentations of each text, and each text's next value.
 
-    `texts` hold the words of each text, as numbers of words of the lattices.
+    `words` are the words of all texts, as numbers of words of the lattices; each text has
+    as many as `sizes` says.
     """
-    n = len(texts)
-    sizes = np.fromiter(map(len, texts), np.int64, n)
-    words = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
+    n = len(sizes)
     text_of_word = np.repeat(np.arange(n), sizes)
     ends, firsts = lattices.last[words], lattices.first[words]
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -266,9 +287,9 @@ def sample(
         for t in np.flatnonzero(np.isfinite(value)).tolist():
             old = paths[source[t]]
             a, b = old.bounds[t], old.bounds[t + 1]
-            step = a + int(old.value[a:b].argmax())
+            step = a + int(old.raw[a:b].argmax())
             own = int(old.edge[step])
-            node = int(lattices.end[own])
+            node = lattices.end(own)
             tried = used.setdefault((int(source[t]), t, step), [own])
             options = range(int(lattices.offset[node]), int(lattices.offset[node] + lattices.count[node]))
             options = [e for e in options if e not in tried]
@@ -278,11 +299,11 @@ def sample(
             tried.append(new)
             # those still not taken at this step go on with the mass that is left
             left = [lattices.q[e] for e in options if e != new]
-            old.rest[step] = sum(left)
-            old.value[step] = -np.inf
-            if left and old.rest[step] > 0:
-                location = old.before[step] + np.log(old.rest[step])
-                old.value[step] = _capped(location, value[t], noise[t])
+            rest = sum(left)
+            old.raw[step] = -np.inf
+            if left and rest > 0:
+                location = old.before[step] + np.log(rest)
+                old.raw[step] = _uncapped(_capped(location, value[t], noise[t]), old.top[t])
             kept.append((t, a, step))
             chosen.append(new)
             base[t] = old.before[step] + lattices.log_q[new]
@@ -297,7 +318,8 @@ def _largest(path: Path, n: int) -> np.ndarray:
     out = np.full(n, -np.inf)
     full = np.flatnonzero(path.bounds[1:] > path.bounds[:-1])
     if len(full):
-        out[full] = np.maximum.reduceat(path.value, path.bounds[full])
+        raw = np.maximum.reduceat(path.raw, path.bounds[full])
+        out[full] = -np.logaddexp(-path.top[full], -raw)
     return out
 
 
@@ -310,18 +332,17 @@ def _path(lattices, n, text, word, edge, base, top, seeds, round_, head) -> Path
         log_q[head] = 0.0  # counted in `base`
     run = np.cumsum(log_q)
     offset = np.append(0.0, run)[bounds[:-1]]
-    before = run - log_q - offset[text] + base[text]
+    before = run - log_q
+    before -= np.repeat(offset, counts)
+    before += np.repeat(base, counts)
     total = base + np.append(0.0, run)[bounds[1:]] - offset
-    node_edges = lattices.count[lattices.end[edge]]
-    rest = np.where(node_edges > 1, -np.expm1(lattices.log_q[edge]), 0.0)
-    if head is not None:
-        rest[head] = 0.0
-    value = np.full(len(edge), -np.inf)
+    rest = -np.expm1(log_q)  # of the other edges; an edge alone has log probability zero
+    raw = np.full(len(edge), -np.inf)
     some = np.flatnonzero(rest > 0)
-    place = some - bounds[text[some]]
-    noise = uniform(stream(seeds, 4, round_)[text[some]], place)
-    value[some] = _capped(before[some] + np.log(rest[some]), top[text[some]], noise)
-    return Path(text, bounds, word, edge, before, value, rest, total, top)
+    owner = text[some]
+    noise = uniform(stream(seeds, 4, round_)[owner], some - bounds[owner])
+    raw[some] = before[some] + np.log(rest[some] / -np.log(noise))
+    return Path(text, bounds, word, edge, before, raw, total, top)
 
 
 def _branch(
@@ -352,7 +373,7 @@ def _branch(
     all_e = np.concatenate([*heads_e, edge])
     is_head = np.zeros(len(all_t), bool)
     is_head[: sum(map(len, heads_t))] = True
-    order = np.lexsort((np.arange(len(all_t)), all_w, all_t))
+    order = np.argsort(all_t, kind="stable")  # in a text the words are in order
     top = np.where(np.isfinite(value), value, -np.inf)
     return _path(
         lattices, n, all_t[order], all_w[order], all_e[order], base, top, seeds, round_,

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +24,38 @@ from cohortloom.llm.common import map_arrow, slices, table, texts, whole_text
 from cohortloom.llm.lattice import SPACE
 
 BATCH = 2 << 20  # bytes of text whose lattices are built together
+HELD = 2_500_000  # characters of words whose lattices are kept, of some 75 bytes each
 SEED = 42
 _vocabularies: dict[tuple, Vocabulary] = {}
 
 
+class Known:
+    """Lattices of words, kept from batch to batch while they are not too many."""
+
+    def __init__(self, pieces: lattice.Pieces):
+        self.pieces = pieces
+        self._start(pa.array([], pa.string()))
+
+    def _start(self, words: pa.Array) -> None:
+        self.words, self.characters = words, pc.sum(pc.utf8_length(words)).as_py() or 0
+        self.lattices = lattice.Lattices(self.pieces, words)
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The numbers of distinct words in the lattices, which are made where they are not held."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        characters = pc.sum(pc.utf8_length(new)).as_py() or 0
+        if self.characters + characters > HELD:
+            self._start(words)
+            return np.arange(len(words))
+        self.lattices.extend(lattice.Lattices(self.pieces, new))
+        number = np.asarray(at.fill_null(-1)).astype(np.int64)
+        number[number < 0] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.characters += characters
+        return number
+
+
 class Vocabulary:
     def __init__(self, path: str, scores: str, theta: float):
         from sentencepiece import SentencePieceProcessor
@@ -54,6 +83,7 @@ class Vocabulary:
         else:
             raise ValueError("scores must be zipf or model")
         self.pieces = lattice.Pieces(self.text, score, normal, self.byte_id, worst)
+        self.known = Known(self.pieces)
         self.byte_of = {i: b for b, i in enumerate(self.byte_id)}
         # what each piece stands for in decoding, bytes for byte pieces, nothing for controls
         self.content = [
@@ -61,12 +91,24 @@ class Vocabulary:
             else b"" if special[i] else t.replace(SPACE, " ").encode("utf-8", "surrogatepass")
             for i, t in enumerate(self.text)
         ]
+        self.width = np.fromiter(map(len, self.content), np.int32, n)
+        self.begin = np.cumsum(self.width, dtype=np.int32) - self.width
+        self.bytes = np.frombuffer(b"".join(self.content), np.uint8)
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: the first space is the one that encoding adds."""
         raw = b"".join(map(self.content.__getitem__, ids))
         return raw.decode("utf-8", "replace").removeprefix(" ")
 
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes of many rows of ids, before their first space is removed."""
+        width = self.width[ids]
+        ends = np.append(0, np.cumsum(width, dtype=np.int64))
+        place = np.repeat(self.begin[ids] - ends[:-1], width)
+        place += np.arange(len(place))
+        raw, cuts = self.bytes[place].tobytes(), ends[bounds].tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
 
 def vocabulary(path: str, scores: str = "zipf", theta: float = 1.0) -> Vocabulary:
     key = (path, scores, theta)
@@ -89,25 +131,39 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-class _Numbers(dict):
-    """Words numbered as they are met."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        return n
+def numbered(batch: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many words each text has, the words' numbers in text order, and the distinct words."""
+    plain = pc.replace_substring(pa.array(batch, pa.string()), SPACE, " ")
+    split = pc.split_pattern(plain, " ")
+    sizes = np.diff(np.asarray(split.offsets)).astype(np.int64)
+    words = split.flatten()
+    empty = np.asarray(pc.binary_length(words)) == 0
+    text = np.repeat(np.arange(len(batch)), sizes)
+    odd = np.unique(text[empty])  # texts where marks stay with words
+    if len(odd):
+        own = [words_of(batch[t]) for t in odd.tolist()]
+        kept = ~np.isin(text, odd)
+        sizes[odd] = list(map(len, own))
+        words = pa.concat_arrays(
+            [words.filter(pa.array(kept)), pa.array([w for ws in own for w in ws], pa.string())]
+        )
+        text = np.concatenate([text[kept], np.repeat(odd, sizes[odd])])
+    found = words.dictionary_encode()
+    numbers = np.asarray(found.indices)
+    if len(odd):
+        numbers = numbers[np.argsort(text, kind="stable")]
+    return sizes, numbers, found.dictionary
 
 
 def sampled(
-    own: Vocabulary, batch: list[str], seeds: np.ndarray, k: int
+    own: Vocabulary, batch: list[str], seeds: np.ndarray, k: int, known: Known | None = None
 ) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text up to k of (ids, log probability, log inclusion probability)."""
-    number = _Numbers()
-    texts_at = [
-        np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        for words in map(words_of, batch)
-    ]
-    lattices = lattice.Lattices(own.pieces, [SPACE + w for w in number])
-    paths, threshold = lattice.sample(lattices, texts_at, seeds, k)
+    sizes, words, distinct = numbered(batch)
+    known = known or Known(own.pieces)
+    words = known.numbers(distinct)[words]
+    lattices = known.lattices
+    paths, threshold = lattice.sample(lattices, sizes, words, seeds, k)
     out: list[list] = [[] for _ in batch]
     for path in paths:
         ids = lattices.ids[path.edge[lattice.edges_in_text_order(path)]]
@@ -141,6 +197,26 @@ def _spell(own: Vocabulary, ids: np.ndarray, bounds: np.ndarray):
     return out, place[bounds]
 
 
+def round_trips(own: Vocabulary, rows: list[list], content: list[str]) -> list[bool]:
+    """Whether every sample of a text decodes to it. Equal bytes make equal texts; where they
+    differ the decoded texts are compared."""
+    samples = [s[0] for row in rows for s in row]
+    bounds = np.append(0, np.cumsum([len(ids) for ids in samples], dtype=np.int64))
+    raw = iter(own.decoded(np.concatenate([np.zeros(0, np.int64), *samples]), bounds))
+    out = []
+    for row, text in zip(rows, content, strict=True):
+        want = text.replace(SPACE, " ")
+        written = (" " + want if want else "").encode("utf-8", "surrogatepass")
+        found = [next(raw) for _ in row]
+        out.append(
+            all(
+                b == written or own.decode(s[0].tolist()) == want
+                for b, s in zip(found, row, strict=True)
+            )
+        )
+    return out
+
+
 SAMPLES = "samples array<struct<ids:array<int>,log_prob:double,log_inclusion:double>>"
 
 
@@ -191,13 +267,9 @@ def sample_segmentations(
                 ],
                 np.uint64,
             )
-            rows = sampled(own, content, seeds, k)
-            right = [
-                all(own.decode(s[0].tolist()) == t.replace(SPACE, " ") for s in samples)
-                for samples, t in zip(rows, content, strict=True)
-            ]
+            rows = sampled(own, content, seeds, k, own.known)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _array(rows, kind), pa.array(right)],
+                [batch.column("doc_id"), _array(rows, kind), pa.array(round_trips(own, rows, content))],
                 names=["doc_id", "samples", "round_trip"],
             )
 

@@ -135,3 +135,37 @@ def test_decoding_equals_the_library():
     for _, text in ODD:
         ids = library.encode(text or "")
         assert own.decode(ids) == library.decode(ids)
+
+
+def test_lattices_are_kept_between_batches(monkeypatch):
+    own = sampling.vocabulary(MODEL)
+    batches = [["some words here", " two  spaces "], ["here are some words", "", "▁ two"], ["new ones"]]
+    seeds = np.array([5, 6, 7], np.uint64)
+    plain = lambda rows: [[(ids.tolist(), p, q) for ids, p, q in row] for row in rows]
+    for held, made in ((1_000, [6, 2, 2]), (20, [6, 5, 2])):
+        monkeypatch.setattr(sampling, "HELD", held)
+        known = sampling.Known(own.pieces)
+        built = []
+        make = lattice.Lattices
+        with monkeypatch.context() as patch:
+            patch.setattr(lattice, "Lattices", lambda p, w: built.append(len(w)) or make(p, w))
+            rows = [sampling.sampled(own, b, seeds[: len(b)], 3, known) for b in batches]
+        assert built == made
+        for batch, got in zip(batches, rows, strict=True):
+            assert plain(got) == plain(sampling.sampled(own, batch, seeds[: len(batch)], 3))
+            assert sampling.round_trips(own, got, batch) == [True] * len(batch)
+
+
+def test_words_by_arrow_are_the_words():
+    content = [t or "" for _, t in ODD]
+    sizes, numbers, distinct = sampling.numbered(content)
+    ends, words = np.cumsum(sizes), [distinct[i].as_py() for i in numbers.tolist()]
+    got = [words[b - n : b] for n, b in zip(sizes, ends, strict=True)]
+    assert got == [sampling.words_of(t) for t in content]
+    assert len(set(distinct.to_pylist())) == len(distinct)
+
+
+def test_a_wrong_sample_is_no_round_trip():
+    own = sampling.vocabulary(MODEL)
+    rows = sampling.sampled(own, ["some words", "other"], np.array([1, 2], np.uint64), 2)
+    assert sampling.round_trips(own, rows, ["some words", "others"]) == [True, False]
