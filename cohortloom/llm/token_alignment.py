@@ -6,6 +6,10 @@ longer one by steps that double, from where the one before was found, and a bina
 the last step. Ends in both lists cut the text into groups, and the places that two
 neighbouring ends were found at bound the tokens that overlap the one between them.
 
+Neither tokenizer goes on past a single space between two other characters, so groups and
+overlaps never do. A word between such spaces is aligned when it is met first and remembered
+with its groups and links; a text's are those of its words, one after the other.
+
 How many documents hold a pair of ids is a count over the corpus. Documents are taken in
 blocks of a few megabytes; a block names each of its pairs once, with the number of its
 documents that hold it, so what is shuffled to count pairs grows with the pairs of a block
@@ -16,10 +20,10 @@ meet the block's documents in a cogroup. No table is broadcast and none goes to
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
-from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,8 @@ from cohortloom.sources.storage import materialize
 
 BLOCK = 2 << 20  # bytes of text in a block; a document is never cut
 REMEMBERED = 150_000  # parts of texts in each half of what a worker remembers
-LONGEST = 64  # characters of a part that is remembered
+WORDS = 300_000  # words that a worker remembers the alignment of
+LONGEST = 64  # characters of a part or word that is remembered
 MARK = "▁"  # a space, in the pieces of the second tokenizer
 SUMS = "n_a long, n_b long, n_groups long, n_links long"
 HELD = (
@@ -71,21 +76,27 @@ class Remembered(dict):
 
 
 class Speller:
-    """Whether ids spell a text. Parts are checked when they are encoded, so texts need not be,
-
-    unless any part was met that its ids don't spell.
-    """
+    """The bytes of each id, and whether ids spell a text."""
 
     bytes: list[bytes]
-    doubt = False
+    length: np.ndarray
+
+    def spell(self, names: list[bytes]) -> None:
+        self.bytes = names
+        self.length = np.fromiter(map(len, names), np.int64, len(names))
 
     def spells(self, ids: np.ndarray, raw: bytes) -> bool:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())) == raw
 
-    def checked(self, ids: bytes, raw: bytes) -> bytes:
-        if not self.spells(np.frombuffer(ids, "<u4"), raw):
-            self.doubt = True
-        return ids
+    def spelled(self, ids: np.ndarray, sizes: np.ndarray, raw: list[bytes]) -> np.ndarray:
+        """Which words their ids spell; `ids` are those of all words, joined."""
+        at = _offsets(sizes)
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        if np.array_equal(_offsets(self.length[ids])[at], _offsets(lengths)):
+            if self.spells(ids, b"".join(raw)):
+                return np.ones(len(raw), bool)
+        own = (self.spells(ids[at[k] : at[k + 1]], x) for k, x in enumerate(raw))
+        return np.fromiter(own, bool, len(raw))
 
 
 class ByteTokens(Encoder, Speller):
@@ -99,76 +110,67 @@ class ByteTokens(Encoder, Speller):
         alphabet = byte_alphabet()
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.bytes = [
-            bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
-            for name in names
-        ]
-
-    def _part(self, part: str) -> bytes:
-        return self.checked(super()._part(part), part.encode())
+        self.spell(
+            [
+                bytes(alphabet[c] for c in name)
+                if all(c in alphabet for c in name)
+                else name.encode()
+                for name in names
+            ]
+        )
 
-    def whole(self, text: str) -> bytes:
-        return self.checked(super().whole(text), text.encode())
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space and each word, joined, and how many a word has."""
+        found = [
+            self._plain(word) if self.plain.match(word) else self.whole(word)
+            for word in map(" ".__add__, words)
+        ]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), sizes
 
     def tokens(self, text: str) -> np.ndarray | None:
         """Ids of a space and the text; None if they spell anything else."""
         ids = np.frombuffer(self.encode(" " + text), "<u4")
-        return None if self.doubt and not self.spells(ids, (" " + text).encode()) else ids
+        return ids if self.spells(ids, (" " + text).encode()) else None
 
 
 class PieceTokens(Speller):
-    """Ids of the SentencePiece model, words met before taken from memory.
+    """Ids of the SentencePiece model.
 
-    Where no piece goes on past a space and the model keeps all spaces, a text is encoded in
-    parts that begin with the spaces before a word; else, and where a text holds space marks of
-    its own, it goes to the library whole.
+    Where no piece goes on past a space and the model keeps all spaces, a text without space
+    marks of its own may be encoded word by word (`in_parts`).
     """
 
-    part = re.compile(r" +[^ ]*")
-
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [
-            bytes([int(name[3:-1], 16)])
-            if self.model.is_byte(i)
-            else name.replace(MARK, " ").encode()
-            for i, name in enumerate(names)
-        ]
+        self.spell(
+            [
+                bytes([int(name[3:-1], 16)])
+                if self.model.is_byte(i)
+                else name.replace(MARK, " ").encode()
+                for i, name in enumerate(names)
+            ]
+        )
         shown = "".join(self.model.encode(" x  y ", out_type=str))
         keeps = shown == "  x  y ".replace(" ", MARK)
         self.in_parts = keeps and not any(MARK in name.lstrip(MARK) for name in names)
-        # the model gives nothing for an empty text
-        self.space = array("I", [self.model.piece_to_id(MARK)]).tobytes()
-        self.part_ids = Remembered(self._part)
 
-    def _part(self, part: str) -> bytes:
-        ids = self.space if part == " " else array("I", self.model.encode(part[1:])).tobytes()
-        return self.checked(ids, part.encode())
-
-    def learn(self, parts: set[str]) -> None:
-        """Encode the parts that aren't remembered in one call."""
-        known, older = self.part_ids, self.part_ids.older
-        new = [p for p in parts if p not in known and p not in older and 1 < len(p) <= LONGEST]
-        known.room(len(new))
-        for part, ids in zip(new, self.model.encode([p[1:] for p in new]), strict=True):
-            known[part] = self.checked(array("I", ids).tobytes(), part.encode())
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word, which the model puts a space before, joined; how many a word has."""
+        found = self.model.encode(words, num_threads=1)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
 
     def tokens(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of each text, which the model puts a space before; None if they spell another."""
-        cut = [self.part.findall(" " + t) if self.in_parts and MARK not in t else None for t in texts]
-        self.learn(set().union(*[parts for parts in cut if parts]))
-        out: list[np.ndarray | None] = []
-        for text, parts in zip(texts, cut, strict=True):
-            if parts is None:
-                ids = np.array(self.model.encode(text), "<u4")
-            else:
-                ids = np.frombuffer(b"".join(map(self.part_ids.__getitem__, parts)), "<u4")
-            sure = parts is not None and not self.doubt
-            out.append(ids if sure or self.spells(ids, (" " + text).encode()) else None)
-        return out
+        found = [np.array(ids, "<u4") for ids in self.model.encode(texts, num_threads=1)]
+        return [
+            ids if self.spells(ids, (" " + text).encode()) else None
+            for text, ids in zip(texts, found, strict=True)
+        ]
 
 
 _pairs: dict[tuple[str, str], tuple[ByteTokens, PieceTokens]] = {}
@@ -199,10 +201,10 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
 
 
 class Aligned:
-    """The groups and overlaps of some documents, driven by one of the tokenizers.
+    """The groups and overlaps of some words, driven by one of the tokenizers.
 
-    `driver` and `other` are the documents' ids joined, `ends` and `other_ends` their ends in
-    the joined bytes, and `places` where the driver's ends were found.
+    `ends` and `other_ends` are the ends of the words' tokens in the joined bytes, and `places`
+    where the driver's ends were found.
     """
 
     def __init__(self, ends: np.ndarray, other_ends: np.ndarray, places: np.ndarray):
@@ -256,68 +258,210 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def align_texts(content: list[str], a: ByteTokens, b: PieceTokens) -> dict[str, np.ndarray]:
-    """Counts, written groups and linked pairs of each text.
+class Words:
+    """Alignment of the words met: a row of sums, written groups and linked pairs for each.
 
-    `pair_doc`, `pair_a`, `pair_b` and `times` hold each distinct pair of a text once, in the
-    order of the texts.
+    `rows` holds the row of a word, -1 if either tokenizer's ids don't spell it. A pair of ids
+    is one number, the id of A times the ids of B plus the id of B. Long words and whole texts
+    have rows until `settle`.
     """
-    n = len(content)
-    held: list[tuple[np.ndarray, np.ndarray] | None] = []
-    for text, ids_b in zip(content, b.tokens(content), strict=True):
-        ids_a = a.tokens(text) if text and ids_b is not None else None
-        held.append((ids_a.astype(np.int64), ids_b.astype(np.int64)) if ids_a is not None else None)
-    out = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
-    out["groups"] = np.full(n, None, object)
-    length_a = np.fromiter(map(len, a.bytes), np.int64, len(a.bytes))
-    length_b = np.fromiter(map(len, b.bytes), np.int64, len(b.bytes))
-    found = []
-    for a_drives in (True, False):
-        rows = [i for i, x in enumerate(held) if x and (len(x[0]) <= len(x[1])) == a_drives]
-        if not rows:
-            continue
-        sizes_a = np.array([len(held[i][0]) for i in rows])
-        sizes_b = np.array([len(held[i][1]) for i in rows])
-        ids_a = np.concatenate([held[i][0] for i in rows])
-        ids_b = np.concatenate([held[i][1] for i in rows])
-        ends_a, ends_b = np.cumsum(length_a[ids_a]), np.cumsum(length_b[ids_b])
-        short, long = (ends_a, ends_b) if a_drives else (ends_b, ends_a)
-        at_short = _offsets(sizes_a if a_drives else sizes_b).tolist()
-        at_long = _offsets(sizes_b if a_drives else sizes_a).tolist()
-        places: list[np.ndarray] = []
-        for k in range(len(rows)):
-            own = gallop(
-                short[at_short[k] : at_short[k + 1]].tolist(),
-                long[at_long[k] : at_long[k + 1]].tolist(),
+
+    def __init__(self, a: ByteTokens, b: PieceTokens):
+        self.a, self.b = a, b
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.groups: list[bytes] = []
+        self.sums = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
+        self.pairs = np.zeros(0, np.int64)  # of the links of all rows, joined
+        self.kept, self.long = 0, []
+
+    def settle(self) -> None:
+        """Drop the rows that aren't to be kept."""
+        if len(self.groups) > self.kept:
+            del self.groups[self.kept :]
+            self.sums = self.sums[: self.kept].copy()
+            self.pairs = self.pairs[: int(self.sums[:, 3].sum())].copy()
+        for word in self.long:
+            del self.rows[word]
+        self.long = []
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Align the words that have no row."""
+        new = [word for word in words if word not in self.rows]
+        if len(self.rows) + len(new) > WORDS:
+            self.forget()
+            new = list(words)
+        self.align([word for word in new if len(word) <= LONGEST])
+        self.kept = len(self.groups)
+        self.long = [word for word in new if len(word) > LONGEST]
+        self.align(self.long)
+
+    def align(self, words: list[str]) -> None:
+        """Rows for words that have none."""
+        if not words:
+            return
+        raw = [(" " + word).encode() for word in words]
+        ids_a, sizes_a = self.a.words(words)
+        ids_b, sizes_b = self.b.words(words)
+        sound = self.a.spelled(ids_a, sizes_a, raw) & self.b.spelled(ids_b, sizes_b, raw)
+        rows = self.place(ids_a, ids_b, sizes_a, sizes_b, sound)
+        self.rows.update(zip(words, rows.tolist(), strict=True))
+
+    def place(
+        self,
+        ids_a: np.ndarray,
+        ids_b: np.ndarray,
+        sizes_a: np.ndarray,
+        sizes_b: np.ndarray,
+        sound: np.ndarray,
+    ) -> np.ndarray:
+        """Add the sound ones of some words, of which all ids are joined; the row of each or -1."""
+        rows = np.full(len(sound), -1)
+        for a_drives in (True, False):
+            own = sound & ((sizes_a <= sizes_b) == a_drives)
+            start = len(self.groups)
+            self.add(
+                ids_a[np.repeat(own, sizes_a)],
+                ids_b[np.repeat(own, sizes_b)],
+                sizes_a[own],
+                sizes_b[own],
+                a_drives,
             )
-            places.append(np.array(own, np.int64) + at_long[k])
-        links = Aligned(short, long, np.concatenate(places))
+            rows[own] = np.arange(start, len(self.groups))
+        return rows
+
+    def add(
+        self,
+        ids_a: np.ndarray,
+        ids_b: np.ndarray,
+        sizes_a: np.ndarray,
+        sizes_b: np.ndarray,
+        a_drives: bool,
+    ) -> None:
+        """Rows for words of which both tokenizers' ids, joined, spell the same bytes."""
+        if not len(sizes_a):
+            return
+        ends_a, ends_b = np.cumsum(self.a.length[ids_a]), np.cumsum(self.b.length[ids_b])
+        short, long = (ends_a, ends_b) if a_drives else (ends_b, ends_a)
+        links = Aligned(short, long, np.array(gallop(short.tolist(), long.tolist()), np.int64))
         if a_drives:
             cut_a, cut_b, link_a, link_b = links.cut, links.other_cut, links.link, links.other_link
         else:
             cut_a, cut_b, link_a, link_b = links.other_cut, links.cut, links.other_link, links.link
-        doc_of = np.repeat(np.arange(len(rows)), sizes_a)
-        link_doc = doc_of[link_a]
-        out["n_a"][rows], out["n_b"][rows] = sizes_a, sizes_b
-        out["n_groups"][rows] = _sums(cut_a.astype(np.int64), sizes_a)
-        out["n_links"][rows] = np.bincount(link_doc, minlength=len(rows))
-        written = _written(ids_a, ids_b, cut_a, cut_b)
+        word_of = np.repeat(np.arange(len(sizes_a)), sizes_a)
+        n_links = np.bincount(word_of[link_a], minlength=len(sizes_a))
+        n_groups = _sums(cut_a.astype(np.int64), sizes_a)
+        sums = np.stack([sizes_a, sizes_b, n_groups, n_links], axis=1)
+        self.sums = np.concatenate([self.sums, sums])
+        pairs = ids_a[link_a] * len(self.b.bytes) + ids_b[link_b]
+        self.pairs = np.concatenate([self.pairs, pairs])
+        entries = _written(ids_a, ids_b, cut_a, cut_b).tolist()
+        written = list(map(_names.__getitem__, entries))
         bounds = _offsets(sizes_a + sizes_b).tolist()
-        for k, i in enumerate(rows):
-            entries = written[bounds[k] : bounds[k + 1]].tolist()
-            out["groups"][i] = b"".join(map(_names.__getitem__, entries))[:-1]
-        found.append((np.array(rows)[link_doc], ids_a[link_a], ids_b[link_b]))
-    empty = np.zeros(0, np.int64)
-    doc, own_a, own_b = (
-        (np.concatenate(x) for x in zip(*found, strict=True)) if found else (empty, empty, empty)
+        self.groups += [b"".join(written[x:y]) for x, y in itertools.pairwise(bounds)]
+
+    def learn_texts(self, texts: list[str]) -> np.ndarray:
+        """Rows of texts that can't go word by word, aligned whole; -1 if not spelled."""
+        found_b = self.b.tokens(texts)
+        found_a = [
+            None if ids is None else self.a.tokens(text)
+            for text, ids in zip(texts, found_b, strict=True)
+        ]
+        none = np.zeros(0, np.int64)
+        sound = np.array([ids is not None for ids in found_a])
+        held_a = [ids if own else none for ids, own in zip(found_a, sound, strict=True)]
+        held_b = [ids if own else none for ids, own in zip(found_b, sound, strict=True)]
+        return self.place(
+            np.concatenate(held_a).astype(np.int64),
+            np.concatenate(held_b).astype(np.int64),
+            np.array([*map(len, held_a)]),
+            np.array([*map(len, held_b)]),
+            sound,
+        )
+
+
+_words: dict[tuple[str, str], Words] = {}
+
+
+def aligned_words(a: str, b: str) -> Words:
+    if (a, b) not in _words:
+        _words[a, b] = Words(*tokenizers(a, b))
+    return _words[a, b]
+
+
+def _cut(content: list[str], single_space: re.Pattern) -> list[list[str]]:
+    """Words of each text, with a space put before it, less the space that each begins with."""
+    cut = [text.split(" ") if text else [] for text in content]
+    loose = {
+        word
+        for word in set().union(*cut)
+        if not word or word[0].isspace() or word[-1].isspace()
+    }
+    for i, text in enumerate(content):
+        if loose and not loose.isdisjoint(cut[i]):
+            cut[i] = [word[1:] for word in single_space.split(" " + text)]
+    return cut
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of consecutive runs, joined."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - _offsets(sizes)[:-1], sizes)
+
+
+def align_texts(content: list[str], known: Words) -> dict[str, np.ndarray]:
+    """Counts, written groups and linked pairs of each text.
+
+    `pair_doc`, `pair` and `times` hold each distinct pair of a text once, in the order of the
+    texts; `pair` is its place in `a` and `b`, and `docs` the texts that hold it.
+    """
+    n = len(content)
+    by_word = [known.b.in_parts and MARK not in text for text in content]
+    cut = _cut(
+        [text if own else "" for text, own in zip(content, by_word, strict=True)],
+        known.a.single_space,
     )
-    # distinct pairs of the block, then of each document
-    pairs, which = np.unique(own_a * len(b.bytes) + own_b, return_inverse=True)
-    each, times = np.unique(doc * max(1, len(pairs)) + which, return_counts=True)
-    out["pair_doc"], out["pair"] = np.divmod(each, max(1, len(pairs)))
+    known.learn(set().union(*cut))
+    sizes = np.fromiter(map(len, cut), np.int64, n)
+    words = itertools.chain.from_iterable(cut)
+    rows = np.fromiter(map(known.rows.__getitem__, words), np.int64, int(sizes.sum()))
+    doc_of = np.repeat(np.arange(n), sizes)
+    # texts of words that aren't spelled may be spelled as a whole
+    doubt = np.bincount(doc_of[rows < 0], minlength=n) > 0
+    whole = [i for i, text in enumerate(content) if text and (doubt[i] or not by_word[i])]
+    if whole:
+        own = known.learn_texts([content[i] for i in whole])
+        left = ~doubt[doc_of]
+        doc_of = np.concatenate([doc_of[left], np.array(whole)[own >= 0]])
+        rows = np.concatenate([rows[left], own[own >= 0]])
+        order = np.argsort(doc_of, kind="stable")
+        doc_of, rows = doc_of[order], rows[order]
+        sizes = np.bincount(doc_of, minlength=n)
+    out = {
+        name: _sums(known.sums[rows, k], sizes)
+        for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))
+    }
+    at, each = _offsets(sizes).tolist(), rows.tolist()
+    out["groups"] = np.full(n, None, object)
+    for i in np.flatnonzero(sizes).tolist():
+        own_groups = map(known.groups.__getitem__, each[at[i] : at[i + 1]])
+        out["groups"][i] = b"".join(own_groups)[:-1]
+    # distinct pairs of the block's words, then of each document
+    used = np.flatnonzero(np.bincount(rows, minlength=len(known.groups)))
+    n_links = known.sums[:, 3]
+    found = known.pairs[_runs(_offsets(n_links)[:-1][used], n_links[used])]
+    pairs, which = np.unique(found, return_inverse=True)
+    starts = np.zeros(len(known.groups), np.int64)
+    starts[used] = _offsets(n_links[used])[:-1]
+    linked = which[_runs(starts[rows], n_links[rows])]
+    doc = np.repeat(np.arange(n), out["n_links"])
+    each_pair, times = np.unique(doc * max(1, len(pairs)) + linked, return_counts=True)
+    out["pair_doc"], out["pair"] = np.divmod(each_pair, max(1, len(pairs)))
     out["times"] = times
-    out["a"], out["b"] = np.divmod(pairs, len(b.bytes))
+    out["a"], out["b"] = np.divmod(pairs, len(known.b.bytes))
     out["docs"] = np.bincount(out["pair"], minlength=len(pairs))
+    known.settle()
     return out
 
 
@@ -344,11 +488,11 @@ def align(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = tokenizers(a_path, b_path)
+        known = aligned_words(a_path, b_path)
         names = [part.split()[0] for part in HELD.split(", ")]
         block = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", BLOCK):
-            found = align_texts(texts(batch.column("text")), a, b)
+            found = align_texts(texts(batch.column("text")), known)
             n = batch.num_rows
             per_doc = np.bincount(found["pair_doc"], minlength=n)
             none = pa.nulls(n, pa.list_(pa.int32()))

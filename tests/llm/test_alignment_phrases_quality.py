@@ -148,6 +148,70 @@ def test_alignment(spark, monkeypatch, size):
     assert sorted(map(str, found)) == sorted(map(str, plain_alignment(rows)))
 
 
+def test_words_met_before_are_not_aligned_again(monkeypatch):
+    ends, gallop = [], token_alignment.gallop
+
+    def counted(short, long):
+        ends.extend(short)
+        return gallop(short, long)
+
+    monkeypatch.setattr(token_alignment, "gallop", counted)
+    known = token_alignment.Words(*token_alignment.tokenizers(A_PATH, B_PATH))
+    texts = ["unbelievable storytelling, étrange " * 200 + "end"] * 3
+    first = token_alignment.align_texts(texts, known)
+    met = len(ends)
+    again = token_alignment.align_texts(texts, known)
+    assert first["n_a"].min() > 1000 and met < 30 and len(ends) == met
+    assert first["groups"].tolist() == again["groups"].tolist()
+
+
+def test_whole_texts_of_a_block_are_aligned_together(monkeypatch):
+    known = token_alignment.Words(*token_alignment.tokenizers(A_PATH, B_PATH))
+    known.b = token_alignment.PieceTokens(B_PATH)
+    known.b.in_parts = False
+    added, add = [], known.add
+    monkeypatch.setattr(known, "add", lambda *given: (added.append(1), add(*given)))
+    texts = ["one text", "", "another", "▁marked"] * 50
+    found = token_alignment.align_texts(texts, known)
+    assert len(added) == 2
+    assert (found["n_a"] > 0).tolist() == [True, False, True, False] * 50
+
+
+@pytest.mark.parametrize("words, longest", [(0, 64), (40, 3), (300_000, 64)])
+def test_alignment_by_words(monkeypatch, words, longest):
+    monkeypatch.setattr(token_alignment, "WORDS", words)
+    monkeypatch.setattr(token_alignment, "LONGEST", longest)
+    known = token_alignment.Words(*token_alignment.tokenizers(A_PATH, B_PATH))
+    draw = random.Random(5)
+    alphabet = [" ", " ", " ", "  ", "a", "the", "Zug", "é", "漢", "😀", "\n", "\t", "\x1c", "\xa0", "1", ".", "'s", "ﬁ", "▁", "\x00"]
+    texts = ODD_TEXTS + [
+        "".join(draw.choice(alphabet) for _ in range(draw.randint(1, 30))) for _ in range(400)
+    ]
+    blocks, held_by = [], Counter()
+    for at in range(0, len(texts), 50):
+        found = token_alignment.align_texts([t or "" for t in texts[at : at + 50]], known)
+        pairs = list(zip(found["a"].tolist(), found["b"].tolist(), strict=True))
+        held_by.update(dict(zip(pairs, found["docs"].tolist(), strict=True)))
+        blocks.append((found, pairs))
+        assert len(known.groups) == len(known.sums) and known.sums[:, 3].sum() == len(known.pairs)
+        assert all(len(w) <= longest and r < len(known.groups) for w, r in known.rows.items())
+    highest = defaultdict(int)
+    for (x, _), n in held_by.items():
+        highest[x] = max(highest[x], n)
+    out = []
+    for found, pairs in blocks:
+        best, total = Counter(), Counter()
+        for doc, pair, times in zip(found["pair_doc"], found["pair"], found["times"], strict=True):
+            held = held_by[pairs[pair]]
+            total[doc] += int(times) * held
+            best[doc] += int(times) * (held == highest[pairs[pair][0]])
+        for doc, groups in enumerate(found["groups"]):
+            sums = [int(found[k][doc]) for k in ("n_a", "n_b", "n_groups", "n_links")]
+            digest = "" if groups is None else hashlib.sha256(groups).hexdigest()
+            out.append((len(out), *sums, best[doc], total[doc], digest))
+    assert out == plain_alignment([(i, t, "c") for i, t in enumerate(texts)])
+
+
 def test_alignment_of_nothing(spark):
     assert token_alignment.align(frame(spark, []), A_PATH, B_PATH).count() == 0
     got = token_alignment.align(frame(spark, [(1, None, "c"), (2, "", "c")]), A_PATH, B_PATH).collect()
