@@ -35,6 +35,7 @@ LOW_SCORE = 0.3
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
 BEGIN, END = 2, 3  # code points that are no letters
+SLICE = 1 << 20  # bytes of text whose words are scored together
 REMEMBERED = 1 << 21  # numbers of remembered word scores in a worker; it starts anew beyond
 
 
@@ -296,7 +297,7 @@ def fit(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(models)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", SLICE):
             entropy = scorer.cross_entropy([words_of(t) for t in texts(batch.column("text"))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), pa.array(entropy.tolist(), pa.list_(pa.float64()))],
@@ -341,7 +342,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(models) if models else None
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", SLICE):
             found = [words_of(t) for t in texts(batch.column("text"))]
             lang = [UNDETERMINED] * len(found)
             score, accepted = np.zeros(len(found)), np.zeros(len(found), bool)
@@ -366,7 +367,7 @@ def accepted_rows(docs: DataFrame, models: Models | None, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(models) if models else None
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, SLICE):
             found = [words_of(t) for t in texts(batch.column(text_col))]
             accepted = np.zeros(len(found), bool)
             if scorer:

@@ -108,6 +108,7 @@ class Lattices:
     """
 
     def __init__(self, pieces: Pieces, words: pa.Array):
+        self.room: dict[str, np.ndarray] = {}  # arrays that the ones below are the beginning of
         # 32 bits for all that counts characters or edges, as there are many of them
         lengths = np.asarray(pc.utf8_length(words)).astype(np.int32) + 1
         whole = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")
@@ -173,13 +174,28 @@ class Lattices:
         self.offset = np.cumsum(self.count, dtype=np.int32) - self.count
         self.q = np.exp(self.log_q)
 
+    def clear(self) -> None:
+        """Forget all words; the memory is used again for the next ones."""
+        for name in ("first", "last", "start", "offset", "ids", "log_q", "q", "count"):
+            self._put(name, 0, getattr(self, name)[:0])
+
     def extend(self, more: Lattices) -> None:
         """Add the lattices of further words, whose numbers go on from here."""
         nodes, edges = np.int32(len(self.count)), np.int32(len(self.ids))
         for name, shift in (("first", nodes), ("last", nodes), ("start", nodes), ("offset", edges)):
-            setattr(self, name, np.concatenate([getattr(self, name), getattr(more, name) + shift]))
+            self._put(name, len(getattr(self, name)), getattr(more, name) + shift)
         for name in ("ids", "log_q", "q", "count"):
-            setattr(self, name, np.concatenate([getattr(self, name), getattr(more, name)]))
+            self._put(name, len(getattr(self, name)), getattr(more, name))
+
+    def _put(self, name: str, at: int, values: np.ndarray) -> None:
+        """Write values behind the first `at` of an array, which has room for more of them."""
+        room, n = self.room.get(name, getattr(self, name)), at + len(values)
+        if n > len(room):
+            room = np.empty(n + n // 2, room.dtype)  # memory is taken where it is written to
+            room[:at] = getattr(self, name)[:at]
+        room[at:n] = values
+        self.room[name] = room
+        setattr(self, name, room[:n])
 
     def end(self, edge: int) -> int:
         """The node that an edge ends at: nodes without edges come before one with the same offset."""

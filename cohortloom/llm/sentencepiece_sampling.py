@@ -23,8 +23,8 @@ from cohortloom.llm import lattice
 from cohortloom.llm.common import map_arrow, slices, table, texts, whole_text
 from cohortloom.llm.lattice import SPACE
 
-BATCH = 2 << 20  # bytes of text whose lattices are built together
-HELD = 2_500_000  # characters of words whose lattices are kept, of some 75 bytes each
+BATCH = 1 << 19  # bytes of text whose lattices are built together
+HELD = 1_750_000  # characters of words whose lattices are kept, of some 75 bytes each
 SEED = 42
 _vocabularies: dict[tuple, Vocabulary] = {}
 
@@ -34,11 +34,13 @@ class Known:
 
     def __init__(self, pieces: lattice.Pieces):
         self.pieces = pieces
-        self._start(pa.array([], pa.string()))
+        self.words, self.characters = pa.array([], pa.string()), 0
+        self.lattices = lattice.Lattices(pieces, self.words)
 
     def _start(self, words: pa.Array) -> None:
         self.words, self.characters = words, pc.sum(pc.utf8_length(words)).as_py() or 0
-        self.lattices = lattice.Lattices(self.pieces, words)
+        self.lattices.clear()
+        self.lattices.extend(lattice.Lattices(self.pieces, words))
 
     def numbers(self, words: pa.Array) -> np.ndarray:
         """The numbers of distinct words in the lattices, which are made where they are not held."""

@@ -2,13 +2,16 @@
 
 import collections
 import math
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cohortloom.llm import lattice
 from cohortloom.llm import sentencepiece_sampling as sampling
+from cohortloom.llm.common import slices
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -156,6 +159,23 @@ def test_lattices_are_kept_between_batches(monkeypatch):
             assert sampling.round_trips(own, got, batch) == [True] * len(batch)
 
 
+def test_lattices_take_a_bounded_memory():
+    own = sampling.vocabulary(MODEL)
+    letters = np.random.default_rng(3).integers(97, 123, (40, 20_000, 7)).astype(np.uint8)
+    content = [b" ".join(map(bytes, rows)).decode() for rows in letters]
+    batch = pa.RecordBatch.from_arrays([pa.array(content)], names=["text"])
+    known = sampling.Known(own.pieces)
+    tracemalloc.start()
+    try:
+        for part in slices(iter([batch]), "text", sampling.BATCH):  # of words that are all new
+            text = part.column("text").to_pylist()
+            sampling.sampled(own, text, np.arange(len(text), dtype=np.uint64), 2, known)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 280 << 20
+
+
 def test_words_by_arrow_are_the_words():
     content = [t or "" for _, t in ODD]
     sizes, numbers, distinct = sampling.numbered(content)
