@@ -33,32 +33,53 @@ BLOCK = 4096
 _COUNTS = np.array([1] + [SELECTORS[s][0] for s in range(1, 16)], dtype=np.int64)
 
 
+def _selectors(ids: np.ndarray, block: int) -> np.ndarray:
+    """The selector of the fullest word that starts at each id and ends in its block."""
+    n = len(ids)
+    least = np.ones(n, np.uint8)  # the first selector that is wide enough for an id, 16 if none
+    most = int(ids.max())
+    for s in range(1, 16):
+        if most >> SELECTORS[s][1]:
+            least += ids >= ids.dtype.type(1 << SELECTORS[s][1])
+    # a column behind each block is too wide for all, so that no word goes past it
+    rows = -(-n // block)
+    wide = np.full((rows, block + 1), 16, np.uint8)
+    full = n // block
+    wide[:full, :block] = least[: full * block].reshape(full, block)
+    if full < rows:
+        wide[full, : n - full * block] = least[full * block :]
+    wide = wide.ravel()
+    # what more ids fit, fewer do: the selectors that fit a place are the last ones
+    fitting = np.zeros(len(wide), np.uint8)
+    widest, held = wide, 1  # of the ids from each place on, so many of them
+    for s in range(15, 0, -1):
+        count = SELECTORS[s][0]
+        while held < count:
+            more = min(held, count - held)
+            if len(widest) <= more:
+                break
+            widest = np.maximum(widest[:-more], widest[more:])
+            held += more
+        if held < count:
+            break
+        fits = widest <= s
+        if not fits.any():
+            break
+        fitting[: len(fits)] += fits
+    selector = np.where(fitting > 0, 16 - fitting, ESCAPE).astype(np.uint8)
+    return selector.reshape(rows, block + 1)[:, :block].ravel()[:n]
+
+
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the word offset at which each block starts (one more for the end)."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
+    ids = np.asarray(ids)
+    if ids.dtype != np.uint32:
+        ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
-    position = np.arange(n, dtype=np.int64)
-    left = np.minimum(block - position % block, n - position)  # ids up to the block's end
-    selector = np.zeros(n, np.uint8)
-    open_ = position  # where the selector before fits; what more ids fit, fewer do
-    for s in range(15, 0, -1):
-        count, bits = SELECTORS[s]
-        open_ = open_[left[open_] >= count]
-        if len(open_) * 4 > n:
-            wide = np.zeros(n + 1, np.int32)
-            np.cumsum(ids >> np.uint64(bits) != 0, out=wide[1:])
-            fits = wide[open_ + count] == wide[open_]
-        else:
-            fits = np.ones(len(open_), bool)
-            for k in range(count):
-                fits &= ids[open_ + k] >> np.uint64(bits) == 0
-        open_ = open_[fits]
-        if not len(open_):
-            break
-        selector[open_] = s
-    step = _COUNTS[selector].tolist()
+    selector = _selectors(ids, block)
+    step = _COUNTS[selector].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
@@ -69,6 +90,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     place = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(width, out=place[1:])
     words = np.zeros(place[-1], np.uint64)
+    ids = ids.astype(np.uint64)
     for s in np.unique(chosen).tolist():
         own = np.flatnonzero(chosen == s)
         if s == ESCAPE:
@@ -77,8 +99,9 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
         count, bits = SELECTORS[s]
         word = np.full(len(own), s << 60, np.uint64)
         if bits:
+            first = starts[own]
             for k in range(count):
-                word |= ids[starts[own] + k] << np.uint64(k * bits)
+                word |= ids[first + k] << np.uint64(k * bits)
         words[place[own]] = word
     first = np.searchsorted(starts, np.arange(0, n, block))
     return words, np.append(place[first], place[-1]).astype(np.uint64)

@@ -1,6 +1,7 @@
 """Exact dedup, secret scan, token files and token counts against plain versions."""
 
 import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -123,6 +124,42 @@ def test_simple8b_packs_many_small_ids():
     assert len(words) == 2
 
 
+def test_simple8b_fills_words_one_after_the_other():
+    rng = np.random.default_rng(5)
+    for block in (1, 59, 121, 4096):
+        sizes = rng.integers(0, 64, 90).repeat(rng.integers(1, 130, 90))
+        ids = rng.integers(0, 2**63, len(sizes), dtype=np.uint64) >> sizes.astype(np.uint64)
+        want, offsets, at = [], [], 0
+        while at < len(ids):
+            if at % block == 0:
+                offsets.append(len(want))
+            left = min(block - at % block, len(ids) - at)
+            for s, (count, bits) in simple8b.SELECTORS.items():
+                part = ids[at : at + count].tolist()
+                if count <= left and max(part) < 1 << bits:
+                    want.append(s << 60 | sum(x << k * bits for k, x in enumerate(part)))
+                    at += count
+                    break
+            else:
+                want += [0, int(ids[at])]
+                at += 1
+        words, starts = simple8b.encode(ids, block)
+        assert words.tolist() == want and starts.tolist() == [*offsets, len(want)]
+
+
+def test_simple8b_packs_about_as_fast_as_it_unpacks():
+    ids = (2.0 ** np.random.default_rng(1).uniform(3, 16, 1 << 19)).astype(np.uint32)
+    words, _ = simple8b.encode(ids)
+
+    def seconds(step, given):
+        begun = time.thread_time()
+        step(given)
+        return time.thread_time() - begun
+
+    packing = min(seconds(simple8b.encode, ids) for _ in range(5))
+    assert packing < 6 * min(seconds(simple8b.decode, words) for _ in range(5))
+
+
 characters = st.sampled_from(list(" \n\t'stvreldmaZé9½²日!.,-_ ́\x1c"))
 
 
