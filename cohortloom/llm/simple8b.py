@@ -30,6 +30,7 @@ SELECTORS = {
     15: (1, 60),
 }
 BLOCK = 4096
+TOGETHER = 1 << 17  # ids of whole blocks whose words are made together, so that a cache holds them
 _COUNTS = np.array([1] + [SELECTORS[s][0] for s in range(1, 16)], dtype=np.int64)
 
 
@@ -75,9 +76,19 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     ids = np.asarray(ids)
     if ids.dtype != np.uint32:
         ids = ids.astype(np.uint64)
+    size = block * max(1, TOGETHER // block)
+    words, offsets, held = [np.zeros(0, np.uint64)], [], 0
+    for at in range(0, len(ids), size):
+        part, starts = _encode(ids[at : at + size], block)
+        words.append(part)
+        offsets.append(starts + held)
+        held += len(part)
+    return np.concatenate(words), np.concatenate([*offsets, [held]]).astype(np.uint64)
+
+
+def _encode(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words, and the word offset at which each block starts."""
     n = len(ids)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     selector = _selectors(ids, block)
     step = _COUNTS[selector].astype(np.uint8).tobytes()
     starts, at = [], 0
@@ -104,7 +115,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
                 word |= ids[first + k] << np.uint64(k * bits)
         words[place[own]] = word
     first = np.searchsorted(starts, np.arange(0, n, block))
-    return words, np.append(place[first], place[-1]).astype(np.uint64)
+    return words, place[first]
 
 
 def decode(words: np.ndarray) -> np.ndarray:

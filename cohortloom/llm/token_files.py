@@ -143,7 +143,9 @@ def unpack(content: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
         offsets, words = body[: blocks + 1], body[blocks + 1 :]
         if int(offsets[-1]) != len(words):
             raise ValueError("a segment's block offsets don't match its words")
-        ids = simple8b.decode(words)
+        some = offsets[:: simple8b.TOGETHER // simple8b.BLOCK].tolist()
+        cuts = zip(some, [*some[1:], len(words)], strict=True)
+        ids = np.concatenate([simple8b.decode(words[a:b]) for a, b in cuts])
         if len(ids) != n or lengths.sum() != n:
             raise ValueError("a segment holds another number of ids than it says")
         yield names, lengths, ids

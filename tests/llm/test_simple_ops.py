@@ -147,6 +147,14 @@ def test_simple8b_fills_words_one_after_the_other():
         assert words.tolist() == want and starts.tolist() == [*offsets, len(want)]
 
 
+def test_segments_of_many_blocks():
+    for n in (simple8b.TOGETHER, 2 * simple8b.TOGETHER + 5):
+        ids = np.random.default_rng(n).integers(0, 50_000, n).astype(np.uint32)
+        ((names, lengths, got),) = token_files.unpack(token_files.pack([3, None], [4, n - 4], ids))
+        assert names.tolist() == [3, token_files.NO_ID] and lengths.tolist() == [4, n - 4]
+        assert (got == ids).all()
+
+
 def test_simple8b_packs_about_as_fast_as_it_unpacks():
     ids = (2.0 ** np.random.default_rng(1).uniform(3, 16, 1 << 19)).astype(np.uint32)
     words, _ = simple8b.encode(ids)
